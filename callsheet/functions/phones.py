@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from callsheet import dims
+from callsheet.functions.stages import let
 from callsheet.functions.text import strip
 
 # A maximal run of seven or more digits with up to two separators between digits.
@@ -42,17 +43,20 @@ def _by_region(region, field: int) -> Column:
 
 def international_digits(c: Column, region) -> Column:
     """Dial code and national number in digits, or NULL when not valid."""
-    text = F.regexp_replace(c, EXTENSION, "")
-    digits = F.regexp_replace(text, r"[^+0-9]", "")
     idd, trunk, dial = (_by_region(region, f) for f in (2, 3, 1))
-    abroad = F.when(digits.startswith("+"), F.substring(digits, 2, 40)).when(
-        idd.isNotNull() & digits.startswith(idd),
-        F.substring(digits, F.length(idd) + 1, F.lit(40)))
-    has_trunk = (trunk != "") & digits.startswith(trunk)
-    home = F.concat(dial, F.when(has_trunk, F.substring(digits, F.length(trunk) + 1, F.lit(40))
-                                 ).otherwise(digits))
-    full = F.regexp_replace(F.coalesce(abroad, home), TRUNK_ZERO, "$1")
-    return F.when(text.rlike(VIABLE) & full.rlike(VALID), full)
+
+    def full(digits: Column) -> Column:
+        abroad = F.when(digits.startswith("+"), F.substring(digits, 2, 40)).when(
+            idd.isNotNull() & digits.startswith(idd),
+            F.substring(digits, F.length(idd) + 1, F.lit(40)))
+        has_trunk = (trunk != "") & digits.startswith(trunk)
+        home = F.concat(dial, F.when(has_trunk, F.substring(digits, F.length(trunk) + 1, F.lit(40))
+                                     ).otherwise(digits))
+        return F.regexp_replace(F.coalesce(abroad, home), TRUNK_ZERO, "$1")
+
+    text = F.regexp_replace(c, EXTENSION, "")
+    digits = F.when(text.rlike(VIABLE), F.regexp_replace(text, r"[^+0-9]", ""))
+    return let(let(digits, full), lambda f: F.when(f.rlike(VALID), f))
 
 
 def e164_or_null(c: Column, region) -> Column:

@@ -13,4 +13,10 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` with added or replaced columns, each evaluated exactly once."""
     kept = [c for c in df.columns if c not in columns]
     row = F.struct(*[c.alias(n) for n, c in columns.items()])
-    return df.select(*kept, F.inline(F.array(row)))
+    # The projection shares common parts of the expressions, the generator does not.
+    return df.select(*kept, row.alias("_row")).select(*kept, F.inline(F.array("_row")))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)

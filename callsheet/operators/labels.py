@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callsheet import dims
 from callsheet.functions import phones
+from callsheet.functions.stages import computed
 from callsheet.functions.text import json_block
 
 ITEM = "struct<number:string,type:string,classification:string>"
@@ -77,9 +78,9 @@ def rule_labeler(slots: DataFrame) -> DataFrame:
 
 def parse_responses(responses: DataFrame) -> DataFrame:
     """Adds ``block`` (the JSON text), ``items`` and ``fault`` (NULL when usable)."""
-    with_block = responses.withColumn("block", json_block(F.col("raw_text")))
+    with_block = computed(responses, block=json_block(F.col("raw_text")))
     items = F.from_json("block", RESPONSE)["extracted_numbers"]
-    parsed = with_block.withColumn("items", items)
+    parsed = computed(with_block, items=items)
     complete = F.forall("items", lambda x: x["number"].isNotNull() & x["type"].isNotNull()
                         & x["classification"].isNotNull())
     fault = (F.when(F.coalesce("raw_text", F.lit("")) == "", F.lit("Error_ChunkEmptyResponse"))
@@ -89,7 +90,7 @@ def parse_responses(responses: DataFrame) -> DataFrame:
              .when(F.col("block").startswith("["), F.lit("Error_ChunkUnexpected_TypeError"))
              .when(F.col("items").isNull() | ~complete,
                    F.lit("Error_ChunkJsonParseValidate_ValidationError")))
-    return parsed.withColumn("fault", fault)
+    return computed(parsed, fault=fault)
 
 
 def reconcile(slots: DataFrame, responses: DataFrame, max_retries: int = 1) -> DataFrame:
@@ -132,14 +133,16 @@ def reconcile(slots: DataFrame, responses: DataFrame, max_retries: int = 1) -> D
     error = F.coalesce("fault", F.when(F.col("answer").isNull(),
                                        F.lit("Error_PersistentMismatchAfterRetries")))
     kept = [c for c in base if c not in ("number",)]
-    return state.select(
-        *kept, F.col("number").alias("asked_number"),
-        F.when(error.isNull(), phones.e164_any(F.col("answer.number"))
-               ).otherwise(F.col("number")).alias("number"),
-        F.coalesce(error, F.col("answer.type")).alias("type"),
-        F.when(error.isNull(), F.col("answer.classification")
-               ).otherwise(F.lit("Non-Business")).alias("classification"),
-        "answered_by")
+    final = state.select(
+        *kept, F.col("number").alias("asked_number"), error.alias("error"), "answer", "answered_by")
+    done = computed(
+        final,
+        number=F.when(F.col("error").isNull(), phones.e164_any(F.col("answer.number"))
+                      ).otherwise(F.col("asked_number")),
+        type=F.coalesce("error", F.col("answer.type")),
+        classification=F.when(F.col("error").isNull(), F.col("answer.classification")
+                              ).otherwise(F.lit("Non-Business")))
+    return done.select(*kept, "asked_number", "number", "type", "classification", "answered_by")
 
 
 def open_slots(slots: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -163,7 +166,7 @@ def item_counts(labelled: DataFrame, *by: str) -> DataFrame:
 def enriched_items(responses: DataFrame) -> DataFrame:
     """Numbers of an enriched response with the details that name them;
     confidences outside [0, 1] make the detail invalid."""
-    doc = responses.withColumn("doc", F.from_json(json_block(F.col("raw_text")), ENRICHED))
+    doc = computed(responses, doc=F.from_json(json_block(F.col("raw_text")), ENRICHED))
     numbers = doc.select("request_id", "doc", F.posexplode("doc.extracted_numbers").alias("pos", "n"))
     info = F.filter("doc.additional_info", lambda a: (a["associated_number"] == F.col("n.number"))
                     & a["confidence"].between(0.0, 1.0))

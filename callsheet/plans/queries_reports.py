@@ -318,12 +318,13 @@ def _(spark, sf):
     return run.entries.select("input_row_id", "base").join(best, "base", "left").select("input_row_id", "number")
 
 
-V_HEADERS = f"""{s.V_NUMBERS}, {s.V_ENTRIES}, v_headers AS (
+V_HEADERS = f"""{s.V_NUMBERS}, {s.V_ENTRIES}, v_own AS (
+  SELECT base, string_agg(u, ', ' ORDER BY u) AS own FROM (SELECT base, source_url AS u FROM v_good
+    UNION SELECT base, base FROM v_good) GROUP BY base),
+v_headers AS (
   SELECT g.base, g.base || ' - ' || coalesce(string_agg(DISTINCT company_name, ' - ' ORDER BY company_name), 'Unknown') AS "CompanyName",
-    coalesce(string_agg(DISTINCT given_url, ', ' ORDER BY given_url),
-      (SELECT string_agg(u, ', ' ORDER BY u) FROM (SELECT source_url AS u FROM v_good x WHERE x.base = g.base
-        UNION SELECT g.base))) AS "GivenURL"
-  FROM (SELECT DISTINCT base FROM v_good) g LEFT JOIN v_entries e ON g.base = e.base GROUP BY g.base)"""
+    coalesce(string_agg(DISTINCT given_url, ', ' ORDER BY given_url), any_value(own)) AS "GivenURL"
+  FROM v_own g LEFT JOIN v_entries e ON g.base = e.base GROUP BY g.base)"""
 
 
 @query("J2_domain_headers", s.with_(V_HEADERS) + "SELECT * FROM v_headers")
@@ -479,7 +480,7 @@ def _(spark, sf):
 V_FINAL = f"""{V_FACTS}, {V_HEADERS[len(s.V_NUMBERS) + len(s.V_ENTRIES) + 4:]}, v_shown AS (
   SELECT base, number, number || ' (' || string_agg(DISTINCT type, ', ' ORDER BY type) || ') [' ||
     coalesce(string_agg(DISTINCT company, ', ' ORDER BY company), 'UnknownCompany') || ']' AS shown,
-    string_agg(DISTINCT source_url, ', ' ORDER BY source_url) AS urls FROM v_sources GROUP BY ALL),
+    string_agg(DISTINCT source_url, ', ' ORDER BY source_url) AS urls FROM v_sources GROUP BY base, number),
 v_final AS (
   SELECT h."CompanyName", h."GivenURL", h.base AS "CanonicalEntryURL", coalesce(base_status, 'Unknown') AS "ScrapingStatus",
     p.* EXCLUDE (base)
@@ -778,13 +779,14 @@ prio AS (SELECT *, {s.CLASS_PRIO} AS cp, first_value({s.TYPE_PRIO}) OVER w AS tp
 nums AS (SELECT base, number, min(cp) AS cp, any_value(tp) AS tp, min(page_ord) AS o1, arg_min(match_ord, page_ord * 100000 + match_ord) AS o2,
     bool_or(type IN ('Unknown', 'Fax', 'Mobile', 'Date', 'ID')) AS excluded,
     number || ' (' || string_agg(DISTINCT type, ', ' ORDER BY type) || ') [' || string_agg(DISTINCT company, ', ' ORDER BY company) || ']' AS shown,
-    string_agg(DISTINCT page_url, ', ' ORDER BY page_url) AS urls FROM prio GROUP BY ALL),
-best AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY cp, tp, o1, o2, number) AS rank FROM nums WHERE NOT excluded)
-SELECT b.base || ' - ' || (SELECT string_agg(DISTINCT company, ' - ' ORDER BY company) FROM lab WHERE lab.base = b.base) AS "CompanyName",
+    string_agg(DISTINCT page_url, ', ' ORDER BY page_url) AS urls FROM prio GROUP BY base, number),
+best AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY cp, tp, o1, o2, number) AS rank FROM nums WHERE NOT excluded),
+names AS (SELECT base, string_agg(DISTINCT company, ' - ' ORDER BY company) AS names FROM lab GROUP BY base)
+SELECT b.base || ' - ' || any_value(names) AS "CompanyName",
   b.base AS "GivenURL", b.base AS "CanonicalEntryURL", 'Success' AS "ScrapingStatus",
   {', '.join(f'max(CASE WHEN rank = {i} THEN {c} END) AS "{n}_{i}"' for i in (1, 2, 3)
              for c, n in (("shown", "PhoneNumber"), ("urls", "SourceURL")))}
-FROM best b WHERE rank <= 3 GROUP BY b.base"""
+FROM best b JOIN names ON names.base = b.base WHERE rank <= 3 GROUP BY b.base"""
 
 
 query("contacts_from_texts", _flow_sql())(contacts_from_texts)

@@ -77,6 +77,17 @@ def check(spark, con, name, sf, queries, sql):
     return "ok", len(got), took, ""
 
 
+def compile_failures(seen=[0]):
+    """Note when generated code was too large for a query (log file in $ERR)."""
+    path = os.environ.get("ERR")
+    if not path:
+        return ""
+    with open(path, errors="replace") as f:
+        now = sum("grows beyond" in line for line in f)
+    fresh, seen[0] = now - seen[0], now
+    return f" [{fresh} stages without generated code]" if fresh else ""
+
+
 def main():
     from __spark_entry__ import oracle_sql, queries
 
@@ -95,6 +106,7 @@ def main():
             if os.environ.get("TRACE"):
                 traceback.print_exc()
         bad += state not in ("ok", "rows")
+        note += compile_failures()
         print(f"{state:8} {name:34} {n:8} rows {took:6.2f}s {note[:1500]}", flush=True)
     print("failed:", bad)
 
