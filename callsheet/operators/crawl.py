@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callsheet import dims
 from callsheet.functions import urls
-from callsheet.functions.stages import computed
+from callsheet.functions.stages import computed, stored
 from callsheet.operators.links import LinkRules, score_links
 
 
@@ -93,49 +93,56 @@ def crawl_stored(entries: DataFrame, fetches: DataFrame, rules: LinkRules = Link
 
     ``entries(input_row_id, entry_url)``, ``fetches(url, status_code, landed_url,
     html)``. Returns the kept pages (first visit of a landed URL wins, by row) and
-    one outcome row per entry. Depth is a small constant; with more than one level
-    each level is checkpointed so that the plan does not grow."""
-    spark = entries.sparkSession
+    one outcome row per entry. Depth is a small constant; every level's pages and
+    queue are written to the shared folder, so the plan does not grow with depth."""
     level = entries.select("input_row_id", "entry_url", F.col("entry_url").alias("link_url"),
                            F.lit(100).alias("score"), F.lit(0).alias("link_ord"),
                            F.lit(0).alias("depth"))
-    queued, kept = level.select("input_row_id", "link_url"), None
     got = fetches.select(F.col("url").alias("link_url"), "status_code", "landed_url", "html")
+    queued = kept = None
     for depth in range(max_depth + 1):
-        hit = level.join(got, "link_url").filter(F.col("html").isNotNull() & (F.col("html") != ""))
+        queue = level.select("input_row_id", "link_url")
+        queued = queue if queued is None else queued.unionByName(queue)
+        hit = _within_budget(
+            level.join(got.filter(F.coalesce("html", F.lit("")) != ""), "link_url"),
+            kept, max_pages, bypass_score, bypass_pages)
         hit = computed(hit, landed_url=urls.normalize_url(F.col("landed_url")))
-        if kept is not None and max_pages > 0:
-            used = kept.groupBy("input_row_id").agg(F.count(F.lit(1)).alias("_used"))
-            hit = hit.join(used, "input_row_id", "left")
-        else:
-            hit = hit.withColumn("_used", F.lit(0))
-        w = Window.partitionBy("input_row_id").orderBy(F.col("score").desc(), "link_ord")
-        visit = F.row_number().over(w)
-        hit = hit.withColumn("_n", visit)
-        if max_pages > 0:
-            at = F.col("_n") + F.coalesce("_used", F.lit(0))
-            hit = hit.filter(F.col("_n") <= max_pages + bypass_pages).filter(
-                (at <= max_pages) | ((F.col("score") >= bypass_score) & (at <= max_pages + bypass_pages)))
-        hit = hit.drop("_n", "_used")
-        if max_depth > 1 and spark.conf.get("spark.checkpoint.dir", None):
-            hit = hit.checkpoint()
-        kept = hit if kept is None else kept.unionByName(hit)
+        # The pages of a level without their source, which stays in the page store.
+        done = stored(hit.drop("html"), "crawl-pages")
+        kept = done if kept is None else kept.unionByName(done)
         if depth < max_depth:
             found = score_links(hit.select("input_row_id", "entry_url", "landed_url", "html"),
                                 rules, "landed_url")
             nxt = (found.groupBy("input_row_id", "entry_url", "link_url")
                    .agg(F.min(F.struct("link_ord", "score")).alias("f")))
-            level = (nxt.select("input_row_id", "entry_url", "link_url",
-                                F.col("f.score").alias("score"), F.col("f.link_ord").alias("link_ord"),
-                                F.lit(depth + 1).alias("depth"))
-                     .join(queued, ["input_row_id", "link_url"], "left_anti")
-                     .join(kept.select("input_row_id", F.col("landed_url").alias("link_url")),
-                           ["input_row_id", "link_url"], "left_anti"))
-            queued = queued.unionByName(level.select("input_row_id", "link_url"))
+            seen = queued.unionByName(kept.select("input_row_id", F.col("landed_url").alias("link_url")))
+            level = stored(
+                nxt.select("input_row_id", "entry_url", "link_url",
+                           F.col("f.score").alias("score"), F.col("f.link_ord").alias("link_ord"),
+                           F.lit(depth + 1).alias("depth"))
+                .join(seen, ["input_row_id", "link_url"], "left_anti"), "crawl-queue")
     pages = first_visits(kept, "landed_url", ["input_row_id", "depth", F.col("score").desc(), "link_ord"])
+    pages = stored(pages, "crawl-visits")
     return pages, entry_outcomes(entries, pages, fetches)
 
 
+def _within_budget(hit: DataFrame, kept: DataFrame | None, max_pages: int, bypass_score: int,
+                   bypass_pages: int) -> DataFrame:
+    """Fetched pages of a level that the entry's budget still allows."""
+    if max_pages == 0:
+        return hit
+    if kept is None:
+        hit = hit.withColumn("_used", F.lit(0).cast("bigint"))
+    else:
+        used = kept.groupBy("input_row_id").agg(F.count(F.lit(1)).alias("_used"))
+        hit = hit.join(used, "input_row_id", "left")
+    w = Window.partitionBy("input_row_id").orderBy(F.col("score").desc(), "link_ord")
+    ranked = hit.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= max_pages + bypass_pages)
+    at = F.col("_n") + F.coalesce("_used", F.lit(0))
+    return ranked.filter((at <= max_pages) | ((F.col("score") >= bypass_score)
+                                              & (at <= max_pages + bypass_pages))).drop("_n", "_used")
+
+
 def entry_outcomes(entries: DataFrame, pages: DataFrame, fetches: DataFrame) -> DataFrame:
     """Success with at least one new page, else the decoded entry status. An entry
     that only met pages of earlier rows is ``Already_Processed``."""

@@ -120,7 +120,7 @@ def entries(spark, sf) -> DataFrame:
          .otherwise(F.concat(F.lit("0049 30 "), F.lpad((c * 13 % 2000).cast("string"), 7, "0")))
          ).alias("given_phone"),
         F.col("c_mktsegment").alias("description"), F.lit("['DE','AT','CH']").alias("target_countries"),
-        F.timestamp_seconds(F.lit(1704067200) + c).alias("logged_at"))
+        F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, c_custkey)").alias("logged_at"))
     i = F.col("input_row_id")
     rows = computed(rows, clean_url=urls.clean_url(F.col("given_url"))).withColumn(
         "status", F.when(~urls.is_http(F.col("clean_url")), "InvalidURL")
@@ -138,13 +138,11 @@ def entries(spark, sf) -> DataFrame:
                     normalized_phone=phones.e164(F.col("given_phone"), "DE"))
 
 
-def sites(spark, sf) -> DataFrame:
+def sites(rows: DataFrame, good_items: DataFrame) -> DataFrame:
     """One row per entry page reached: status, pages, candidates, label facts."""
-    from callsheet.operators.contacts import usable_items
-
-    reached = entries(spark, sf).filter(F.col("pathful_url").isNotNull()).groupBy("pathful_url", "base").agg(
+    reached = rows.filter(F.col("pathful_url").isNotNull()).groupBy("pathful_url", "base").agg(
         F.min("input_row_id").alias("ord"), F.min_by("status", "input_row_id").alias("first_status"))
-    volume = usable_items(items(spark, sf)).groupBy("base").agg(F.count(F.lit(1)).alias("n"))
+    volume = good_items.groupBy("base").agg(F.count(F.lit(1)).alias("n"))
     j = reached.join(volume, "base", "left")
     k = F.regexp_extract("base", r"//s([0-9]+)\.", 1).cast("bigint")
     ok = F.col("first_status").isin("Success", "Already_Processed")

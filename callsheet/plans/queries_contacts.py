@@ -406,7 +406,7 @@ def _(spark, sf):
 SELECT base, arg_min(status, (CASE WHEN status = 'Success' THEN 0 WHEN status = 'Unknown' THEN 3
   WHEN contains(status, 'Error') THEN 2 ELSE 1 END) * 1000000000000 + ord) AS base_status FROM v_sites GROUP BY base""")
 def _(spark, sf):
-    return ct.base_status(b.sites(spark, sf))
+    return ct.base_status(b.sites(b.entries(spark, sf), good_items(spark, sf)))
 
 
 FIRST_SEEN = """SELECT base, number, string_agg(v, ', ' ORDER BY o, v) AS cell FROM (

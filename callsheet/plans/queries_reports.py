@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from callsheet import dims
 from callsheet.functions import urls
+from callsheet.functions.stages import stored
 from callsheet.operators import analysis as an, candidates as cd, contacts as ct, crawl, duplicates as dp
 from callsheet.operators import journey as jn, labels as lb, metrics as mt, outcomes as oc, reports as rp
 from callsheet.plans import bindings as b, sqltext as s
@@ -26,7 +27,7 @@ class Run:
 
     @cached_property
     def entries(self):
-        return b.entries(self.spark, self.sf)
+        return stored(b.entries(self.spark, self.sf), "entries")
 
     @cached_property
     def items(self):
@@ -34,15 +35,15 @@ class Run:
 
     @cached_property
     def numbers(self):
-        return ct.numbers(self.items)
+        return stored(ct.numbers(self.items), "numbers")
 
     @cached_property
     def sources(self):
-        return ct.sources(self.items)
+        return stored(ct.sources(self.items), "sources")
 
     @cached_property
     def sites(self):
-        return b.sites(self.spark, self.sf)
+        return stored(b.sites(self.entries, self.items), "sites")
 
     @cached_property
     def pages(self):
@@ -50,7 +51,7 @@ class Run:
 
     @cached_property
     def journey(self):
-        return jn.journey(self.entries, self.pages, self.sites, self.numbers, self.sources)
+        return stored(jn.journey(self.entries, self.pages, self.sites, self.numbers, self.sources), "journey")
 
     @cached_property
     def outcomes(self):
@@ -759,10 +760,10 @@ def contacts_from_texts(spark, sf) -> DataFrame:
     asked = cands.select("base", F.concat("base", F.lit("/")).alias("pathful_url"), "page_url", "page_type",
                          "page_ord", "match_ord", "number", "snippet", F.col("page_url").alias("source_url"),
                          "company")
-    slots = lb.request_slots(asked, "pathful_url", ["page_ord", "match_ord"])
-    labelled = lb.reconcile(slots, lb.rule_labeler(slots))
+    slots = stored(lb.request_slots(asked, "pathful_url", ["page_ord", "match_ord"]), "slots")
+    labelled = stored(lb.reconcile(slots, lb.rule_labeler(slots)), "labelled")
     items = ct.usable_items(labelled.withColumn("ord", F.struct("page_ord", "match_ord")))
-    nums, src = ct.numbers(items), ct.sources(items)
+    nums, src = stored(ct.numbers(items), "numbers"), stored(ct.sources(items), "sources")
     status = items.select("base").distinct().withColumn("base_status", F.lit("Success"))
     rows = items.select("base", F.col("company").alias("company_name"), F.col("base").alias("given_url")).distinct()
     return rp.final_contacts(rows, status, nums, src, ct.original_urls(items))

@@ -91,20 +91,27 @@ def row_range(df: DataFrame, text: str | None, ordinal: str = "input_row_id") ->
     return out.filter(F.col(ordinal) < skip + take) if take is not None else out
 
 
-def stop_after_blanks(df: DataFrame, cells: list[str], k: int = 3,
-                      ordinal: str = "input_row_id") -> DataFrame:
-    """Non-blank rows before the first run of ``k`` blank rows (k<=0: all rows).
+def blank_run_starts(df: DataFrame, cells: list[str], k: int = 3,
+                     ordinal: str = "input_row_id") -> DataFrame:
+    """Every place ``start`` where ``k`` blank rows in a row begin.
 
     A run is found without ordering the table: every blank row votes for the ``k``
-    places a run containing it may start at; the smallest place with ``k`` votes is
-    a scalar that filters the table."""
-    if k <= 0:
-        return df
+    places a run containing it may start at; a place with ``k`` votes is one."""
     blank = blank_row(*[F.col(c) for c in cells])
     votes = df.filter(blank).select(
         F.explode(F.sequence(F.col(ordinal) - (k - 1), F.col(ordinal))).alias("start"))
-    runs = votes.groupBy("start").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == k)
-    stop = runs.agg(F.min("start").alias("stop"))
+    return votes.groupBy("start").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") == k).select("start")
+
+
+def stop_after_blanks(df: DataFrame, cells: list[str], k: int = 3,
+                      ordinal: str = "input_row_id") -> DataFrame:
+    """Non-blank rows before the first run of ``k`` blank rows (k<=0: all rows). The
+    first run's place is a scalar that filters the table."""
+    if k <= 0:
+        return df
+    blank = blank_row(*[F.col(c) for c in cells])
+    stop = blank_run_starts(df, cells, k, ordinal).agg(F.min("start").alias("stop"))
     return df.filter(~blank & F.coalesce(F.col(ordinal) < stop.scalar(), F.lit(True)))
 
 
