@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from callsheet import dims
-from callsheet.functions.regex import SPACE
+from callsheet.functions.regex import LONG_SPACE
 from callsheet.functions.text import strip
 
-SCRIPT = r"(?is)<script\b.*?</script\s*>"
-STYLE = r"(?is)<style\b.*?</style\s*>"
-COMMENT = r"(?s)<!--.*?-->"
-MARKUP = r"(?s)<[!?/a-zA-Z][^>]*>"
+# Scripts come before tags: they may hold text that looks like markup.
+HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+TAG = r"(?is)<[!?/a-z][^>]*>"
+MARKUP = HIDDEN + "|" + TAG.removeprefix("(?is)")
 ANCHOR = r"(?is)<a\b[^>]*>.*?</a\s*>"
 HREF = r"""(?is)^<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 REFERENCE = r"(?s)^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);(.*)$"
@@ -46,18 +46,14 @@ def decode_entities(c: Column) -> Column:
 
 
 def without_hidden(c: Column) -> Column:
-    """Page source without scripts, styles and comments (scripts go first: they
-    may hold text that looks like markup)."""
-    c = F.regexp_replace(c, SCRIPT, " ")
-    c = F.regexp_replace(c, STYLE, " ")
-    return F.regexp_replace(c, COMMENT, " ")
+    """Page source without scripts, styles and comments, in one pass."""
+    return F.regexp_replace(c, HIDDEN, " ")
 
 
 def html_text(c: Column) -> Column:
     """Visible text: tags become blanks, references are decoded, blanks collapse."""
-    bare = F.regexp_replace(without_hidden(c), MARKUP, " ")
-    return F.coalesce(
-        strip(F.regexp_replace(decode_entities(bare), f"[{SPACE}]+", " ")), F.lit(""))
+    bare = F.regexp_replace(c, MARKUP, " ")
+    return F.coalesce(F.trim(F.regexp_replace(decode_entities(bare), LONG_SPACE, " ")), F.lit(""))
 
 
 def anchors(c: Column) -> Column:
@@ -71,4 +67,4 @@ def anchor_href(tag: Column) -> Column:
 
 
 def anchor_text(tag: Column) -> Column:
-    return F.lower(strip(decode_entities(F.regexp_replace(tag, MARKUP, ""))))
+    return F.lower(strip(decode_entities(F.regexp_replace(tag, TAG, ""))))

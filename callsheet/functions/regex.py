@@ -7,6 +7,9 @@ import re
 
 # Unicode white space, as one character class body.
 SPACE = r"\s\x0B\x1C-\x1F\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+# A run of white space that is not already one plain blank.
+OTHER_SPACE = SPACE.replace(r"\s", r"\t\n\f\r")
+LONG_SPACE = f" [{SPACE}]+|[{OTHER_SPACE}][{SPACE}]*"
 TRIM = f"^[{SPACE}]+|[{SPACE}]+$"
 
 

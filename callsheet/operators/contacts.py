@@ -37,13 +37,25 @@ def malformed_counts(items: DataFrame, *by: str) -> DataFrame:
     return items.groupBy(*by).agg(F.count_if(bad).alias("skipped"), F.count_if(~bad).alias("usable"))
 
 
-def sources(items: DataFrame) -> DataFrame:
+def source_facts(items: DataFrame) -> DataFrame:
+    """One row per (base, number, source URL, type): the first item's company, and
+    what the classification of the number needs. The only shuffle of all items;
+    ``sources`` and ``numbers`` both start from it."""
+    t = items.withColumn("cp", class_priority(F.col("classification")))
+    return t.groupBy("base", "number", "source_url", "type").agg(
+        F.min(F.struct("cp", "ord", "classification")).alias("best"),
+        F.max(F.struct("ord", "classification")).alias("last"),
+        F.min(F.struct("ord", "company")).alias("first"),
+        F.count(F.lit(1)).alias("n"))
+
+
+def sources(facts: DataFrame) -> DataFrame:
     """One row per (base, number, source URL, type); the first item wins."""
-    return items.groupBy("base", "number", "source_url", "type").agg(
-        F.min("ord").alias("ord"), F.min_by("company", "ord").alias("company"))
+    return facts.select("base", "number", "source_url", "type", F.col("first.ord").alias("ord"),
+                        F.col("first.company").alias("company"))
 
 
-def numbers(items: DataFrame) -> DataFrame:
+def numbers(facts: DataFrame) -> DataFrame:
     """One row per (base, number): best classification, type of the first source,
     eligibility facts and first position.
 
@@ -51,14 +63,12 @@ def numbers(items: DataFrame) -> DataFrame:
     the first stays unless a later item has a better type than the first source;
     then the last such item wins. Keeping one candidate per type priority (20 at
     most) settles that without gathering a number's items."""
-    t = items.withColumn("tp", type_priority(F.col("type"))).withColumn(
-        "cp", class_priority(F.col("classification")))
+    t = facts.withColumn("tp", type_priority(F.col("type")))
     per_type = t.groupBy("base", "number", "tp").agg(
-        F.min(F.struct("cp", "ord", "classification")).alias("best"),
-        F.max(F.struct("ord", "classification")).alias("last"),
-        F.min(F.struct("ord", "tp", "type")).alias("first"),
+        F.min("best").alias("best"), F.max("last").alias("last"),
+        F.min(F.struct(F.col("first.ord").alias("ord"), "tp", "type")).alias("first"),
         F.max(F.col("type").isin(dims.EXCLUDED_CONTACT_TYPES)).alias("excluded"),
-        F.count(F.lit(1)).alias("n"))
+        F.sum("n").alias("n"))
     grouped = per_type.groupBy("base", "number").agg(
         F.min("best").alias("best"), F.min("first").alias("first"),
         F.collect_list(F.struct("last", "tp")).alias("lasts"),

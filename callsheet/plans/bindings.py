@@ -138,11 +138,11 @@ def entries(spark, sf) -> DataFrame:
                     normalized_phone=phones.e164(F.col("given_phone"), "DE"))
 
 
-def sites(rows: DataFrame, good_items: DataFrame) -> DataFrame:
-    """One row per entry page reached: status, pages, candidates, label facts."""
+def sites(rows: DataFrame, volume: DataFrame) -> DataFrame:
+    """One row per entry page reached: status, pages, candidates, label facts.
+    ``volume`` holds the item count ``n`` of each base."""
     reached = rows.filter(F.col("pathful_url").isNotNull()).groupBy("pathful_url", "base").agg(
         F.min("input_row_id").alias("ord"), F.min_by("status", "input_row_id").alias("first_status"))
-    volume = good_items.groupBy("base").agg(F.count(F.lit(1)).alias("n"))
     j = reached.join(volume, "base", "left")
     k = F.regexp_extract("base", r"//s([0-9]+)\.", 1).cast("bigint")
     ok = F.col("first_status").isin("Success", "Already_Processed")

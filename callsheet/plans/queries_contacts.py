@@ -349,11 +349,11 @@ def good_items(spark, sf):
 
 
 def numbers(spark, sf):
-    return ct.numbers(good_items(spark, sf))
+    return ct.numbers(ct.source_facts(good_items(spark, sf)))
 
 
 def sources(spark, sf):
-    return ct.sources(good_items(spark, sf))
+    return ct.sources(ct.source_facts(good_items(spark, sf)))
 
 
 @query("F9_malformed_items", s.with_(s.V_ITEM) + """
@@ -406,7 +406,8 @@ def _(spark, sf):
 SELECT base, arg_min(status, (CASE WHEN status = 'Success' THEN 0 WHEN status = 'Unknown' THEN 3
   WHEN contains(status, 'Error') THEN 2 ELSE 1 END) * 1000000000000 + ord) AS base_status FROM v_sites GROUP BY base""")
 def _(spark, sf):
-    return ct.base_status(b.sites(b.entries(spark, sf), good_items(spark, sf)))
+    volume = good_items(spark, sf).groupBy("base").agg(F.count(F.lit(1)).alias("n"))
+    return ct.base_status(b.sites(b.entries(spark, sf), volume))
 
 
 FIRST_SEEN = """SELECT base, number, string_agg(v, ', ' ORDER BY o, v) AS cell FROM (

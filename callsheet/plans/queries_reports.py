@@ -35,15 +35,20 @@ class Run:
 
     @cached_property
     def numbers(self):
-        return stored(ct.numbers(self.items), "numbers")
+        return stored(ct.numbers(self.source_facts), "numbers")
+
+    @cached_property
+    def source_facts(self):
+        return stored(ct.source_facts(self.items), "source_facts")
 
     @cached_property
     def sources(self):
-        return stored(ct.sources(self.items), "sources")
+        return ct.sources(self.source_facts)
 
     @cached_property
     def sites(self):
-        return stored(b.sites(self.entries, self.items), "sites")
+        volume = self.source_facts.groupBy("base").agg(F.sum("n").alias("n"))
+        return stored(b.sites(self.entries, volume), "sites")
 
     @cached_property
     def pages(self):
@@ -72,7 +77,7 @@ class Run:
     @cached_property
     def final(self):
         return rp.final_contacts(self.entries, self.journey, self.numbers, self.sources,
-                                 ct.original_urls(self.items))
+                                 ct.original_urls(self.sources))
 
 
 # --- duplicates ---------------------------------------------------------------------------
@@ -331,14 +336,14 @@ v_headers AS (
 @query("J2_domain_headers", s.with_(V_HEADERS) + "SELECT * FROM v_headers")
 def _(spark, sf):
     run = Run(spark, sf)
-    return rp.domain_headers(run.entries, run.items.select("base").distinct(), ct.original_urls(run.items))
+    return rp.domain_headers(run.entries, run.sources.select("base").distinct(), ct.original_urls(run.sources))
 
 
 @query("A12_header_texts", s.with_(V_HEADERS) + 'SELECT base, "CompanyName" FROM v_headers')
 def _(spark, sf):
     run = Run(spark, sf)
-    return rp.domain_headers(run.entries, run.items.select("base").distinct(),
-                             ct.original_urls(run.items)).select("base", "CompanyName")
+    return rp.domain_headers(run.entries, run.sources.select("base").distinct(),
+                             ct.original_urls(run.sources)).select("base", "CompanyName")
 
 
 @query("J3_base_to_sites", s.with_(s.V_ENTRIES) + """
@@ -763,10 +768,11 @@ def contacts_from_texts(spark, sf) -> DataFrame:
     slots = stored(lb.request_slots(asked, "pathful_url", ["page_ord", "match_ord"]), "slots")
     labelled = stored(lb.reconcile(slots, lb.rule_labeler(slots)), "labelled")
     items = ct.usable_items(labelled.withColumn("ord", F.struct("page_ord", "match_ord")))
-    nums, src = stored(ct.numbers(items), "numbers"), stored(ct.sources(items), "sources")
+    facts = stored(ct.source_facts(items), "source_facts")
+    nums, src = stored(ct.numbers(facts), "numbers"), ct.sources(facts)
     status = items.select("base").distinct().withColumn("base_status", F.lit("Success"))
     rows = items.select("base", F.col("company").alias("company_name"), F.col("base").alias("given_url")).distinct()
-    return rp.final_contacts(rows, status, nums, src, ct.original_urls(items))
+    return rp.final_contacts(rows, status, nums, src, ct.original_urls(src))
 
 
 def _flow_sql() -> str:

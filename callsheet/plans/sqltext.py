@@ -64,13 +64,11 @@ def decode(c: str) -> str:
 
 
 def hidden(c: str) -> str:
-    for p in (html.SCRIPT, html.STYLE, html.COMMENT):
-        c = rr(c, p, " ")
-    return c
+    return rr(c, html.HIDDEN, " ")
 
 
 def page_text(c: str) -> str:
-    bare = rr(hidden(c), html.MARKUP, " ")
+    bare = rr(hidden(c), html.TAG, " ")
     return strip(rr(decode(bare), f"[{regex.SPACE}]+", " "))
 
 

@@ -106,7 +106,8 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
     labelled = stored(lb.reconcile(slots, responses, s.max_retries), "labelled")
     items = ct.usable_items(labelled.withColumn("ord", F.struct("input_row_id", "chunk", "pos")),
                             s.count_error_items)
-    nums, src = stored(ct.numbers(items), "numbers"), stored(ct.sources(items), "sources")
+    found = stored(ct.source_facts(items), "source_facts")
+    nums, src = stored(ct.numbers(found), "numbers"), ct.sources(found)
 
     page_rows = pages.join(entries.select("input_row_id", "base", "pathful_url"), "input_row_id").select(
         "base", "pathful_url", F.col("landed_url").alias("page_url"),
@@ -118,7 +119,7 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
     events = oc.failure_events(entries, sites)
     lost = stored(rp.attrition(rp.with_label_error(out, sites), facts, entries), "attrition")
     summary = stored(rp.summary(out, nums, src, s.run_id), "summary")
-    final = stored(rp.final_contacts(entries, facts, nums, src, ct.original_urls(items)), "final")
+    final = stored(rp.final_contacts(entries, facts, nums, src, ct.original_urls(src)), "final")
     original = rows.select("input_row_id", "company_name", "given_url", "given_phone", "description")
     reports = {
         "detailed": rp.detailed(entries, facts, nums, src, s.run_id),

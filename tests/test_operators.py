@@ -38,7 +38,8 @@ def fold(items):
 def test_consolidation_equals_fold(spark, groups):
     rows = [(f"b{g}", n, f"u{i}", t, c, None, i) for g, items in enumerate(groups)
             for i, (n, t, c) in enumerate(items)]
-    got = {(r.base, r.number): r.classification for r in ct.numbers(spark.createDataFrame(rows, ITEMS)).collect()}
+    got = {(r.base, r.number): r.classification for r in ct.numbers(
+        ct.source_facts(spark.createDataFrame(rows, ITEMS))).collect()}
     want = {(f"b{g}", n): c for g, items in enumerate(groups) for n, c in fold(items).items()}
     assert got == want
 
@@ -46,7 +47,8 @@ def test_consolidation_equals_fold(spark, groups):
 def test_sources_keep_first(spark):
     rows = [("b", "1", "u", "Fax", "Primary", "late", 5), ("b", "1", "u", "Fax", "Primary", "early", 2),
             ("b", "1", "u", "Sales", "Primary", None, 3)]
-    got = {(r.type): (r.ord, r.company) for r in ct.sources(spark.createDataFrame(rows, ITEMS)).collect()}
+    got = {(r.type): (r.ord, r.company) for r in ct.sources(
+        ct.source_facts(spark.createDataFrame(rows, ITEMS))).collect()}
     assert got == {"Fax": (2, "early"), "Sales": (3, None)}
 
 
