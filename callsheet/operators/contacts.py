@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callsheet import dims
-from callsheet.operators.skew import first_cells, list_cells, ranked
+from callsheet.operators.skew import first_cells, list_cells, overflow_cells, ranked
 
 
 def _lookup(c: Column, table: dict, other: int) -> Column:
@@ -122,6 +122,16 @@ def number_cells(src: DataFrame, col: str, name: str, first_seen: bool = False,
     return first_cells(cells).select("base", "number", F.col("cell").alias(name))
 
 
+def number_overflow(src: DataFrame, max_items: int = 10_000) -> DataFrame:
+    """Further parts of the value lists that do not fit one report cell."""
+    long = None
+    for col in ("type", "source_url", "company"):
+        part = distinct_values(src, col).select("base", "number", F.lit(col).alias("column"), "value")
+        long = part if long is None else long.unionByName(part)
+    return overflow_cells(list_cells(long, ["base", "number", "column"], "value", max_items=max_items)
+                          ).select("base", "number", "column", "part", "cell")
+
+
 def wide(top: DataFrame, columns: dict[str, str], k: int = 3) -> DataFrame:
     """Ranks 1..k as columns: {source column: 'Prefix_'} per base."""
     return top.groupBy("base").agg(*[

@@ -6,11 +6,10 @@ sites:   pathful_url, base, ord, status, candidates, label_called, raw_numbers,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from callsheet import dims
 from callsheet.operators import contacts
-from callsheet.operators.skew import list_cells
+from callsheet.operators.skew import first_cells, list_cells, overflow_cells
 
 NETWORK = "Timeout|DNS|Network|Unreachable"
 DENIED = "403|AccessDenied|Robots"
@@ -38,14 +37,18 @@ def page_totals(pages: DataFrame) -> DataFrame:
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("page_type", "n")))).alias("page_types"))
 
 
-def type_histogram(src: DataFrame) -> DataFrame:
-    """Source count per type of a base, and the counts as JSON text."""
+def _type_pairs(src: DataFrame) -> DataFrame:
+    """Source count per type of a base, as ``"type": n`` pairs in list cells."""
     counted = src.filter(F.col("type").isNotNull()).groupBy("base", "type").agg(
         F.count(F.lit(1)).alias("n"))
     pair = F.concat(F.to_json(F.array("type")), F.lit(": "), F.col("n").cast("string"))
     pair = F.regexp_replace(pair, r"^\[(.*)\]: ([0-9]+)$", "$1: $2")
-    cells = list_cells(counted.withColumn("pair", pair), ["base"], "pair")
-    return cells.filter(F.col("part") == 0).select(
+    return list_cells(counted.withColumn("pair", pair), ["base"], "pair")
+
+
+def type_histogram(src: DataFrame) -> DataFrame:
+    """Source count per type of a base as JSON text."""
+    return first_cells(_type_pairs(src)).select(
         "base", F.concat(F.lit("{"), F.col("cell"), F.lit("}")).alias("types_json"))
 
 
@@ -76,8 +79,11 @@ def member_cells(long: DataFrame, max_items: int = 10_000) -> DataFrame:
     return list_cells(long, ["base", "column"], "value", max_items=max_items)
 
 
-def _text(c: str) -> Column:
-    return F.coalesce(F.col(c), F.lit(""))
+def overflow(cells: DataFrame, src: DataFrame) -> DataFrame:
+    """Further parts of the domain lists that do not fit one report cell."""
+    types = overflow_cells(_type_pairs(src)).select(
+        "base", F.lit("LLM_Consolidated_Number_Types_Summary").alias("column"), "part", "cell")
+    return overflow_cells(cells).select("base", "column", "part", "cell").unionByName(types)
 
 
 def journey(entries: DataFrame, pages: DataFrame, sites: DataFrame, nums: DataFrame,

@@ -132,6 +132,9 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
     }
     size = lambda name: reports[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "n")
     sizes = size("summary").unionByName(size("final_contacts")).unionByName(size("domain_summary"))
+    cells = jn.member_cells(jn.members(entries, sites))
+    reports["list_overflow"] = ct.number_overflow(src).unionByName(
+        jn.overflow(cells, src).withColumn("number", F.lit(None).cast("string")))
     reports["failed_rows"] = events
     reports["run_metrics"] = mt.run_metrics(rows, out, lost, domains, events, page_rows, sites, sizes)
     reports["requests"] = sinks.request_archive(cands)

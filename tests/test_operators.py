@@ -73,6 +73,15 @@ def test_list_cells_are_whole(spark):
     assert [(r.part, r.cell) for r in cells if r.k == "cold"] == [(0, "a, b")]
 
 
+def test_long_cells_go_on_in_the_overflow(spark):
+    rows = [("b", "1", f"u{i:03d}", "Sales", "Primary", None, i) for i in range(60)]
+    src = ct.sources(ct.source_facts(spark.createDataFrame(rows, ITEMS)))
+    shown = ct.number_cells(src, "source_url", "cell", max_items=10).first().cell.split(", ")
+    more = ct.number_overflow(src, max_items=10).filter("column = 'source_url'").collect()
+    rest = [u for r in more for u in r.cell.split(", ")]
+    assert sorted(shown + rest) == [r[2] for r in rows] and len(shown) < 30
+
+
 def test_blank_stop_equals_loop(spark):
     rng = random.Random(5)
     for case in range(4):
