@@ -21,6 +21,8 @@ from callsheet.functions.stages import stored
 
 #: Rows that one tree task holds, nodes that one leaf compares, nodes of one descent cell.
 TREE_ROWS, LEAF, CELL = 8192, 192, 1024
+#: Codes per unit; a vector of norm one rarely has a component beyond 127 / 254.
+SCALE = 254.0
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -40,25 +42,32 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _matrix(column) -> np.ndarray:
-    """Rows of packed single-precision numbers."""
+    """Rows of packed codes."""
     parts = list(column)
-    return np.frombuffer(b"".join(parts), np.float32).reshape(len(parts), -1) if parts else np.zeros((0, 1), np.float32)
+    return np.frombuffer(b"".join(parts), np.int8).reshape(len(parts), -1).astype(np.float32) if parts else np.zeros((0, 1), np.float32)
 
 
 def packed(nodes: DataFrame, longest: float, trees: int, seed: int) -> DataFrame:
-    """``id, vec`` (lengthened, packed) and a random projection for each tree."""
+    """``id, vec`` (lengthened to norm one, a byte a component) and a random projection for
+    each tree. The graph and the walk compare these bytes; what is returned is exact."""
     def run(batches):
         for b in batches:
-            x = np.array(b.column("vector").to_pylist(), dtype=np.float64).reshape(b.num_rows, -1)
-            pad = np.sqrt(np.maximum(longest ** 2 - (x ** 2).sum(axis=1), 0))
-            x = np.column_stack([x, pad]) / longest
+            x = np.array(b.column("vector").to_pylist(), dtype=np.float64).reshape(b.num_rows, -1) / longest
+            x = np.column_stack([x, np.sqrt(np.maximum(1 - (x ** 2).sum(axis=1), 0))])
             p = x @ np.random.default_rng(seed).normal(size=(x.shape[1], trees))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([r.tobytes() for r in x.astype(np.float32)], pa.binary()), *[pa.array(p[:, t]) for t in range(trees)]],
+            codes = np.rint(np.clip(x * SCALE, -127, 127)).astype(np.int8)
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([r.tobytes() for r in codes], pa.binary()), *[pa.array(p[:, t]) for t in range(trees)]],
                                              names=["id", "vec", *[f"p{t}" for t in range(trees)]])
 
     return nodes.mapInArrow(run, "id long, vec binary, " + ", ".join(f"p{t} double" for t in range(trees)))
 
 
+def _dots(batches):
+    for b in batches:
+        s = np.einsum("ij,ij->i", _matrix(b.column("vec").to_pylist()), _matrix(b.column("qvec").to_pylist()))
+        yield pa.RecordBatch.from_arrays([b.column("q"), b.column("id"), pa.array(s.astype(np.float32)), pa.array(np.zeros(len(s), bool))], names=["q", "id", "s", "done"])
+
+
 def leaves(x: np.ndarray, most: int, rng) -> list[np.ndarray]:
     """Row numbers of the leaves of a random hyperplane tree."""
     out, todo = [], [np.arange(len(x))]
@@ -97,7 +106,7 @@ def tree_edges(points: DataFrame, tree: int, parts: int, k: int) -> DataFrame:
             np.fill_diagonal(s, -np.inf)
             n = min(k, len(rows) - 1)
             if n == 0:  # alone in its leaf: a row for its cell only
-                yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(ids[rows]), pa.array(np.full(len(rows), -4, np.float32)), pa.array(np.full(len(rows), cell))], names=["u", "v", "s", "cell"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[rows]), pa.array(ids[rows]), pa.array(np.full(len(rows), -1e9, np.float32)), pa.array(np.full(len(rows), cell))], names=["u", "v", "s", "cell"])
                 continue
             near = np.argpartition(-s, n - 1, axis=1)[:, :n]
             yield pa.RecordBatch.from_arrays(
@@ -170,7 +179,7 @@ def descend(points: DataFrame, k: int, trees: int, rounds: int, count: int) -> D
         lists = lists.select("cell", F.expr("array_append(all.m, x)").alias("members"), F.expr("array_append(all.fresh, false)").alias("fresh"))
         lists = stored(lists, "lists")
         floor = graph.groupBy(F.col("u").alias("id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("s")).alias("floor"))
-        known = nodes.select("id", "vec").join(floor, "id", "left").select("id", "vec", F.coalesce("floor", F.lit(-8.0)).cast("float").alias("floor"))
+        known = nodes.select("id", "vec").join(floor, "id", "left").select("id", "vec", F.coalesce("floor", F.lit(-1e9)).cast("float").alias("floor"))
         needed = lists.select(F.col("cell").alias("in_cell"), F.explode("members").alias("id")).distinct().join(known, "id")
         found = lists.groupBy("cell").cogroup(needed.groupBy("in_cell")).applyInPandas(_join_cell(k), "u long, v long, s float")
         grown = graph.withColumn("fresh", F.lit(False)).unionByName(found.withColumn("fresh", F.lit(True)))
@@ -180,7 +189,7 @@ def descend(points: DataFrame, k: int, trees: int, rounds: int, count: int) -> D
     return graph
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = 24, trees: int = 5, rounds: int = 6, beam: int = 96, expand: int = 16, hops: int = 8, seed: int = 5) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = 32, trees: int = 6, rounds: int = 8, beam: int = 192, expand: int = 32, hops: int = 8, seed: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each query.
 
     Reads ``vec_id`` and ``embedding``. Queries are the ids divisible by ``every``;
@@ -199,28 +208,33 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = 24,
     ways = stored(both_ways(graph, degree).select("x", "m"), "ways")
     placed = rows.join(nodes, "vector").select("vec_id", "id", "vector")
     queries = stored(placed.filter(F.col("vec_id") % every == 0), "queries")
-    asked = queries.select(F.col("vec_id").alias("q"), F.col("vector").alias("qv"))
-    vector = nodes.select("id", "vector")
+    code = points.select("id", "vec")
+    own = queries.select(F.col("vec_id").alias("q"), "id")
+    # A query has no lengthening component: its product with a node is the inner product.
+    asked = stored(own.join(code, "id").select("q", F.expr("concat(substr(vec, 1, length(vec) - 1), X'00')").alias("qvec")), "asked")
 
     def scored(pairs: DataFrame) -> DataFrame:
-        return pairs.join(vector, "id").join(asked, "q").select("q", "id", dot(F.col("vector"), F.col("qv")).alias("s"), F.lit(False).alias("done"))
+        return pairs.join(code, "id").join(asked, "q").select("q", "id", "vec", "qvec").mapInArrow(_dots, "q long, id long, s float, done boolean")
 
-    own = queries.select(F.col("vec_id").alias("q"), "id")
     start = own.join(ways, own.id == ways.x).select("q", F.col("m").alias("id")).unionByName(own).distinct()
     seen = stored(scored(start), "beam")
     order = Window.partitionBy("q").orderBy(F.desc("s"), "id")
     for _ in range(hops):
         ranked = seen.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= beam)
         todo = Window.partitionBy("q", "done").orderBy("r")
-        ranked = stored(ranked.withColumn("t", F.row_number().over(todo)).withColumn("go", ~F.col("done") & (F.col("t") <= expand) & (F.col("r") <= 3 * k)).drop("t", "r"), "beam")
+        ranked = stored(ranked.withColumn("t", F.row_number().over(todo)).withColumn("go", ~F.col("done") & (F.col("t") <= expand)).drop("t", "r"), "beam")
         front = ranked.filter("go").select("q", "id")
         if front.isEmpty():
             break
         reached = front.join(ways, front.id == ways.x).select("q", F.col("m").alias("id")).distinct().join(ranked.select("q", "id"), ["q", "id"], "left_anti")
         seen = stored(ranked.select("q", "id", "s", (F.col("done") | F.col("go")).alias("done")).unionByName(scored(reached)), "beam")
+    vector = nodes.select("id", "vector")
+    near = seen.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= 3 * k).select("q", "id")
+    exact = (near.join(vector, "id").join(queries.select(F.col("vec_id").alias("q"), F.col("vector").alias("qv")), "q")
+             .select("q", "id", dot(F.col("vector"), F.col("qv")).alias("s")))
     # Each node found stands for all rows with its vector; the k + 1 smallest ids suffice.
     few = Window.partitionBy("id").orderBy("vec_id")
     members = placed.select("id", "vec_id").withColumn("r", F.row_number().over(few)).filter(F.col("r") <= k + 1).select("id", "vec_id")
     last = Window.partitionBy("q").orderBy(F.desc("s"), "vec_id")
-    return (seen.join(members, "id").filter("vec_id <> q").withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= k)
+    return (exact.join(members, "id").filter("vec_id <> q").withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= k)
             .select(F.col("q").alias("query_id"), "rank", "vec_id", F.col("s").alias("score")))
