@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, mixing, neighbours, packing, quality, simhash, token_counts, toxicity
+from . import exact_dedup, langid, mixing, neighbours, packing, quality, repeats, simhash, token_counts, toxicity
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(repeats.cut_repeats(table(spark, sf_dir, "documents")))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_token_counts, op3_packing, op5_language, op6_exact_dedup,
+QUERIES = {f.__name__: f for f in (op1_quality, op2_token_counts, op3_packing, op4_repeats, op5_language, op6_exact_dedup,
                                    op7_toxicity, op8_mix_sources, op9_simhash, op10_neighbours)}
 
 SQL = {
