@@ -18,14 +18,15 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string")) % parts
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, learned: Column) -> DataFrame:
+def labelled(docs: DataFrame, labels: DataFrame, label: str, learned: Column, few: bool = False) -> DataFrame:
     """``doc_id, text, label`` of the rows to learn from, one per document row.
 
-    ``learned`` is a condition on ``doc_id``. Rows without label are left out;
-    of several labels of one document the larger counts."""
+    ``learned`` is a condition on ``doc_id``, tested on both sides. Rows without label are
+    left out; of several labels of one document the larger counts. Unless the labels are
+    known to be ``few`` both sides are shuffled, at any size."""
     marks = (labels.select("doc_id", F.col(label).cast("int").alias("label")).filter(learned)
              .filter("label is not null").groupBy("doc_id").agg(F.max("label").alias("label")))
-    return docs.select("doc_id", "text").join(marks, "doc_id")
+    return docs.select("doc_id", "text").filter(learned).join(marks if few else marks.hint("merge"), "doc_id")
 
 
 def blobs(texts) -> list[bytes]:

@@ -108,7 +108,7 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = 8, ridge: float = 1.0, see
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     """Labelled rows to learn from: all, or the ``sample`` first by hash of the id."""
     rows = labelled(docs, labels.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").filter("quality is not null")
-                    .filter(fold(F.col("doc_id"), 3) != 1).limit(sample), "quality", F.lit(True))
+                    .filter(fold(F.col("doc_id"), 3) != 1).limit(sample), "quality", F.lit(True), few=True)
     return rows.select("text", "label")
 
 

@@ -198,7 +198,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000) -> Scorer:
 
     marks = (labels.filter("toxic in (0, 1)").filter(fold(F.col("doc_id"), 4) != 2).filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1)
              .orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(sample))
-    tried = labelled(docs, marks, "toxic", F.lit(True)).select("text", "label").mapInArrow(run, "whole double, passage double, label int").toPandas()
+    tried = labelled(docs, marks, "toxic", F.lit(True), few=True).select("text", "label").mapInArrow(run, "whole double, passage double, label int").toPandas()
     tried = tried.sort_values(["label", "whole", "passage"])
     y = tried["label"].to_numpy(dtype=float)
     if y.sum() == 0 or y.sum() == len(y):
