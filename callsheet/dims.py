@@ -112,7 +112,6 @@ INPUT_PROFILES = {
         "Telefonnummer": "GivenPhoneNumber",
     },
 }
-PROFILE_PHONE_COLUMN = {"default": "Telefonnummer", "alternate": "Telefonnummer"}
 DEFAULT_TARGET_COUNTRIES = ["DE", "AT", "CH"]
 
 # --- numbering plan (public national plans, structural) ----------------------------
@@ -152,6 +151,7 @@ ENTITIES = {
 }
 
 # --- failure log -------------------------------------------------------------------
+# The group that the log reports for a stage, by the stage's beginning.
 FAILURE_GROUPS = [
     ("Scraping_", "Scraping"),
     ("LLM_", "LLM"),
@@ -159,4 +159,4 @@ FAILURE_GROUPS = [
     ("Regex_Extraction_", "Regex Extraction"),
     ("RowProcessing_", "Row Processing"),
 ]
-PROMPT_PLACEHOLDER = "[Insert JSON list of (candidate_number, source_url, snippet) objects here]"
+PROMPT_PLACEHOLDER = "{{candidates}}"

@@ -46,11 +46,11 @@ def international_digits(c: Column, region) -> Column:
     idd, trunk, dial = (_by_region(region, f) for f in (2, 3, 1))
 
     def full(digits: Column) -> Column:
-        abroad = F.when(digits.startswith("+"), F.substring(digits, 2, 40)).when(
+        abroad = F.when(digits.startswith("+"), F.substring(digits, F.lit(2), F.length(digits))).when(
             idd.isNotNull() & digits.startswith(idd),
-            F.substring(digits, F.length(idd) + 1, F.lit(40)))
+            F.substring(digits, F.length(idd) + 1, F.length(digits)))
         has_trunk = (trunk != "") & digits.startswith(trunk)
-        home = F.concat(dial, F.when(has_trunk, F.substring(digits, F.length(trunk) + 1, F.lit(40))
+        home = F.concat(dial, F.when(has_trunk, F.substring(digits, F.length(trunk) + 1, F.length(digits))
                                      ).otherwise(digits))
         return F.regexp_replace(F.coalesce(abroad, home), TRUNK_ZERO, "$1")
 

@@ -141,12 +141,18 @@ def is_http(c: Column) -> Column:
     return F.coalesce(c.rlike("^https?://"), F.lit(False))
 
 
+ASCII_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
 def needs_tld(host: Column) -> Column:
     """Host without a top-level domain that is neither localhost nor IPv4."""
     bare = F.regexp_replace(host, r":[0-9]+$", "")
-    return ((bare != "") & ~bare.rlike(r"\.[a-zA-Z]{2,}$") & ~bare.endswith(".")
-            & (F.lower(bare) != "localhost")
-            & ~bare.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"))
+    labels = F.split(bare, "[.]")
+    last = F.element_at(labels, -1)
+    named = (F.size(labels) > 1) & (F.length(last) > 1) & (F.translate(F.lower(last), ASCII_LETTERS, "") == "")
+    address = (F.size(labels) == 4) & F.forall(
+        labels, lambda x: F.length(x).between(1, 3) & (F.translate(x, "0123456789", "") == ""))
+    return (last != "") & ~named & ~address & (F.lower(bare) != "localhost")
 
 
 def with_host(url: Column, host: Column) -> Column:

@@ -86,6 +86,14 @@ def page_budget(queue: DataFrame, key: str = "entry_url", max_pages: int = 20,
         (F.col("visit") <= max_pages) | (F.col("score") >= bypass_score))
 
 
+def one_fetch(fetches: DataFrame) -> DataFrame:
+    """One row per URL of a fetch log with retries: an attempt with content goes first,
+    then the smallest status and landed URL. The rank is cut on the map side."""
+    w = Window.partitionBy("url").orderBy(
+        (F.coalesce("html", F.lit("")) == "").cast("int"), F.col("status_code").asc_nulls_last(), "landed_url")
+    return fetches.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1).drop("_n")
+
+
 def crawl_stored(entries: DataFrame, fetches: DataFrame, rules: LinkRules = LinkRules(),
                  max_depth: int = 1, max_pages: int = 20, bypass_score: int = 80,
                  bypass_pages: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -95,6 +103,7 @@ def crawl_stored(entries: DataFrame, fetches: DataFrame, rules: LinkRules = Link
     html)``. Returns the kept pages (first visit of a landed URL wins, by row) and
     one outcome row per entry. Depth is a small constant; every level's pages and
     queue are written to the shared folder, so the plan does not grow with depth."""
+    fetches = one_fetch(fetches)
     level = entries.select("input_row_id", "entry_url", F.col("entry_url").alias("link_url"),
                            F.lit(100).alias("score"), F.lit(0).alias("link_ord"),
                            F.lit(0).alias("depth"))
@@ -147,7 +156,7 @@ def entry_outcomes(entries: DataFrame, pages: DataFrame, fetches: DataFrame) ->
     """Success with at least one new page, else the decoded entry status. An entry
     that only met pages of earlier rows is ``Already_Processed``."""
     n = pages.groupBy("input_row_id").agg(F.count(F.lit(1)).alias("pages"))
-    first = fetches.select(
+    first = one_fetch(fetches).select(
         F.col("url").alias("entry_url"), "status_code", "landed_url",
         (F.coalesce(F.length("html"), F.lit(0)) > 0).alias("has_content"))
     joined = entries.join(first, "entry_url", "left").join(n, "input_row_id", "left")

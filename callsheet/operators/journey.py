@@ -26,7 +26,8 @@ def site_facts(sites: DataFrame) -> DataFrame:
         F.bool_or(F.col("candidates") > 0).alias("any_candidates"),
         F.bool_or("label_called").alias("any_calls"),
         F.sum("raw_numbers").alias("raw_numbers"),
-        F.bool_or(F.col("error").isNotNull()).alias("any_error"))
+        F.bool_or(F.col("error").isNotNull()).alias("any_error"),
+        (F.bool_or("label_called") & (F.count_if(F.col("label_called") & F.col("error").isNull()) == 0)).alias("all_errors"))
 
 
 def page_totals(pages: DataFrame) -> DataFrame:
@@ -101,6 +102,6 @@ def journey(entries: DataFrame, pages: DataFrame, sites: DataFrame, nums: DataFr
     return out.select(
         "base", "n_rows", F.coalesce("base_status", F.lit("Unknown")).alias("base_status"),
         zero("n_sites"), no("all_network"), no("all_denied"), no("all_missing"),
-        no("any_candidates"), no("any_calls"), zero("raw_numbers"), no("any_error"),
+        no("any_candidates"), no("any_calls"), zero("raw_numbers"), no("any_error"), no("all_errors"),
         zero("total_pages"), F.coalesce(F.to_json("page_types"), F.lit("{}")).alias("page_types_json"),
         zero("consolidated"), F.coalesce("types_json", F.lit("{}")).alias("types_json"))

@@ -18,11 +18,13 @@ ENRICHED = ("struct<extracted_numbers:array<struct<number:string,type:string,cla
 
 
 def request_slots(cands: DataFrame, site: str, order: list, chunk: int = 10,
-                  max_chunks: int = 10) -> DataFrame:
-    """Number the candidates of a site into request slots; what exceeds
-    ``chunk * max_chunks`` is not asked for (the request limit of a site)."""
+                  max_chunks: int | None = 10) -> DataFrame:
+    """Number the candidates of a site into request slots. With ``max_chunks`` what
+    exceeds ``chunk * max_chunks`` is not asked for (the request limit of a site)."""
     w = Window.partitionBy(site).orderBy(*order)
-    slots = cands.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= chunk * max_chunks)
+    slots = cands.withColumn("_n", F.row_number().over(w))
+    if max_chunks is not None:
+        slots = slots.filter(F.col("_n") <= chunk * max_chunks)
     part = F.floor((F.col("_n") - 1) / chunk).cast("int")
     return (slots.withColumn("chunk", part)
             .withColumn("request_id", F.concat_ws("#", F.col(site), F.col("chunk")))

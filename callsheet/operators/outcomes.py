@@ -36,7 +36,7 @@ def row_outcomes(entries: DataFrame, facts: DataFrame) -> DataFrame:
     table: one row per base, so this is one equality join on the base."""
     f = dims.FAULTS
     keep = ["base", "base_status", "n_sites", "all_network", "all_denied", "all_missing",
-            "any_candidates", "any_calls", "any_error", "raw_numbers", "consolidated"]
+            "any_candidates", "any_calls", "all_errors", "raw_numbers", "consolidated"]
     j = entries.join(facts.select(*keep), "base", "left")
     c = F.col
     status = F.coalesce(c("status"), F.lit(""))
@@ -49,7 +49,7 @@ def row_outcomes(entries: DataFrame, facts: DataFrame) -> DataFrame:
         (c("base").isNull() & ~status.isin("", "Success", "Not_Run"),
          F.concat(F.lit("ScrapingFailure_InputURL_"), status), NETWORK_FAULT),
         (c("base").isNull(), "Unknown_NoCanonicalURLDetermined", f["Unknown_Processing_Gap_NoContact"]),
-        (c("any_error") & c("any_candidates"), "LLM_Processing_Error_AllAttempts",
+        (c("all_errors") & c("any_candidates"), "LLM_Processing_Error_AllAttempts",
          f["LLM_Processing_Error_AllAttempts"]),
         ((base_status != "Success") & (F.coalesce(c("n_sites"), F.lit(0)) == 0),
          "Scraping_NoPathfulURLs_ForCanonical", NETWORK_FAULT),

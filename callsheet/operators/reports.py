@@ -115,12 +115,15 @@ def final_contacts(entries: DataFrame, facts: DataFrame, nums: DataFrame, src: D
 
 def report_number(c: Column) -> Column:
     """Digits of the number part of a rendered contact."""
-    part = F.substring_index(F.regexp_extract(c, r"([+\d\s()\-]+)", 1), "(", 1)
-    return F.nullif(F.regexp_replace(part, r"[^\d+]", ""), F.lit(""))
+    digits = F.regexp_replace(F.substring_index(c, " (", 1), "[^0-9+]", "")
+    return F.nullif(digits, F.lit(""))
 
 
 def report_type(c: Column) -> Column:
-    return F.when(c.rlike(r"\(.*?\)"), F.trim(F.regexp_extract(c, r"\((.*?)\)", 1))).when(
+    """Text of the first parenthesis of a rendered contact; ``Unknown`` without one."""
+    opened = F.instr(c, "(")
+    rest = F.substring(c, opened + 1, F.length(c))
+    return F.when((opened > 0) & (F.instr(rest, ")") > 0), F.trim(F.substring_index(rest, ")", 1))).when(
         c != "", F.lit("Unknown"))
 
 

@@ -116,6 +116,7 @@ V_FACTS = f"""{s.V_NUMBERS}, {s.V_ENTRIES}, {s.V_SITES}, v_facts AS (
     bool_and(status IN ('HTTPError_403', 'RobotsDisallowed')) AS all_denied,
     bool_and(status = 'HTTPError_404') AS all_missing, bool_or(candidates > 0) AS any_candidates,
     bool_or(label_called) AS any_calls, sum(raw_numbers)::BIGINT AS raw_numbers, bool_or(error IS NOT NULL) AS any_error,
+    bool_or(label_called) AND count(*) FILTER (label_called AND error IS NULL) = 0 AS all_errors,
     max(error) AS error, sum(pages)::BIGINT AS total_pages,
     sum((pages > 0)::INT)::BIGINT AS homepage, sum((pages > 1)::INT)::BIGINT AS contact, sum((pages > 2)::INT)::BIGINT AS general
   FROM v_sites GROUP BY base),
@@ -133,7 +134,7 @@ v_journey AS (
 
 @query("A8_journey", s.with_(V_FACTS) + """
 SELECT base, n_rows, base_status, n_sites, all_network, all_denied, all_missing, any_candidates, any_calls,
-  raw_numbers, any_error, total_pages, page_types_json, consolidated, types_json FROM v_journey""")
+  raw_numbers, any_error, all_errors, total_pages, page_types_json, consolidated, types_json FROM v_journey""")
 def _(spark, sf):
     return Run(spark, sf).journey
 
@@ -162,7 +163,7 @@ V_ROWS = V_FACTS + """, v_rows AS (
       WHEN consolidated > 0 THEN 'Contact_Successfully_Extracted'
       WHEN e.base IS NULL AND status NOT IN ('', 'Success', 'Not_Run') THEN 'ScrapingFailure_InputURL_' || status
       WHEN e.base IS NULL THEN 'Unknown_NoCanonicalURLDetermined'
-      WHEN any_error THEN 'LLM_Processing_Error_AllAttempts'
+      WHEN all_errors AND any_candidates THEN 'LLM_Processing_Error_AllAttempts'
       WHEN base_status <> 'Success' AND all_network THEN 'Scraping_AllAttemptsFailed_Network'
       WHEN base_status <> 'Success' AND all_denied THEN 'Scraping_AllAttemptsFailed_AccessDenied'
       WHEN base_status <> 'Success' AND all_missing THEN 'Scraping_ContentNotFound_AllAttempts'
@@ -761,11 +762,11 @@ def _(spark, sf):
 # --- from raw texts to the contact report -------------------------------------------------------------------
 def contacts_from_texts(spark, sf) -> DataFrame:
     """Texts to candidates, requests, labels, consolidated numbers and contacts."""
-    cands = cd.cap_identical(cd.phone_candidates(b.texts(spark, sf)))
+    cands = cd.phone_candidates(b.texts(spark, sf))
     asked = cands.select("base", F.concat("base", F.lit("/")).alias("pathful_url"), "page_url", "page_type",
                          "page_ord", "match_ord", "number", "snippet", F.col("page_url").alias("source_url"),
                          "company")
-    slots = stored(lb.request_slots(asked, "pathful_url", ["page_ord", "match_ord"]), "slots")
+    slots = stored(lb.request_slots(asked, "pathful_url", ["page_ord", "match_ord"], max_chunks=None), "slots")
     labelled = stored(lb.reconcile(slots, lb.rule_labeler(slots)), "labelled")
     items = ct.usable_items(labelled.withColumn("ord", F.struct("page_ord", "match_ord")))
     facts = stored(ct.source_facts(items), "source_facts")
@@ -778,9 +779,7 @@ def contacts_from_texts(spark, sf) -> DataFrame:
 def _flow_sql() -> str:
     from callsheet.plans.queries_contacts import RULE_CLASS, RULE_TYPE, V_CAND
 
-    return s.with_(V_CAND) + f""", asked AS (
-  SELECT *, row_number() OVER (PARTITION BY base ORDER BY page_ord, match_ord) AS slot FROM v_capped),
-lab AS (SELECT *, {RULE_TYPE} AS type, {RULE_CLASS} AS classification FROM asked WHERE slot <= 100),
+    return s.with_(V_CAND) + f""", lab AS (SELECT *, {RULE_TYPE} AS type, {RULE_CLASS} AS classification FROM v_cand),
 prio AS (SELECT *, {s.CLASS_PRIO} AS cp, first_value({s.TYPE_PRIO}) OVER w AS tp, row_number() OVER w AS seen
   FROM lab WINDOW w AS (PARTITION BY base, number ORDER BY page_ord, match_ord)),
 nums AS (SELECT base, number, min(cp) AS cp, any_value(tp) AS tp, min(page_ord) AS o1, arg_min(match_ord, page_ord * 100000 + match_ord) AS o2,

@@ -23,18 +23,18 @@ from callsheet.sources import sinks
 
 @dataclass(frozen=True)
 class Settings:
-    """Defaults of a run."""
+    """Defaults of a run: no limit (0 or None) on pages, identical numbers or requests."""
 
     run_id: str = "run"
     rules: LinkRules = field(default_factory=LinkRules)
     max_depth: int = 1
-    max_pages: int = 20
+    max_pages: int = 0
     bypass_score: int = 80
     bypass_pages: int = 5
     snippet_window: int = 300
-    identical_per_page: int = 3
+    identical_per_page: int | None = None
     chunk: int = 10
-    max_chunks: int = 10
+    max_chunks: int | None = None
     max_retries: int = 1
     region: str = dims.DEFAULT_REGION
     count_error_items: bool = False
@@ -72,6 +72,7 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
     target_countries, logged_at)``, ``fetches(url, status_code, landed_url, html)``.
     ``labeler`` maps request slots to a response table."""
     s = settings
+    fetches = crawl.one_fetch(fetches)
     start = admitted(rows, fetches, robots, known_hosts)
     to_crawl = start.filter(F.col("entry_url").isNotNull()).select("input_row_id", "entry_url")
     pages, crawled = crawl.crawl_stored(to_crawl, fetches, s.rules, s.max_depth, s.max_pages,
@@ -96,8 +97,9 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
                      region=cd.scan_region(F.split("codes", ","))).select(
         "base", "pathful_url", F.col("landed_url").alias("page_url"), "page_type", "region", "text",
         F.col("company_name").alias("company"), "input_row_id", "depth", "score", "link_ord")
-    cands = cd.cap_identical(cd.phone_candidates(texts, F.col("region"), s.snippet_window),
-                             limit=s.identical_per_page)
+    cands = cd.phone_candidates(texts, F.col("region"), s.snippet_window)
+    if s.identical_per_page is not None:
+        cands = cd.cap_identical(cands, limit=s.identical_per_page)
     cands = stored(cands.withColumn("source_url", F.col("page_url")), "candidates")
 
     order = ["input_row_id", "depth", F.col("score").desc(), "link_ord", "match_ord"]
@@ -164,10 +166,7 @@ def site_table(entries: DataFrame, pages: DataFrame, cands: DataFrame, labelled:
 
 def write_all(reports: dict[str, DataFrame], out: str, run_id: str) -> None:
     for name, df in reports.items():
-        if name == "failed_rows":
-            sinks.append_failures(df, out, run_id)
-        else:
-            sinks.write_report(df, out, name, run_id)
+        sinks.write_report(df, out, name, run_id)
 
 
 def main() -> None:

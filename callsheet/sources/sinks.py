@@ -4,10 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-REPORTS = ["detailed", "summary", "final_contacts", "processed_contacts", "attrition",
-           "domain_summary", "augmented_input"]
-
-
 def write_report(df: DataFrame, root: str, name: str, run_id: str, fmt: str = "parquet") -> str:
     """One table per report, partitioned by run; re-running a run replaces its part."""
     path = f"{root}/{name}"
@@ -20,6 +16,8 @@ def write_report(df: DataFrame, root: str, name: str, run_id: str, fmt: str = "p
 
 
 def append_failures(events: DataFrame, root: str, run_id: str) -> str:
+    """Add events to the failure log. A whole run goes through ``write_report``, so that
+    a repeated run replaces its own part."""
     path = f"{root}/failed_rows"
     events.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
     return path
@@ -34,6 +32,7 @@ def request_archive(cands: DataFrame, site: str = "pathful_url", page: str = "pa
         F.to_json(F.transform(rows, lambda s: F.struct(*[s[f].alias(f) for f in fields]))).alias("body"))
 
 
+# Fixed value: what parts the chunks of an archived answer.
 SEPARATOR = "\n\n---CHUNK_SEPARATOR---\n\n"
 
 

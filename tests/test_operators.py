@@ -155,3 +155,35 @@ def test_candidates_read_whole_texts(spark):
     df = spark.createDataFrame([("p", text), ("q", "no digits")], "page_url string, text string")
     got = cd.phone_candidates(df, "DE").collect()
     assert [(r.page_url, r.number) for r in got] == [("p", "+49302468101")]
+
+
+def test_a_base_with_one_good_site_is_no_label_error(spark):
+    from callsheet.operators import journey
+
+    sites = spark.createDataFrame(
+        [("b1", 1, "Success", 2, True, 3, "Error_X"), ("b1", 2, "Success", 2, True, 3, None),
+         ("b2", 1, "Success", 2, True, 3, "Error_X"), ("b2", 2, "Success", 0, False, 0, None),
+         ("b3", 1, "Success", 0, False, 0, None)],
+        "base string, ord int, status string, candidates int, label_called boolean, raw_numbers int, error string")
+    got = {r.base: (r.any_error, r.all_errors) for r in journey.site_facts(sites).collect()}
+    assert got == {"b1": (True, False), "b2": (True, True), "b3": (False, False)}
+
+
+def test_a_retried_fetch_gives_one_outcome(spark):
+    from callsheet.operators import crawl
+
+    entries = spark.createDataFrame([(1, "http://a.de"), (2, "http://b.de")], "input_row_id long, entry_url string")
+    log = spark.createDataFrame(
+        [("http://a.de", 500, None, None), ("http://a.de", 200, "http://a.de/", "<a>x</a>"), ("http://b.de", 404, None, "")],
+        "url string, status_code int, landed_url string, html string")
+    pages = spark.createDataFrame([(1,)], "input_row_id long")
+    got = sorted((r.input_row_id, r.status) for r in crawl.entry_outcomes(entries, pages, log).collect())
+    assert [i for i, _ in got] == [1, 2] and got[0][1] == "Success"
+
+
+def test_a_repeated_run_replaces_its_failures(spark, tmp_path):
+    from callsheet.run import write_all
+
+    for _ in range(2):
+        write_all({"failed_rows": spark.createDataFrame([(1, "x")], "input_row_id long, stage string")}, str(tmp_path), "r1")
+    assert spark.read.parquet(str(tmp_path / "failed_rows")).count() == 1
