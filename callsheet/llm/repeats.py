@@ -5,8 +5,9 @@ hash of their inner ``core``-byte strings. Suffixes are therefore dealt out by a
 and no match is lost between tasks. A document is cut into runs, each the windows (the
 start positions) with one anchor.
 
-1. Runs are grouped by (anchor, content). Only anchors met more than once go on. All but
-   the earliest of equal runs repeat as a whole; the earliest one stands for its kind.
+1. Runs meet by anchor, in one shuffle; copies inside a task are merged before it. All but
+   the earliest of runs with equal content repeat as a whole; the earliest one stands for its
+   kind, and a kind alone under its anchor has nobody left to be compared with.
 2. The texts of these kinds meet by anchor and are sorted by the difference-cover
    algorithm: sampled positions get names by sorting triples, the sort recurses on the
    names until a name covers ``width`` bytes, the remaining suffixes are merged in, and
@@ -26,6 +27,10 @@ from .common import blobs, joined, slabs
 BASE = 0x9E3779B97F4A7C15
 #: Text that one suffix sort holds, and kinds of one anchor that it may have.
 SORTED, CROWD = 1 << 20, 2048
+#: Text that is hashed at a time, and runs of one task whose copies are merged at a time.
+PIECE, MERGED = 1 << 18, 1 << 19
+#: What is known of a run: it repeats as a whole; its kind meets others; it meets more than CROWD.
+WHOLE, OPEN, CROWDED = 0, 1, 2
 
 
 class Hashes:
@@ -189,28 +194,103 @@ def _stretches(kind: np.ndarray, offset: np.ndarray):
     return kind[first], offset[first], np.diff(np.append(first, len(kind)))
 
 
+def _merged(held: list[tuple]):
+    """Runs without later copies among themselves, then the copies as settled stretches."""
+    ids = pa.concat_arrays([x[0] for x in held])
+    first, n, anchor, content = (np.concatenate(x) for x in list(zip(*held))[1:])
+    if not len(first):
+        return
+    doc = np.unique(ids.to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    by = np.lexsort([first, doc, content, anchor])
+    d, f = doc[by], first[by]
+    new = np.ones(len(by), bool)
+    new[1:] = (anchor[by][1:] != anchor[by][:-1]) | (content[by][1:] != content[by][:-1])
+    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+    copy = by[(d != d[lead]) | (f != f[lead])]
+    kept = np.sort(by[new])
+    copy = copy[np.lexsort([first[copy], doc[copy]])]
+    start = np.ones(len(copy), bool)
+    start[1:] = (doc[copy[1:]] != doc[copy[:-1]]) | (first[copy[1:]] != first[copy[:-1]] + n[copy[:-1]])
+    head = copy[start]
+    length = np.add.reduceat(n[copy], np.flatnonzero(start)) if len(copy) else n[:0]
+    for at, count, settled in ((kept, n[kept], False), (head, length, True)):
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), pa.array(first[at]), pa.array(count.astype(np.int32)), pa.array(np.full(len(at), settled)),
+                                          pa.array(anchor[at]), pa.array(content[at])], names=["doc_id", "first", "n", "settled", "anchor", "content"])
+
+
+def _met(batches, crowd: int):
+    """From runs in order of (settled, anchor, content, place): the runs that repeat as a whole
+    and, for anchors with several kinds, the earliest run of each kind. At most one batch and
+    the kinds of one anchor are held, and of these no more than ``crowd``."""
+    def out(doc, first, n, anchor, state):
+        return pa.RecordBatch.from_arrays([pa.array(doc, id_type), pa.array(first), pa.array(n), pa.array(anchor), pa.array(np.broadcast_to(np.int32(state), len(first)).copy())],
+                                          names=["doc_id", "first", "n", "anchor", "state"])
+
+    held, over = None, False
+    for b in batches:
+        id_type = b.schema.field("doc_id").type
+        doc, first, n, settled, anchor, content = (b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "first", "n", "settled", "anchor", "content"))
+        if settled.any():
+            yield out(doc[settled], first[settled], n[settled], anchor[settled], WHOLE)
+        rows = [x[~settled] for x in (doc, first, n, anchor, content)]
+        if held is not None:
+            rows = [np.concatenate(x) for x in zip(held, rows)]
+        doc, first, n, anchor, content = rows
+        if not len(doc):
+            continue
+        fresh = np.ones(len(doc), bool)
+        fresh[1:] = anchor[1:] != anchor[:-1]
+        new = fresh.copy()
+        new[1:] |= content[1:] != content[:-1]
+        lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+        later = (doc != doc[lead]) | (first != first[lead])
+        yield out(doc[later], first[later], n[later], anchor[later], WHOLE)
+        doc, first, n, anchor, content = (x[new] for x in rows)
+        group = np.cumsum(fresh[new]) - 1
+        kinds = np.bincount(group)
+        if over:
+            kinds[0] += crowd
+        last = int(np.searchsorted(group, group[-1]))
+        of = kinds[group[:last]]
+        some = np.flatnonzero(of > 1)
+        yield out(doc[some], first[some], n[some], anchor[some], np.where(of[some] > crowd, CROWDED, OPEN).astype(np.int32))
+        over = over and last == 0
+        if len(doc) - last > crowd:  # the last one stays, its copies may follow
+            yield out(doc[last:-1], first[last:-1], n[last:-1], anchor[last:-1], CROWDED)
+            over, last = True, len(doc) - 1
+        held = [x[last:] for x in (doc, first, n, anchor, content)]
+    if held is not None and (over or len(held[0]) > 1):
+        yield out(*held[:4], CROWDED if over else OPEN)
+
+
 def repeated_windows(docs: DataFrame, width: int = 100, core: int = 32) -> DataFrame:
     """``doc_id, first, n``: stretches of start positions whose ``width`` bytes also start earlier."""
     id_type = docs.schema["doc_id"].dataType
     found = T.StructType().add("doc_id", id_type).add("first", "long").add("n", "long")
 
+    crowd = CROWD
+
     def cut(batches):
+        held, size = [], 0
         for b in batches:
             texts = blobs(b.column("text"))
-            for lo, hi in slabs(texts):
+            for lo, hi in slabs(texts, PIECE):
                 doc, first, count, anchor, content = runs(*joined(texts[lo:hi]), width, core)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(doc + lo)), pa.array(first), pa.array(count), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64))],
-                                                 names=["doc_id", "first", "n", "anchor", "content"])
+                held.append((b.column("doc_id").take(pa.array(doc + lo)), first, count, anchor.view(np.int64), content.view(np.int64)))
+                size += len(doc)
+                if size > MERGED:
+                    yield from _merged(held)
+                    held, size = [], 0
+        if held:
+            yield from _merged(held)
 
     rows = docs.filter("doc_id is not null").select("doc_id", "text")
-    cuts = stored(rows.mapInArrow(cut, T.StructType().add("doc_id", id_type).add("first", "long").add("n", "long").add("anchor", "long").add("content", "long")), "runs")
-    place = F.struct("doc_id", "first", "n")
-    kinds = cuts.groupBy("anchor", "content").agg(F.min(place).alias("lead"), F.count(F.lit(1)).alias("copies"))
-    often = kinds.groupBy("anchor").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("kinds")).filter("copies > 1")
-    kinds = stored(kinds.drop("copies").join(often, "anchor"), "kinds")
-    # Later runs of a kind repeat as a whole.
-    whole = (cuts.join(kinds.select("anchor", "content", "lead"), ["anchor", "content"])
-             .filter((F.col("doc_id") != F.col("lead.doc_id")) | (F.col("first") != F.col("lead.first"))).select("doc_id", "first", "n"))
+    cuts = rows.mapInArrow(cut, T.StructType().add("doc_id", id_type).add("first", "long").add("n", "integer").add("settled", "boolean").add("anchor", "long").add("content", "long"))
+    # Runs meet by anchor; what is settled is spread by place, so that a hot text stays spread.
+    dealt = cuts.repartition(F.when(F.col("settled"), F.xxhash64("doc_id", "first")).otherwise(F.col("anchor")))
+    runs_met = stored(dealt.sortWithinPartitions("settled", "anchor", "content", "doc_id", "first")
+                      .mapInArrow(lambda batches: _met(batches, crowd), T.StructType().add("doc_id", id_type).add("first", "long").add("n", "integer").add("anchor", "long").add("state", "integer")), "runs")
+    whole = runs_met.filter(F.col("state") == WHOLE).select("doc_id", "first", F.col("n").cast("long").alias("n"))
 
     def fetch(batches):
         for b in batches:
@@ -222,15 +302,14 @@ def repeated_windows(docs: DataFrame, width: int = 100, core: int = 32) -> DataF
                     first.append(k["first"])
                     n.append(k["n"])
                     anchor.append(k["anchor"])
-                    crowd.append(k["kinds"] > CROWD)
+                    crowd.append(k["state"] == CROWDED)
                     piece.append(t[k["first"]:k["first"] + k["n"] + width - 1])
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(doc, pa.int64())), pa.array(first, pa.int64()), pa.array(n, pa.int64()), pa.array(anchor, pa.int64()),
                                               pa.array(crowd, pa.bool_()), pa.array(piece, pa.binary())], names=["doc_id", "first", "n", "anchor", "crowd", "piece"])
 
-    # A kind alone under its anchor has nobody left to be compared with.
-    open_ = kinds.filter("kinds > 1").select(F.col("lead.doc_id").alias("doc_id"), F.struct("lead.first", "lead.n", "anchor", "kinds").alias("k"))
+    open_ = runs_met.filter(F.col("state") != WHOLE).select("doc_id", F.struct("first", "n", "anchor", "state").alias("k"))
     own = open_.groupBy("doc_id").agg(F.collect_list("k").alias("own"))  # as many as the document has runs
-    texts = stored(rows.dropDuplicates(["doc_id"]).join(own, "doc_id").mapInArrow(fetch, T.StructType().add("doc_id", id_type).add("first", "long").add("n", "long")
+    texts = stored(rows.join(own, "doc_id").mapInArrow(fetch, T.StructType().add("doc_id", id_type).add("first", "long").add("n", "long")
                                                        .add("anchor", "long").add("crowd", "boolean").add("piece", "binary")), "pieces")
 
     def settle(held):
