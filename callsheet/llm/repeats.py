@@ -11,7 +11,8 @@ start positions) with one anchor.
 2. The texts of these kinds meet by anchor and are sorted by the difference-cover
    algorithm: sampled positions get names by sorting triples, the sort recurses on the
    names until a name covers ``width`` bytes, the remaining suffixes are merged in, and
-   adjacent prefixes are compared. Kinds of a crowded anchor are compared window by window.
+   adjacent prefixes are compared. Kinds of a crowded anchor are first cut into shorter runs
+   by longer anchors, and where these are crowded too into windows.
 3. A document's repeated windows are joined to its text and cut out."""
 
 from __future__ import annotations
@@ -92,6 +93,8 @@ def runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int, cor
         first, count = first[on] + place[on] + 1, (count - place - 1)[on]
         todo = (first, count, _first_least(view, first))
     first, count, place, value_at = (np.concatenate(x) for x in zip(*parts))
+    if core == width:  # there the anchor is the content; read it backwards for a second hash
+        return doc[first], first - starts[doc[first]], count, value_at, Hashes(data[::-1]).of(len(data) - first - width, len(data) - first)
     content = h.of(first, first + count + width - 1) ^ (place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     return doc[first], first - starts[doc[first]], count, value_at, content
 
@@ -195,9 +198,10 @@ def _stretches(kind: np.ndarray, offset: np.ndarray):
 
 
 def _merged(held: list[tuple]):
-    """Runs without later copies among themselves, then the copies as settled stretches."""
-    ids = pa.concat_arrays([x[0] for x in held])
-    first, n, anchor, content = (np.concatenate(x) for x in list(zip(*held))[1:])
+    """Runs without later copies among themselves, then the copies as settled stretches.
+    A column of pieces after the others goes along."""
+    ids, *pieces = (pa.concat_arrays(list(x)) for x in [*zip(*held)][::5])
+    first, n, anchor, content = (np.concatenate(x) for x in [*zip(*held)][1:5])
     if not len(first):
         return
     doc = np.unique(ids.to_numpy(zero_copy_only=False), return_inverse=True)[1]
@@ -215,27 +219,33 @@ def _merged(held: list[tuple]):
     length = np.add.reduceat(n[copy], np.flatnonzero(start)) if len(copy) else n[:0]
     for at, count, settled in ((kept, n[kept], False), (head, length, True)):
         yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), pa.array(first[at]), pa.array(count.astype(np.int32)), pa.array(np.full(len(at), settled)),
-                                          pa.array(anchor[at]), pa.array(content[at])], names=["doc_id", "first", "n", "settled", "anchor", "content"])
+                                          pa.array(anchor[at]), pa.array(content[at]), *[p.take(pa.array(at)) for p in pieces]],
+                                         names=["doc_id", "first", "n", "settled", "anchor", "content", "piece"][:6 + len(pieces)])
 
 
 def _met(batches, crowd: int):
     """From runs in order of (settled, anchor, content, place): the runs that repeat as a whole
     and, for anchors with several kinds, the earliest run of each kind. At most one batch and
     the kinds of one anchor are held, and of these no more than ``crowd``."""
-    def out(doc, first, n, anchor, state):
-        return pa.RecordBatch.from_arrays([pa.array(doc, id_type), pa.array(first), pa.array(n), pa.array(anchor), pa.array(np.broadcast_to(np.int32(state), len(first)).copy())],
-                                          names=["doc_id", "first", "n", "anchor", "state"])
+    def out(state, doc, first, n, anchor, _, *piece):
+        return pa.RecordBatch.from_arrays([pa.array(doc, id_type), pa.array(first), pa.array(n), pa.array(anchor), pa.array(np.broadcast_to(np.int32(state), len(first)).copy()),
+                                           *[pa.array(p, pa.binary()) for p in piece]], names=["doc_id", "first", "n", "anchor", "state", "piece"][:5 + len(piece)])
+
+    def where(rows, at):
+        return [x[at] for x in rows]
 
     held, over = None, False
     for b in batches:
         id_type = b.schema.field("doc_id").type
-        doc, first, n, settled, anchor, content = (b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "first", "n", "settled", "anchor", "content"))
+        names = [c for c in b.schema.names if c != "settled"]
+        settled = b.column("settled").to_numpy(zero_copy_only=False)
+        rows = [b.column(c).to_numpy(zero_copy_only=False) for c in names]
         if settled.any():
-            yield out(doc[settled], first[settled], n[settled], anchor[settled], WHOLE)
-        rows = [x[~settled] for x in (doc, first, n, anchor, content)]
+            yield out(WHOLE, *where(rows, settled))
+        rows = where(rows, ~settled)
         if held is not None:
             rows = [np.concatenate(x) for x in zip(held, rows)]
-        doc, first, n, anchor, content = rows
+        doc, first, _, anchor, content = rows[:5]
         if not len(doc):
             continue
         fresh = np.ones(len(doc), bool)
@@ -243,9 +253,8 @@ def _met(batches, crowd: int):
         new = fresh.copy()
         new[1:] |= content[1:] != content[:-1]
         lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-        later = (doc != doc[lead]) | (first != first[lead])
-        yield out(doc[later], first[later], n[later], anchor[later], WHOLE)
-        doc, first, n, anchor, content = (x[new] for x in rows)
+        yield out(WHOLE, *where(rows, (doc != doc[lead]) | (first != first[lead])))
+        rows = where(rows, new)
         group = np.cumsum(fresh[new]) - 1
         kinds = np.bincount(group)
         if over:
@@ -253,14 +262,14 @@ def _met(batches, crowd: int):
         last = int(np.searchsorted(group, group[-1]))
         of = kinds[group[:last]]
         some = np.flatnonzero(of > 1)
-        yield out(doc[some], first[some], n[some], anchor[some], np.where(of[some] > crowd, CROWDED, OPEN).astype(np.int32))
+        yield out(np.where(of[some] > crowd, CROWDED, OPEN).astype(np.int32), *where(rows, some))
         over = over and last == 0
-        if len(doc) - last > crowd:  # the last one stays, its copies may follow
-            yield out(doc[last:-1], first[last:-1], n[last:-1], anchor[last:-1], CROWDED)
-            over, last = True, len(doc) - 1
-        held = [x[last:] for x in (doc, first, n, anchor, content)]
+        if len(group) - last > crowd:  # the last one stays, its copies may follow
+            yield out(CROWDED, *where(rows, slice(last, -1)))
+            over, last = True, len(group) - 1
+        held = where(rows, slice(last, None))
     if held is not None and (over or len(held[0]) > 1):
-        yield out(*held[:4], CROWDED if over else OPEN)
+        yield out(CROWDED if over else OPEN, *held)
 
 
 def repeated_windows(docs: DataFrame, width: int = 100, core: int = 32) -> DataFrame:
@@ -270,47 +279,69 @@ def repeated_windows(docs: DataFrame, width: int = 100, core: int = 32) -> DataF
 
     crowd = CROWD
 
-    def cut(batches):
-        held, size = [], 0
-        for b in batches:
-            texts = blobs(b.column("text"))
-            for lo, hi in slabs(texts, PIECE):
-                doc, first, count, anchor, content = runs(*joined(texts[lo:hi]), width, core)
-                held.append((b.column("doc_id").take(pa.array(doc + lo)), first, count, anchor.view(np.int64), content.view(np.int64)))
-                size += len(doc)
-                if size > MERGED:
-                    yield from _merged(held)
-                    held, size = [], 0
-        if held:
-            yield from _merged(held)
+    def meet(rows: DataFrame, core: int, piecewise: bool) -> DataFrame:
+        """What is known of the runs of ``rows``: whole texts, or pieces that start at ``first``."""
+        def cut(batches):
+            held, size = [], 0
+            for b in batches:
+                texts = blobs(b.column("text"))
+                for lo, hi in slabs(texts, PIECE):
+                    doc, first, count, anchor, content = runs(*joined(texts[lo:hi]), width, core)
+                    own = [pa.array([texts[lo + d][f:f + c + width - 1] for d, f, c in zip(doc, first, count)], pa.binary())] if piecewise else []
+                    first = first + b.column("first").to_numpy()[doc + lo] if piecewise else first
+                    held.append((b.column("doc_id").take(pa.array(doc + lo)), first, count, anchor.view(np.int64), content.view(np.int64), *own))
+                    size += len(doc)
+                    if size > MERGED >> 2 * piecewise:
+                        yield from _merged(held)
+                        held, size = [], 0
+            if held:
+                yield from _merged(held)
+
+        place = T.StructType().add("doc_id", id_type).add("first", "long").add("n", "integer")
+        cuts = rows.mapInArrow(cut, with_piece(T.StructType(place.fields[:]).add("settled", "boolean").add("anchor", "long").add("content", "long"), piecewise))
+        # Runs meet by anchor; what is settled is spread by place, so that a hot text stays spread.
+        dealt = cuts.repartition(F.when(F.col("settled"), F.xxhash64("doc_id", "first")).otherwise(F.col("anchor")))
+        return stored(dealt.sortWithinPartitions("settled", "anchor", "content", "doc_id", "first")
+                      .mapInArrow(lambda batches: _met(batches, crowd), with_piece(T.StructType(place.fields[:]).add("anchor", "long").add("state", "integer"), piecewise)), "runs")
+
+    def with_piece(schema: T.StructType, piecewise: bool) -> T.StructType:
+        return schema.add("piece", "binary") if piecewise else schema
+
+    def settled(met: DataFrame) -> DataFrame:
+        return met.filter(F.col("state") == WHOLE).select("doc_id", "first", F.col("n").cast("long").alias("n"))
 
     rows = docs.filter("doc_id is not null").select("doc_id", "text")
-    cuts = rows.mapInArrow(cut, T.StructType().add("doc_id", id_type).add("first", "long").add("n", "integer").add("settled", "boolean").add("anchor", "long").add("content", "long"))
-    # Runs meet by anchor; what is settled is spread by place, so that a hot text stays spread.
-    dealt = cuts.repartition(F.when(F.col("settled"), F.xxhash64("doc_id", "first")).otherwise(F.col("anchor")))
-    runs_met = stored(dealt.sortWithinPartitions("settled", "anchor", "content", "doc_id", "first")
-                      .mapInArrow(lambda batches: _met(batches, crowd), T.StructType().add("doc_id", id_type).add("first", "long").add("n", "integer").add("anchor", "long").add("state", "integer")), "runs")
-    whole = runs_met.filter(F.col("state") == WHOLE).select("doc_id", "first", F.col("n").cast("long").alias("n"))
+    runs_met = meet(rows, core, False)
+    whole = settled(runs_met)
 
     def fetch(batches):
         for b in batches:
             texts = blobs(b.column("text"))
-            doc, first, n, anchor, crowd, piece = [], [], [], [], [], []
+            doc, first, n, anchor, state, piece = [], [], [], [], [], []
             for i, (t, own) in enumerate(zip(texts, b.column("own").to_pylist())):
                 for k in own:
                     doc.append(i)
                     first.append(k["first"])
                     n.append(k["n"])
                     anchor.append(k["anchor"])
-                    crowd.append(k["state"] == CROWDED)
+                    state.append(k["state"])
                     piece.append(t[k["first"]:k["first"] + k["n"] + width - 1])
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(doc, pa.int64())), pa.array(first, pa.int64()), pa.array(n, pa.int64()), pa.array(anchor, pa.int64()),
-                                              pa.array(crowd, pa.bool_()), pa.array(piece, pa.binary())], names=["doc_id", "first", "n", "anchor", "crowd", "piece"])
+                                              pa.array(state, pa.int32()), pa.array(piece, pa.binary())], names=["doc_id", "first", "n", "anchor", "state", "piece"])
 
     open_ = runs_met.filter(F.col("state") != WHOLE).select("doc_id", F.struct("first", "n", "anchor", "state").alias("k"))
     own = open_.groupBy("doc_id").agg(F.collect_list("k").alias("own"))  # as many as the document has runs
     texts = stored(rows.join(own, "doc_id").mapInArrow(fetch, T.StructType().add("doc_id", id_type).add("first", "long").add("n", "long")
-                                                       .add("anchor", "long").add("crowd", "boolean").add("piece", "binary")), "pieces")
+                                                       .add("anchor", "long").add("state", "integer").add("piece", "binary")), "pieces")
+    # A crowded anchor's kinds are cut anew by longer anchors, in the end by whole windows.
+    alike, crowded = texts.filter(F.col("state") == OPEN), texts.filter(F.col("state") == CROWDED)
+    for longer in ((core + width) // 2, width):
+        if crowded.isEmpty():
+            break
+        again = meet(crowded.select("doc_id", "first", F.col("piece").alias("text")), longer, True)
+        whole = whole.unionByName(settled(again))
+        again = again.withColumn("n", F.col("n").cast("long"))
+        alike, crowded = alike.unionByName(again.filter(F.col("state") == OPEN)), again.filter(F.col("state") == CROWDED)
 
     def settle(held):
         doc, first, n, piece = (np.concatenate(x) if i < 3 else sum(x, []) for i, x in enumerate(zip(*held)))
@@ -339,26 +370,8 @@ def repeated_windows(docs: DataFrame, width: int = 100, core: int = 32) -> DataF
         if held:
             yield settle(held)
 
-    met = texts.filter("not crowd").repartition("anchor").sortWithinPartitions("anchor").select("doc_id", "first", "n", "anchor", "piece").mapInArrow(sort, found)
-
-    def windows(batches):
-        for b in batches:
-            pieces = b.column("piece").to_pylist()
-            for i, piece in enumerate(pieces):
-                data = np.frombuffer(piece, np.uint8)
-                count = len(data) - width + 1
-                a = np.arange(count)
-                h = Hashes(data).of(a, a + width)
-                back = Hashes(data[::-1]).of(len(data) - a - width, len(data) - a)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(np.full(count, i))), pa.array(a + b.column("first")[i].as_py()), pa.array(h.view(np.int64)), pa.array(back.view(np.int64))],
-                                                 names=["doc_id", "first", "h1", "h2"])
-
-    single = texts.filter("crowd").select("doc_id", "first", "piece").mapInArrow(windows, T.StructType().add("doc_id", id_type).add("first", "long").add("h1", "long").add("h2", "long"))
-    single = stored(single, "windows")
-    lead = single.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "first")).alias("lead"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("h1", "h2", "lead")
-    crowded = (single.join(lead, ["h1", "h2"]).filter((F.col("doc_id") != F.col("lead.doc_id")) | (F.col("first") != F.col("lead.first")))
-               .select("doc_id", "first", F.lit(1).cast("long").alias("n")))
-    return stored(whole.unionByName(met).unionByName(crowded), "repeated")
+    met = alike.repartition("anchor").sortWithinPartitions("anchor").select("doc_id", "first", "n", "anchor", "piece").mapInArrow(sort, found)
+    return stored(whole.unionByName(met), "repeated")
 
 
 def cut_repeats(docs: DataFrame, width: int = 100, core: int = 32) -> DataFrame:
