@@ -128,15 +128,13 @@ OPEN, CLOSE = "\u0001", "\u0002"
 RUN_TYPE = "array<struct<raw:string,start:int,before:string,after:string>>"
 
 
-def digit_runs(text: Column) -> Column:
+def digit_runs(text: Column, block: int = 128) -> Column:
     """All digit runs of a text with their offset and neighbouring characters.
 
-    The runs are bracketed by two control characters, the text is split at the
-    opening one, and one fold over the pieces adds up the offsets. The whole text
-    is read once and nothing is cut off."""
+    The runs are bracketed by two control characters and the text is split at the
+    opening one. One fold per ``block`` pieces adds up the offsets inside the block, one
+    over the blocks their starts, so no array grows with the text inside a fold."""
     marked = F.regexp_replace(F.translate(text, OPEN + CLOSE, "  "), RUN, OPEN + "$0" + CLOSE)
-    start = F.struct(F.lit(0).alias("offset"), F.lit("").alias("last"),
-                     F.array().cast(RUN_TYPE).alias("runs"))
 
     def add(acc: Column, piece: Column) -> Column:
         run = F.struct(
@@ -150,7 +148,22 @@ def digit_runs(text: Column) -> Column:
             F.when(piece.contains(CLOSE), F.concat(acc["runs"], F.array(run)))
             .otherwise(acc["runs"]).alias("runs"))
 
-    return F.aggregate(F.split(marked, OPEN), start, add, lambda acc: acc["runs"])
+    def fold(pieces: Column, i: Column) -> Column:
+        last = F.when(i > 0, F.right(F.get(pieces, i * block - 1), F.lit(1))).otherwise(F.lit(""))
+        start = F.struct(F.lit(0).alias("offset"), last.alias("last"), F.array().cast(RUN_TYPE).alias("runs"))
+        return F.aggregate(F.slice(pieces, i * block + 1, F.lit(block)), start, add)
+
+    def placed(blocks: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("offset"), F.array().cast("array<int>").alias("starts"))
+        starts = F.aggregate(blocks, begin, lambda acc, b: F.struct(
+            (acc["offset"] + b["offset"]).alias("offset"),
+            F.concat(acc["starts"], F.array(acc["offset"])).alias("starts")), lambda acc: acc["starts"])
+        return F.flatten(F.zip_with(blocks, starts, lambda b, s: F.transform(b["runs"], lambda r: F.struct(
+            r["raw"].alias("raw"), (r["start"] + s).alias("start"), r["before"].alias("before"), r["after"].alias("after")))))
+
+    blocks = let(F.split(marked, OPEN), lambda pieces: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / block).cast("int")), lambda i: fold(pieces, i)))
+    return let(blocks, placed)
 
 
 def is_dialable_run(raw: Column, before: Column, after: Column) -> Column:

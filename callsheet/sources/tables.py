@@ -70,18 +70,17 @@ def parse_row_range(text: str | None) -> tuple[int, int | None]:
 
 
 def with_ordinal(df: DataFrame, name: str = "input_row_id") -> DataFrame:
-    """Dense 0-based position in file order, without moving the rows.
-
-    Each partition's rows are counted; the partition's start is looked up in that
-    small table (one row per input split)."""
-    local = df.withColumn("_id", F.monotonically_increasing_id())
-    part, pos = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
-    local = local.withColumn("_part", part).withColumn("_pos", pos)
-    sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    return (local.join(F.broadcast(starts), "_part")
-            .withColumn(name, F.col("_start") + F.col("_pos")).drop("_id", "_part", "_pos", "_start"))
+    """Dense 0-based position: files by path, rows by their place in the file.
+
+    ``df`` reads Parquet files, so that each row knows its file and place; text files do
+    not, their rows need a stored id. Rows per file are counted, and the file's start is
+    joined by its path; only that table (one row per file) is ordered as a whole."""
+    local = df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_pos"))
+    sizes = local.groupBy("_path").agg((F.max("_pos") + 1).alias("_n"))
+    before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_path", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return (local.join(starts, "_path")
+            .withColumn(name, F.col("_start") + F.col("_pos")).drop("_path", "_pos", "_start"))
 
 
 def row_range(df: DataFrame, text: str | None, ordinal: str = "input_row_id") -> DataFrame:

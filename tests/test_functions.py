@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,3 +143,16 @@ def test_link_scores(spark):
     got = {r.i: r.s for r in df.select("i", link_score(F.col("p"), F.col("t"), rules).alias("s")).collect()}
     for i, (p, t) in enumerate(cases):
         assert got[i] == fixed.get((p, t), tier_score(p, t, rules)), (p, t)
+
+
+def test_digit_runs_of_a_long_text(spark):
+    """Offsets across many blocks, and a table-like page in good time."""
+    rows = "".join(f"{i % 7 * 'q'}; {100000000 + i}; " for i in range(20_000))
+    started = time.time()
+    got = spark.createDataFrame([(rows,), ("",), (None,), ("no digits",)], "t string").select(
+        F.length("t").alias("n"), phones.digit_runs(F.col("t")).alias("r")).select("n", F.explode_outer("r").alias("r")).select("n", "r.*").collect()
+    assert time.time() - started < 30
+    found = [r for r in got if r.n == len(rows)]
+    assert len(found) == 20_000 and len(got) == 20_003
+    for r in found:
+        assert rows[r.start:r.start + len(r.raw)] == r.raw and rows[r.start - 1] == r.before and rows[r.start + len(r.raw)] == r.after

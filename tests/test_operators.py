@@ -187,3 +187,15 @@ def test_a_repeated_run_replaces_its_failures(spark, tmp_path):
     for _ in range(2):
         write_all({"failed_rows": spark.createDataFrame([(1, "x")], "input_row_id long, stage string")}, str(tmp_path), "r1")
     assert spark.read.parquet(str(tmp_path / "failed_rows")).count() == 1
+
+
+def test_ordinals_over_files_of_unlike_size(spark, tmp_path):
+    from callsheet.sources import tables
+
+    values = []
+    for i, n in enumerate((3, 5000, 40)):  # Spark reads the largest file first
+        part = [(len(values) + j,) for j in range(n)]
+        values += part
+        spark.createDataFrame(part, "v long").coalesce(1).write.parquet(str(tmp_path / f"in/part={i}"))
+    got = tables.with_ordinal(spark.read.parquet(str(tmp_path / "in")).select("v")).collect()
+    assert len(got) == len(values) and all(r.v == r.input_row_id for r in got)
