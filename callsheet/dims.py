@@ -133,23 +133,48 @@ DIAL_PLAN = [
     ("SE", "46", "00", "0", "[1-9][0-9]{6,8}"),
     ("PL", "48", "00", "", "[1-9][0-9]{8}"),
     ("CZ", "420", "00", "", "[2-9][0-9]{8}"),
+    ("CA", "1", "011", "1", "[2-9][0-9]{2}[2-9][0-9]{6}"),
+    ("IE", "353", "00", "0", "[1-9][0-9]{6,8}"),
+    ("PT", "351", "00", "", "[2-9][0-9]{8}"),
+    ("NO", "47", "00", "", "[2-9][0-9]{7}"),
+    ("FI", "358", "00", "0", "[1-9][0-9]{4,10}"),
+    ("HU", "36", "00", "06", "[1-9][0-9]{7,8}"),
+    ("GR", "30", "00", "", "[26-9][0-9]{9}"),
+    ("RO", "40", "00", "0", "[2-9][0-9]{8}"),
+    ("BG", "359", "00", "0", "[2-9][0-9]{6,8}"),
+    ("HR", "385", "00", "0", "[1-9][0-9]{6,8}"),
+    ("SI", "386", "00", "0", "[1-9][0-9]{7}"),
+    ("SK", "421", "00", "0", "[2-9][0-9]{8}"),
+    ("TR", "90", "00", "0", "[2-9][0-9]{9}"),
+    ("RU", "7", "810", "8", "[3-9][0-9]{9}"),
+    ("UA", "380", "00", "0", "[3-9][0-9]{8}"),
+    ("IL", "972", "00", "0", "[2-9][0-9]{7,8}"),
+    ("ZA", "27", "00", "0", "[1-8][0-9]{8}"),
+    ("BR", "55", "00", "0", "[1-9][0-9]{9,10}"),
+    ("MX", "52", "00", "", "[2-9][0-9]{9}"),
+    ("AR", "54", "00", "0", "[1-9][0-9]{9,10}"),
+    ("JP", "81", "010", "0", "[1-9][0-9]{8,9}"),
+    ("CN", "86", "00", "0", "[1-9][0-9]{8,10}"),
+    ("KR", "82", "00", "0", "[1-9][0-9]{7,9}"),
+    ("IN", "91", "00", "0", "[1-9][0-9]{9}"),
+    ("SG", "65", "000", "", "[3689][0-9]{7}"),
+    ("HK", "852", "001", "", "[2-9][0-9]{7}"),
+    ("AE", "971", "00", "0", "[2-9][0-9]{7,8}"),
+    ("AU", "61", "0011", "0", "[1-478][0-9]{8}"),
+    ("NZ", "64", "00", "0", "[2-9][0-9]{7,9}"),
 ]
+# Country codes of the public international plan: zones with two-digit codes, then the assigned three-digit ranges.
+CALLING_CODES = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split() + [
+    str(c) for first, last in (
+        (211, 213), (216, 216), (218, 218), (220, 258), (260, 269), (290, 291), (297, 299), (350, 359), (370, 378),
+        (380, 383), (385, 387), (389, 389), (420, 421), (423, 423), (500, 509), (590, 599), (670, 670), (672, 683),
+        (685, 692), (800, 800), (808, 808), (850, 850), (852, 853), (855, 856), (880, 880), (886, 886), (960, 968),
+        (970, 977), (992, 996), (998, 998)) for c in range(first, last + 1) if c != 671]
 TARGET_DIAL_CODES = ["49", "41", "43"]
 LABEL_REGIONS = ["DE", "CH", "AT"]
 DEFAULT_REGION = "DE"
 SCAN_REGION = "US"
 
-# --- fixed values: named character references decoded in page text -------------------
-ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
-    "auml": "ä", "ouml": "ö", "uuml": "ü", "Auml": "Ä", "Ouml": "Ö", "Uuml": "Ü",
-    "szlig": "ß", "eacute": "é", "egrave": "è", "agrave": "à", "ecirc": "ê",
-    "ccedil": "ç", "ntilde": "ñ", "aacute": "á", "iacute": "í", "oacute": "ó",
-    "uacute": "ú", "copy": "©", "reg": "®", "euro": "€", "middot": "·",
-    "bull": "•", "ndash": "–", "mdash": "—", "hellip": "…", "laquo": "«",
-    "raquo": "»", "sect": "§",
-}
-
 # --- failure log -------------------------------------------------------------------
 # The group that the log reports for a stage, by the stage's beginning.
 FAILURE_GROUPS = [

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, functions as F
 
-from callsheet import dims
 from callsheet.functions.regex import LONG_SPACE
 from callsheet.functions.text import strip
 
@@ -12,9 +14,14 @@ from callsheet.functions.text import strip
 HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 TAG = r"(?is)<[!?/a-z][^>]*>"
 MARKUP = HIDDEN + "|" + TAG.removeprefix("(?is)")
-ANCHOR = r"(?is)<a\b[^>]*>.*?</a\s*>"
+# An anchor ends at its end tag, at the next anchor or with the page.
+ANCHOR = r"(?is)<a\b[^>]*>.*?(?:</a\s*>|(?=<a\b)|\z)"
 HREF = r"""(?is)^<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 REFERENCE = r"(?s)^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);(.*)$"
+# All named references of the public HTML standard; the most frequent first, as a map is searched from its start.
+FREQUENT = ["amp", "nbsp", "lt", "gt", "quot", "auml", "ouml", "uuml", "szlig"]
+NAMES = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
+NAMES = json.dumps({n: NAMES[n] for n in FREQUENT} | NAMES)
 
 
 def _code_point(n: Column) -> Column:
@@ -23,8 +30,8 @@ def _code_point(n: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    """Replace numeric and common named character references, in one pass."""
-    names = F.create_map(*[F.lit(x) for kv in dims.ENTITIES.items() for x in kv])
+    """Replace numeric and named character references, in one pass."""
+    names = F.from_json(F.lit(NAMES), "map<string,string>")
 
     def one(piece: Column) -> Column:
         name = F.regexp_extract(piece, REFERENCE, 1)

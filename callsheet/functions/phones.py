@@ -1,5 +1,6 @@
 """Phone numbers: finding, normalising, validating. Validity is structural: the
-national number must fit the pattern of its country in the numbering plan."""
+national number must fit the pattern of its country in the numbering plan, or the
+general length of international numbers where the plan has no entry."""
 
 from __future__ import annotations
 
@@ -9,17 +10,22 @@ from callsheet import dims
 from callsheet.functions.stages import let
 from callsheet.functions.text import strip
 
-# A maximal run of seven or more digits with up to two separators between digits.
-RUN = r"[+(]{0,2}[0-9](?:[ \x{00A0}().\-/]{0,2}[0-9]){6,}"
+# A maximal run of seven or more digits with up to two separators between digits. After
+# seven digits an opening parenthesis starts the next number.
+RUN = r"[+(]{0,2}[0-9](?:[ \x{00A0}().\-/]{0,2}[0-9]){6}(?:[ \x{00A0}).\-/]{0,2}[0-9])*"
 IPV4 = r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"
 # Letters, percent and currency signs next to a run make it something else.
 BLOCKED = r"^[A-Za-z\x{00AA}\x{00BA}\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}\x{00F8}-\x{024F}%$\x{00A2}-\x{00A5}\x{20A0}-\x{20BF}]$"
 VIABLE = r"^[ \x{00A0}().\-/]*\+?[0-9 \x{00A0}().\-/]+$"
 EXTENSION = r"(?i)[ ]*(?:ext\.?|x|#)[ ]*[0-9]{1,7}$"
 
-DIAL_CODES = "(" + "|".join(sorted((p[1] for p in dims.DIAL_PLAN), key=lambda d: (-len(d), d))) + ")"
-VALID = "^(?:" + "|".join(f"{dial}{nsn}" for _, dial, _, _, nsn in dims.DIAL_PLAN) + ")$"
-TRUNK_ZERO = "^(" + "|".join(d for _, d, _, trunk, _ in dims.DIAL_PLAN if trunk == "0") + ")0"
+PLAN_CODES = {p[1] for p in dims.DIAL_PLAN}
+OTHER_CODES = [c for c in dims.CALLING_CODES if c not in PLAN_CODES]
+DIAL_CODES = "(" + "|".join(sorted(PLAN_CODES | set(OTHER_CODES), key=lambda d: (-len(d), d))) + ")"
+# Codes without a plan of their own: seven digits up to the fifteen that any number may have.
+VALID = ("^(?:" + "|".join(dict.fromkeys(f"{dial}{nsn}" for _, dial, _, _, nsn in dims.DIAL_PLAN)) + "|"
+         + "|".join(f"(?:{'|'.join(c for c in OTHER_CODES if len(c) == n)})[0-9]{{7,{15 - n}}}" for n in (2, 3)) + ")$")
+TRUNK_ZERO = "^(" + "|".join(dict.fromkeys(d for _, d, _, trunk, _ in dims.DIAL_PLAN if trunk == "0")) + ")0"
 
 PLACEHOLDER = "^(?:000000|123456)"
 SAME_DIGIT = "^(?:" + "|".join(f"{d}{{6,}}" for d in "0123456789") + ")$"

@@ -37,7 +37,9 @@ def preview(df: DataFrame, ordinal: str, first: int, n: int) -> DataFrame:
 
 
 def profile(df: DataFrame, numeric: list[str], text: list[str]) -> DataFrame:
-    """count, nulls, distinct, min, max, mean, deviation per column, one row each."""
+    """count, nulls, distinct, most frequent value (the smallest of several) and its count,
+    min, max, mean, deviation per column, one row each. Values are counted first, as
+    text, so no task holds all values of a column."""
     cells = []
     for c in numeric + text:
         num = c in numeric
@@ -50,7 +52,13 @@ def profile(df: DataFrame, numeric: list[str], text: list[str]) -> DataFrame:
             (F.avg(val) if num else none).alias("mean"),
             (F.stddev_samp(val) if num else none).alias("std")))
     stats = df.agg(F.array(*cells).alias("s")).select(F.inline("s"))
-    return stats
+    values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in numeric + text])
+    counts = (df.select(F.inline(values)).filter(F.col("value").isNotNull())
+              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    found = counts.groupBy("column").agg(
+        F.count(F.lit(1)).alias("distinct"), F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("t")).select(
+        "column", "distinct", F.col("t.value").alias("top"), (-F.col("t.n")).alias("top_n"))
+    return stats.join(found, "column", "left").withColumn("distinct", F.coalesce("distinct", F.lit(0)))
 
 
 def join_on_adjusted_id(attrition: DataFrame, rows: DataFrame, shift: int) -> DataFrame:

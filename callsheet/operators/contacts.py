@@ -123,12 +123,16 @@ def number_cells(src: DataFrame, col: str, name: str, first_seen: bool = False,
 
 
 def number_overflow(src: DataFrame, max_items: int = 10_000) -> DataFrame:
-    """Further parts of the value lists that do not fit one report cell."""
+    """Further parts of the value lists that do not fit one report cell: sorted lists
+    under their column's name, lists in order of first sight with ``_first_seen``."""
     long = None
-    for col in ("type", "source_url", "company"):
-        part = distinct_values(src, col).select("base", "number", F.lit(col).alias("column"), "value")
+    for col, first_seen in (("type", False), ("source_url", False), ("company", False),
+                            ("type", True), ("source_url", True)):
+        part = distinct_values(src, col).select(
+            "base", "number", F.lit(col + "_first_seen" * first_seen).alias("column"), "value",
+            F.col("ord") if first_seen else F.lit(None).cast(src.schema["ord"].dataType).alias("ord"))
         long = part if long is None else long.unionByName(part)
-    return overflow_cells(list_cells(long, ["base", "number", "column"], "value", max_items=max_items)
+    return overflow_cells(list_cells(long, ["base", "number", "column"], "value", "ord", max_items=max_items)
                           ).select("base", "number", "column", "part", "cell")
 
 

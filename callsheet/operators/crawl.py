@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callsheet import dims
 from callsheet.functions import urls
-from callsheet.functions.stages import computed, stored
+from callsheet.functions.stages import stored
 from callsheet.operators.links import LinkRules, score_links
 
 
@@ -86,12 +86,25 @@ def page_budget(queue: DataFrame, key: str = "entry_url", max_pages: int = 20,
         (F.col("visit") <= max_pages) | (F.col("score") >= bypass_score))
 
 
-def one_fetch(fetches: DataFrame) -> DataFrame:
-    """One row per URL of a fetch log with retries: an attempt with content goes first,
-    then the smallest status and landed URL. The rank is cut on the map side."""
+def fetch_log(fetches: DataFrame) -> DataFrame:
+    """One row per fetched URL, without the page source: ``url, status_code, landed_url,
+    has_content, content_key``. Of several attempts one with content goes first, then the
+    smallest status, landed URL and content key."""
+    source = F.coalesce("html", F.lit(""))
+    light = fetches.select("url", "status_code", "landed_url", (source != "").alias("has_content"),
+                           F.xxhash64(source).alias("content_key"))
     w = Window.partitionBy("url").orderBy(
-        (F.coalesce("html", F.lit("")) == "").cast("int"), F.col("status_code").asc_nulls_last(), "landed_url")
-    return fetches.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1).drop("_n")
+        F.col("has_content").desc(), F.col("status_code").asc_nulls_last(), "landed_url", "content_key")
+    return light.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1).drop("_n")
+
+
+def page_sources(fetches: DataFrame, pages: DataFrame) -> DataFrame:
+    """``link_url, landed_url, html`` of the distinct ``pages``: the only place where page
+    sources move, one row per page however many rows reached it."""
+    wanted = pages.select("link_url", "content_key", "landed_url").distinct()
+    held = fetches.select(F.col("url").alias("link_url"), F.xxhash64(F.coalesce("html", F.lit(""))).alias("content_key"), "html")
+    return (held.join(wanted, ["link_url", "content_key"])
+            .dropDuplicates(["link_url", "content_key"]).drop("content_key"))
 
 
 def crawl_stored(entries: DataFrame, fetches: DataFrame, rules: LinkRules = LinkRules(),
@@ -103,25 +116,25 @@ def crawl_stored(entries: DataFrame, fetches: DataFrame, rules: LinkRules = Link
     html)``. Returns the kept pages (first visit of a landed URL wins, by row) and
     one outcome row per entry. Depth is a small constant; every level's pages and
     queue are written to the shared folder, so the plan does not grow with depth."""
-    fetches = one_fetch(fetches)
+    log = stored(fetch_log(fetches), "fetch-log")
     level = entries.select("input_row_id", "entry_url", F.col("entry_url").alias("link_url"),
                            F.lit(100).alias("score"), F.lit(0).alias("link_ord"),
                            F.lit(0).alias("depth"))
-    got = fetches.select(F.col("url").alias("link_url"), "status_code", "landed_url", "html")
+    got = log.filter("has_content").select(
+        F.col("url").alias("link_url"), "status_code", "content_key",
+        urls.normalize_url(F.col("landed_url")).alias("landed_url"))
     queued = kept = None
     for depth in range(max_depth + 1):
         queue = level.select("input_row_id", "link_url")
         queued = queue if queued is None else queued.unionByName(queue)
-        hit = _within_budget(
-            level.join(got.filter(F.coalesce("html", F.lit("")) != ""), "link_url"),
-            kept, max_pages, bypass_score, bypass_pages)
-        hit = computed(hit, landed_url=urls.normalize_url(F.col("landed_url")))
-        # The pages of a level without their source, which stays in the page store.
-        done = stored(hit.drop("html"), "crawl-pages")
+        done = stored(_within_budget(level.join(got, "link_url"), kept, max_pages, bypass_score, bypass_pages),
+                      "crawl-pages")
         kept = done if kept is None else kept.unionByName(done)
         if depth < max_depth:
-            found = score_links(hit.select("input_row_id", "entry_url", "landed_url", "html"),
-                                rules, "landed_url")
+            # Links are read once per page and then dealt to the rows that reached it.
+            read = page_sources(fetches, done).withColumnRenamed("link_url", "from_url")
+            links = score_links(read, rules, "landed_url").select("from_url", "link_url", "link_ord", "score")
+            found = done.select("input_row_id", "entry_url", F.col("link_url").alias("from_url")).join(links, "from_url")
             nxt = (found.groupBy("input_row_id", "entry_url", "link_url")
                    .agg(F.min(F.struct("link_ord", "score")).alias("f")))
             seen = queued.unionByName(kept.select("input_row_id", F.col("landed_url").alias("link_url")))
@@ -132,7 +145,7 @@ def crawl_stored(entries: DataFrame, fetches: DataFrame, rules: LinkRules = Link
                 .join(seen, ["input_row_id", "link_url"], "left_anti"), "crawl-queue")
     pages = first_visits(kept, "landed_url", ["input_row_id", "depth", F.col("score").desc(), "link_ord"])
     pages = stored(pages, "crawl-visits")
-    return pages, entry_outcomes(entries, pages, fetches)
+    return pages, _outcomes(entries, pages, log)
 
 
 def _within_budget(hit: DataFrame, kept: DataFrame | None, max_pages: int, bypass_score: int,
@@ -155,10 +168,12 @@ def _within_budget(hit: DataFrame, kept: DataFrame | None, max_pages: int, bypas
 def entry_outcomes(entries: DataFrame, pages: DataFrame, fetches: DataFrame) -> DataFrame:
     """Success with at least one new page, else the decoded entry status. An entry
     that only met pages of earlier rows is ``Already_Processed``."""
+    return _outcomes(entries, pages, fetch_log(fetches))
+
+
+def _outcomes(entries: DataFrame, pages: DataFrame, log: DataFrame) -> DataFrame:
     n = pages.groupBy("input_row_id").agg(F.count(F.lit(1)).alias("pages"))
-    first = one_fetch(fetches).select(
-        F.col("url").alias("entry_url"), "status_code", "landed_url",
-        (F.coalesce(F.length("html"), F.lit(0)) > 0).alias("has_content"))
+    first = log.select(F.col("url").alias("entry_url"), "status_code", "landed_url", "has_content")
     joined = entries.join(first, "entry_url", "left").join(n, "input_row_id", "left")
     status = (F.when(F.col("pages") > 0, F.lit("Success"))
               .when(F.col("has_content"), F.lit("Already_Processed"))
@@ -173,17 +188,18 @@ def robots_admission(entries: DataFrame, rules: DataFrame, url: str = "entry_url
                      key: str = "input_row_id", agent: str = "*") -> DataFrame:
     """First matching rule of the host decides; no rule means allowed.
 
-    The prefix match is an equality join: every URL is expanded into the prefixes
-    of its path (bounded by its length), never paired with all rules of its host."""
+    The prefix match is an equality join: a URL whose host has rules is expanded into
+    prefixes of the lengths that these rules have, never paired with all of them."""
     own = (rules.filter(F.col("ua") == agent)
            .select("host", F.col("prefix"), "rule_ord",
                    (F.col("allow") | (F.col("prefix") == "")).alias("allow"))
            .groupBy("host", "prefix").agg(F.min(F.struct("rule_ord", "allow")).alias("r")))
-    target = F.regexp_replace(F.col(url), urls.ROOT, "")
-    tried = entries.select(
-        key, urls.url_host(F.col(url)).alias("host"),
-        F.explode(F.transform(F.sequence(F.lit(0), F.length(target)),
-                              lambda i: F.substring(target, F.lit(1), i))).alias("prefix"))
+    sizes = own.groupBy("host").agg(F.collect_set(F.length("prefix")).alias("sizes"))
+    ruled = entries.select(key, urls.url_host(F.col(url)).alias("host"),
+                           F.regexp_replace(F.col(url), urls.ROOT, "").alias("target")).join(sizes, "host")
+    tried = (ruled.select(key, "host", "target", F.explode("sizes").alias("n"))
+             .filter(F.col("n") <= F.length("target"))
+             .select(key, "host", F.substring(F.col("target"), F.lit(1), F.col("n")).alias("prefix")))
     verdict = (tried.join(own, ["host", "prefix"]).groupBy(key)
                .agg(F.min("r").alias("r")).select(key, F.col("r.allow").alias("allow")))
     return entries.join(verdict, key, "left").withColumn(

@@ -8,7 +8,7 @@ from callsheet import dims
 from callsheet.functions import phones, urls
 from callsheet.operators import contacts, journey as jn, outcomes
 from callsheet.operators.duplicates import with_duplicate_counts
-from callsheet.operators.skew import first_cells, list_cells
+from callsheet.operators.skew import first_cells, list_cells, overflow_cells
 
 
 def report_class_rank(c: Column) -> Column:
@@ -82,16 +82,28 @@ def summary(outcome_rows: DataFrame, nums: DataFrame, src: DataFrame, run_id: st
         c("target_countries").alias("TargetCountryCodes"), F.lit(run_id).alias("RunID"))
 
 
-def domain_headers(entries: DataFrame, bases: DataFrame, original_urls: DataFrame) -> DataFrame:
-    """Names and given URLs of a base as text, falling back to the base's own."""
+def header_cells(entries: DataFrame, original_urls: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """List cells of the names, the given URLs and, for bases without these, the found URLs."""
     rows = entries.filter(F.col("base").isNotNull())
     pick = lambda src, name: rows.filter(F.col(src).isNotNull()).select(
         "base", F.lit(name).alias("column"), F.col(src).alias("value")).distinct()
-    cells = lambda df, sep: first_cells(list_cells(df, ["base"], "value", sep=sep)).select("base", "cell")
-    names = cells(pick("company_name", "n"), " - ").withColumnRenamed("cell", "names")
-    given = cells(pick("given_url", "u"), ", ").withColumnRenamed("cell", "given")
+    given = pick("given_url", "GivenURL")
     unmet = original_urls.join(given, "base", "left_anti").withColumnRenamed("url", "value")
-    own = cells(unmet, ", ").withColumnRenamed("cell", "own")
+    return (list_cells(pick("company_name", "CompanyName"), ["base"], "value", sep=" - "),
+            list_cells(given, ["base"], "value"), list_cells(unmet, ["base"], "value"))
+
+
+def header_overflow(entries: DataFrame, original_urls: DataFrame) -> DataFrame:
+    """Further parts of the header lists."""
+    names, given, own = (overflow_cells(c) for c in header_cells(entries, original_urls))
+    tag = lambda df, name: df.select("base", F.lit(name).alias("column"), "part", "cell")
+    return tag(names, "CompanyName").unionByName(tag(given, "GivenURL")).unionByName(tag(own, "GivenURL"))
+
+
+def domain_headers(entries: DataFrame, bases: DataFrame, original_urls: DataFrame) -> DataFrame:
+    """Names and given URLs of a base as text, falling back to the base's own."""
+    names, given, own = (first_cells(c).select("base", F.col("cell").alias(n)) for c, n in zip(
+        header_cells(entries, original_urls), ("names", "given", "own")))
     return (bases.join(names, "base", "left").join(given, "base", "left").join(own, "base", "left")
             .select("base",
                     F.concat_ws(" - ", "base", F.coalesce("names", F.lit("Unknown"))).alias("CompanyName"),

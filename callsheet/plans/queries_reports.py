@@ -706,11 +706,18 @@ def _(spark, sf):
     return an.group_value_counts(Run(spark, sf).outcomes, "description", "reason")
 
 
-@query("A22_profile", """SELECT * FROM (
+def _top(c: str) -> str:
+    seen = f"(SELECT {c}::VARCHAR AS v, count(*) AS n FROM orders WHERE {c} IS NOT NULL GROUP BY {c})"
+    return ", ".join([f"(SELECT count(*) FROM {seen}) AS \"distinct\"",
+                      f"(SELECT v FROM {seen} ORDER BY n DESC, v LIMIT 1) AS top", f"(SELECT max(n) FROM {seen}) AS top_n"])
+
+
+@query("A22_profile", f"""SELECT * FROM (
 SELECT 'o_totalprice' AS "column", count(o_totalprice) AS filled, count(*) - count(o_totalprice) AS nulls,
   min(o_totalprice) AS min, max(o_totalprice) AS max, round(avg(o_totalprice), 2) AS mean,
-  round(stddev_samp(o_totalprice), 2) AS std FROM orders
-UNION ALL SELECT 'o_orderstatus', count(o_orderstatus), count(*) - count(o_orderstatus), NULL, NULL, NULL, NULL FROM orders)""")
+  round(stddev_samp(o_totalprice), 2) AS std, {_top('o_totalprice')} FROM orders
+UNION ALL SELECT 'o_orderstatus', count(o_orderstatus), count(*) - count(o_orderstatus), NULL, NULL, NULL, NULL, {_top('o_orderstatus')}
+FROM orders)""")
 def _(spark, sf):
     p = an.profile(b.table(spark, sf, "orders"), ["o_totalprice"], ["o_orderstatus"])
     return p.withColumn("mean", F.round("mean", 2)).withColumn("std", F.round("std", 2))

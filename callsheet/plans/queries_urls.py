@@ -323,10 +323,14 @@ def _(spark, sf):
     return b.page_texts(spark, sf).select("page_id", "text")
 
 
+# Pieces from one opening tag to the next, each cut behind its end tag.
+TAGS = f"""list_filter(list_transform(string_split(regexp_replace({s.hidden('html')}, '(?i)(<a\\b[^>]*>)', chr(1) || '\\1', 'g'),
+  chr(1))[2:], lambda p: regexp_extract(p, '(?is)^<a\\b[^>]*>.*?(?:</a\\s*>|$)')), lambda p: p <> '')"""
+
 V_ANCHOR = f"""{s.V_NORM}, v_tag AS (
   SELECT page_id, url_norm AS page_url, u_scheme, u_host,
     unnest(range(len(tags))) AS link_ord, unnest(tags) AS tag
-  FROM (SELECT *, regexp_extract_all({s.hidden('html')}, {s.lit(html.ANCHOR)}) AS tags FROM v_norm)),
+  FROM (SELECT *, {TAGS} AS tags FROM v_norm)),
 v_anchor AS (
   SELECT page_id, page_url, u_scheme, u_host, link_ord::INT AS link_ord,
     {s.strip(s.decode(s.rx('tag', r'(?is)href="([^"]*)"', 1)))} AS href,

@@ -40,9 +40,10 @@ class Settings:
     count_error_items: bool = False
 
 
-def admitted(rows: DataFrame, fetches: DataFrame, robots: DataFrame | None,
+def admitted(rows: DataFrame, log: DataFrame, robots: DataFrame | None,
              known_hosts: DataFrame | None) -> DataFrame:
-    """Clean the given URLs and decide which entry URL each row is crawled from."""
+    """Clean the given URLs and decide which entry URL each row is crawled from.
+    ``log``: result of ``crawl.fetch_log``."""
     cleaned = computed(rows, clean_url=urls.clean_url(F.col("given_url")))
     if known_hosts is not None:
         cleaned = crawl.probe_tlds(cleaned, known_hosts, url="clean_url").drop("clean_url").withColumnRenamed(
@@ -55,10 +56,9 @@ def admitted(rows: DataFrame, fetches: DataFrame, robots: DataFrame | None,
         cleaned = cleaned.join(verdict.select("input_row_id", "allowed"), "input_row_id", "left")
     else:
         cleaned = cleaned.withColumn("allowed", F.lit(True))
-    has = (F.coalesce("html", F.lit("")) != "").alias("has_content")
     tried = crawl.first_resolving_entry(
         cleaned.filter(F.col("start_url").isNotNull() & F.coalesce("allowed", F.lit(True))),
-        fetches.select("url", "status_code", has), "start_url")
+        log.select("url", "status_code", "has_content"), "start_url")
     picked = tried.select("input_row_id", F.col("entry_url"))
     return stored(cleaned.join(picked, "input_row_id", "left"), "admitted")
 
@@ -72,8 +72,7 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
     target_countries, logged_at)``, ``fetches(url, status_code, landed_url, html)``.
     ``labeler`` maps request slots to a response table."""
     s = settings
-    fetches = crawl.one_fetch(fetches)
-    start = admitted(rows, fetches, robots, known_hosts)
+    start = admitted(rows, crawl.fetch_log(fetches), robots, known_hosts)
     to_crawl = start.filter(F.col("entry_url").isNotNull()).select("input_row_id", "entry_url")
     pages, crawled = crawl.crawl_stored(to_crawl, fetches, s.rules, s.max_depth, s.max_pages,
                                         s.bypass_score, s.bypass_pages)
@@ -88,7 +87,7 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
                      .drop("pathful_url").withColumnRenamed("attempted", "pathful_url"), "entries")
 
     # Page texts: each visited page once, joined to its stored source.
-    source = fetches.select(F.col("url").alias("link_url"), "html")
+    source = crawl.page_sources(fetches, pages).drop("landed_url")
     owner = entries.select("input_row_id", "pathful_url", "base", "company_name",
                            F.array_join(country_list(F.col("target_countries")), ",").alias("codes"))
     visited = pages.join(owner, "input_row_id").join(source, "link_url")
@@ -135,8 +134,9 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
     size = lambda name: reports[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "n")
     sizes = size("summary").unionByName(size("final_contacts")).unionByName(size("domain_summary"))
     cells = jn.member_cells(jn.members(entries, sites))
+    more = jn.overflow(cells, src).unionByName(rp.header_overflow(entries, ct.original_urls(src)))
     reports["list_overflow"] = ct.number_overflow(src).unionByName(
-        jn.overflow(cells, src).withColumn("number", F.lit(None).cast("string")))
+        more.withColumn("number", F.lit(None).cast("string")))
     reports["failed_rows"] = events
     reports["run_metrics"] = mt.run_metrics(rows, out, lost, domains, events, page_rows, sites, sizes)
     reports["requests"] = sinks.request_archive(cands)

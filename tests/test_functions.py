@@ -156,3 +156,38 @@ def test_digit_runs_of_a_long_text(spark):
     assert len(found) == 20_000 and len(got) == 20_003
     for r in found:
         assert rows[r.start:r.start + len(r.raw)] == r.raw and rows[r.start - 1] == r.before and rows[r.start + len(r.raw)] == r.after
+
+
+def test_numbers_of_other_countries_and_neighbours(spark):
+    from callsheet.operators import candidates as cd
+
+    cases = {
+        "call +55 11 5555 1234 now": ["+551155551234"], "+81 3 1234 6789": ["+81312346789"], "+354 555 12345": ["+35455512345"],
+        "+999 1234567": [], "(030) 2468105 (030) 2468207": ["+49302468105", "+49302468207"],
+        "+49 (0)30 2468105 / 030 2468207": ["+49302468105", "+49302468207"], "(030) 2468105": ["+49302468105"]}
+    texts = spark.createDataFrame(list(enumerate(cases)), "i int, text string")
+    got = {}
+    for r in cd.phone_matches(texts, "DE").orderBy("i", "match_ord").collect():
+        got.setdefault(r.i, []).append(r.number)
+        assert r.text[r.match_start:r.match_end] == r.raw
+    assert [got.get(i, []) for i in range(len(cases))] == list(cases.values())
+
+
+def test_named_references_and_open_anchors(spark):
+    from callsheet.functions import html
+
+    t = "a &rarr; b &hearts; c &times; &amp;rarr; &unknown; &#8594;&Auml;"
+    page = '<a href="/x">one<a href="/y">two</a><p>z</p><a href="/k">three\n'
+    r = spark.createDataFrame([(t, page)], "t string, p string").select(
+        html.html_text(F.col("t")).alias("t"), F.transform(html.anchors(F.col("p")), html.anchor_href).alias("h"),
+        F.transform(html.anchors(F.col("p")), html.anchor_text).alias("x")).first()
+    assert r.t == "a \u2192 b \u2665 c \u00d7 &rarr; &unknown; \u2192\u00c4"
+    assert r.h == ["/x", "/y", "/k"] and r.x == ["one", "two", "three"]
+
+
+def test_csv_cells_with_line_breaks(spark, tmp_path):
+    from callsheet.sources import tables
+
+    (tmp_path / "rows.csv").write_text('firma,url\n"A ""B""\nC",http://a.de\n')
+    got = tables.read_csv(spark, str(tmp_path / "rows.csv"), tables.string_schema("firma", "url")).collect()
+    assert [tuple(r) for r in got] == [('A "B"\nC', "http://a.de")]

@@ -66,10 +66,10 @@ def test_ranked_with_hot_key(spark):
 def test_list_cells_are_whole(spark):
     rows = [("hot", f"v{i:05d}") for i in range(5000)] + [("cold", "b"), ("cold", "a")]
     cells = list_cells(spark.createDataFrame(rows, "k string, v string"), ["k"], "v", max_items=100, salts=64).collect()
-    hot = [x for r in cells if r.k == "hot" for x in r.cell.split(", ")]
-    assert sorted(hot) == [v for k, v in rows if k == "hot"]
-    assert len([r for r in cells if r.k == "hot"]) == 50
-    assert max(len(r.cell.split(", ")) for r in cells) < 250
+    parts = sorted((r.part, r.cell) for r in cells if r.k == "hot")
+    assert [p for p, _ in parts] == list(range(len(parts))) and 25 < len(parts) < 100
+    assert [x for _, c in parts for x in c.split(", ")] == [v for k, v in rows if k == "hot"], "parts follow each other"
+    assert max(len(r.cell.split(", ")) for r in cells) < 1000 and {r.n_values for r in cells} == {5000, 2}
     assert [(r.part, r.cell) for r in cells if r.k == "cold"] == [(0, "a, b")]
 
 
@@ -78,8 +78,11 @@ def test_long_cells_go_on_in_the_overflow(spark):
     src = ct.sources(ct.source_facts(spark.createDataFrame(rows, ITEMS)))
     shown = ct.number_cells(src, "source_url", "cell", max_items=10).first().cell.split(", ")
     more = ct.number_overflow(src, max_items=10).filter("column = 'source_url'").collect()
-    rest = [u for r in more for u in r.cell.split(", ")]
-    assert sorted(shown + rest) == [r[2] for r in rows] and len(shown) < 30
+    rest = [u for r in sorted(more, key=lambda r: r.part) for u in r.cell.split(", ")]
+    assert shown + rest == [r[2] for r in rows] and len(shown) < 60
+    first = ct.number_cells(src, "source_url", "cell", first_seen=True, max_items=10).first().cell.split(", ")
+    later = ct.number_overflow(src, max_items=10).filter("column = 'source_url_first_seen'").orderBy("part").collect()
+    assert first + [u for r in later for u in r.cell.split(", ")] == [r[2] for r in rows]
 
 
 def test_blank_stop_equals_loop(spark):
@@ -199,3 +202,28 @@ def test_ordinals_over_files_of_unlike_size(spark, tmp_path):
         spark.createDataFrame(part, "v long").coalesce(1).write.parquet(str(tmp_path / f"in/part={i}"))
     got = tables.with_ordinal(spark.read.parquet(str(tmp_path / "in")).select("v")).collect()
     assert len(got) == len(values) and all(r.v == r.input_row_id for r in got)
+
+
+def test_page_sources_move_once(spark):
+    """A page that many rows reach is read once, with its best attempt; the rank over attempts carries no source."""
+    from callsheet.operators import crawl
+
+    log = spark.createDataFrame(
+        [("http://a.de/", 500, None, None), ("http://a.de/", 200, "http://a.de/", '<a href="/kontakt">Kontakt'),
+         ("http://a.de/", 200, "http://a.de/", '<a href="/kontakt">Kontakt'), ("http://a.de/kontakt", 200, "http://a.de/kontakt", "x")],
+        "url string, status_code int, landed_url string, html string")
+    entries = spark.createDataFrame([(i, "http://a.de/") for i in range(20)], "input_row_id long, entry_url string")
+    pages, outcomes = crawl.crawl_stored(entries, log, max_pages=0)
+    assert sorted((r.link_url, r.input_row_id) for r in pages.collect()) == [("http://a.de/", 0), ("http://a.de/kontakt", 0)]
+    assert outcomes.count() == 20
+    assert sorted(r.link_url for r in crawl.page_sources(log, pages).collect()) == ["http://a.de/", "http://a.de/kontakt"]
+    plan = crawl.fetch_log(log)._jdf.queryExecution().optimizedPlan().toString()
+    assert "html" not in plan[:plan.rindex("Window")]
+
+
+def test_profile_of_empty_and_tied_columns(spark):
+    from callsheet.operators import analysis
+
+    df = spark.createDataFrame([(1, "b", None), (1, "a", None), (2, "a", None), (None, "b", None)], "n int, s string, e string")
+    got = {r.column: (r.filled, r.distinct, r.top, r.top_n) for r in analysis.profile(df, ["n"], ["s", "e"]).collect()}
+    assert got == {"n": (3, 2, "1", 2), "s": (4, 2, "a", 2), "e": (0, 0, None, None)}
