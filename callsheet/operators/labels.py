@@ -61,8 +61,16 @@ def rule_label(snippet: Column, page_type: Column) -> tuple[Column, Column]:
             cls.when(front, F.lit("Primary")).otherwise(F.lit("Secondary")))
 
 
+def rule_labelled(cands: DataFrame) -> DataFrame:
+    """Candidates with the rule's labels as columns: what ``reconcile`` makes of
+    ``rule_labeler``'s answers, without request slots or answer texts."""
+    kind, cls = rule_label(F.col("snippet"), F.col("page_type"))
+    return cands.select("*", F.col("number").alias("asked_number"), kind.alias("type"),
+                        cls.alias("classification"), F.lit(0).alias("answered_by"))
+
+
 def rule_labeler(slots: DataFrame) -> DataFrame:
-    """Default labeler: slots to a response table of fenced JSON."""
+    """The rule as an outside labeler: slots to a response table of fenced JSON."""
     kind, cls = rule_label(F.col("snippet"), F.col("page_type"))
     item = F.struct("pos", "number", kind.alias("type"), cls.alias("classification"))
     body = F.to_json(F.struct(F.transform(

@@ -94,8 +94,12 @@ def _keyed(df: DataFrame, section: str, metric: str, key: str, value: str) -> Da
 
 
 def run_metrics(rows: DataFrame, outcome_rows: DataFrame, attrition: DataFrame, domains: DataFrame,
-                events: DataFrame, pages: DataFrame, sites: DataFrame, report_sizes: DataFrame) -> DataFrame:
-    """All metrics of a run. Every part is a small aggregate; only those are united."""
+                events: DataFrame, pages: DataFrame, sites: DataFrame, report_sizes: DataFrame,
+                items: DataFrame | None = None, tokens: DataFrame | None = None,
+                durations: DataFrame | None = None) -> DataFrame:
+    """All metrics of a run. Every part is a small aggregate; only those are united.
+    ``items``, ``tokens``: one-row results of ``item_counts`` and ``token_totals``;
+    ``durations``: result of ``task_durations``."""
     parts = [
         _long(duplicate_profile(rows), "input_duplicates"),
         _long(attrition_duplicates(attrition), "attrition_duplicates"),
@@ -110,4 +114,7 @@ def run_metrics(rows: DataFrame, outcome_rows: DataFrame, attrition: DataFrame,
             "failures", "stage", "key", "n"),
         _keyed(report_sizes, "reports", "rows", "report", "n"),
     ]
+    parts += [_long(df, "labels") for df in (items, tokens) if df is not None]
+    if durations is not None:
+        parts += [_keyed(durations, "tasks", m, "task", m) for m in ("seconds", "items", "seconds_per_item")]
     return reduce(DataFrame.unionByName, parts)

@@ -768,13 +768,12 @@ def _(spark, sf):
 
 # --- from raw texts to the contact report -------------------------------------------------------------------
 def contacts_from_texts(spark, sf) -> DataFrame:
-    """Texts to candidates, requests, labels, consolidated numbers and contacts."""
+    """Texts to candidates, labels, consolidated numbers and contacts."""
     cands = cd.phone_candidates(b.texts(spark, sf))
     asked = cands.select("base", F.concat("base", F.lit("/")).alias("pathful_url"), "page_url", "page_type",
                          "page_ord", "match_ord", "number", "snippet", F.col("page_url").alias("source_url"),
                          "company")
-    slots = stored(lb.request_slots(asked, "pathful_url", ["page_ord", "match_ord"], max_chunks=None), "slots")
-    labelled = stored(lb.reconcile(slots, lb.rule_labeler(slots)), "labelled")
+    labelled = stored(lb.rule_labelled(asked), "labelled")
     items = ct.usable_items(labelled.withColumn("ord", F.struct("page_ord", "match_ord")))
     facts = stored(ct.source_facts(items), "source_facts")
     nums, src = stored(ct.numbers(facts), "numbers"), ct.sources(facts)

@@ -1,6 +1,6 @@
 """A whole run: company rows and stored pages in, report tables out.
 
-    spark-submit -m callsheet.run --rows rows.parquet --fetches fetches.parquet --out out/
+    spark-submit -m callsheet.run --rows companies.csv --profile default --fetches fetches.parquet --out out/
 """
 
 from __future__ import annotations
@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,7 +19,7 @@ from callsheet.functions.text import country_list
 from callsheet.operators import candidates as cd, contacts as ct, crawl, journey as jn, labels as lb
 from callsheet.operators import metrics as mt, outcomes as oc, reports as rp
 from callsheet.operators.links import LinkRules
-from callsheet.sources import sinks
+from callsheet.sources import sinks, tables
 
 
 @dataclass(frozen=True)
@@ -65,12 +66,14 @@ def admitted(rows: DataFrame, log: DataFrame, robots: DataFrame | None,
 
 def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
         robots: DataFrame | None = None, known_hosts: DataFrame | None = None,
-        labeler: Callable[[DataFrame], DataFrame] = lb.rule_labeler) -> dict[str, DataFrame]:
+        labeler: Callable[[DataFrame], DataFrame] | None = None,
+        tasks: DataFrame | None = None) -> dict[str, DataFrame]:
     """All reports of a run.
 
     ``rows(input_row_id, company_name, given_url, given_phone, description,
     target_countries, logged_at)``, ``fetches(url, status_code, landed_url, html)``.
-    ``labeler`` maps request slots to a response table."""
+    ``labeler`` maps request slots to a response table; without one a key word rule labels
+    the candidates as they are. ``tasks(task, seconds)``: measured times, if any."""
     s = settings
     start = admitted(rows, crawl.fetch_log(fetches), robots, known_hosts)
     to_crawl = start.filter(F.col("entry_url").isNotNull()).select("input_row_id", "entry_url")
@@ -102,11 +105,14 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
     cands = stored(cands.withColumn("source_url", F.col("page_url")), "candidates")
 
     order = ["input_row_id", "depth", F.col("score").desc(), "link_ord", "match_ord"]
-    slots = stored(lb.request_slots(cands, "pathful_url", order, s.chunk, s.max_chunks), "slots")
-    responses = stored(labeler(slots), "responses")
-    labelled = stored(lb.reconcile(slots, responses, s.max_retries), "labelled")
-    items = ct.usable_items(labelled.withColumn("ord", F.struct("input_row_id", "chunk", "pos")),
-                            s.count_error_items)
+    if labeler is None:
+        labelled = stored(lb.rule_labelled(cands), "labelled")
+    else:
+        slots = stored(lb.request_slots(cands, "pathful_url", order, s.chunk, s.max_chunks), "slots")
+        responses = stored(labeler(slots), "responses")
+        labelled = stored(lb.reconcile(slots, responses, s.max_retries), "labelled")
+    seen = F.struct("input_row_id", "depth", (-F.col("score")).alias("score"), "link_ord", "match_ord")
+    items = ct.usable_items(labelled.withColumn("ord", seen), s.count_error_items)
     found = stored(ct.source_facts(items), "source_facts")
     nums, src = stored(ct.numbers(found), "numbers"), ct.sources(found)
 
@@ -132,16 +138,19 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
         "augmented_input": rp.augmented_input(original, summary, "given_phone"),
     }
     size = lambda name: reports[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "n")
-    sizes = size("summary").unionByName(size("final_contacts")).unionByName(size("domain_summary"))
+    sizes = reduce(DataFrame.unionByName, [size(name) for name in reports])
     cells = jn.member_cells(jn.members(entries, sites))
     more = jn.overflow(cells, src).unionByName(rp.header_overflow(entries, ct.original_urls(src)))
     reports["list_overflow"] = ct.number_overflow(src).unionByName(
         more.withColumn("number", F.lit(None).cast("string")))
     reports["failed_rows"] = events
-    reports["run_metrics"] = mt.run_metrics(rows, out, lost, domains, events, page_rows, sites, sizes)
+    reports["run_metrics"] = mt.run_metrics(
+        rows, out, lost, domains, events, page_rows, sites, sizes, lb.item_counts(labelled),
+        None if labeler is None else lb.token_totals(responses), None if tasks is None else mt.task_durations(tasks))
     reports["requests"] = sinks.request_archive(cands)
-    reports["responses"] = sinks.response_archive(
-        responses.join(slots.select("request_id", "pathful_url", "chunk").distinct(), "request_id"))
+    if labeler is not None:
+        reports["responses"] = sinks.response_archive(
+            responses.join(slots.select("request_id", "pathful_url", "chunk").distinct(), "request_id"))
     return reports
 
 
@@ -169,9 +178,34 @@ def write_all(reports: dict[str, DataFrame], out: str, run_id: str) -> None:
         sinks.write_report(df, out, name, run_id)
 
 
+def input_rows(spark: SparkSession, path: str, profile: str = "default", row_range: str | None = None,
+               stop_after_blank: int = 3, run_id: str = "run") -> DataFrame:
+    """Company rows of a CSV, JSON or Parquet table in the columns of a profile, as ``run``
+    takes them. A table that has these already is taken as it is."""
+    df = tables.read_table(spark, path)
+    if "given_url" in df.columns:
+        return df
+    if "input_row_id" not in df.columns:
+        if tables.kind(path) == "json":
+            raise ValueError("JSON lines have no order of their own: give them an input_row_id")
+        df = tables.with_ordinal(df) if tables.kind(path) == "parquet" else tables.with_text_ordinal(df)
+    cells = [c for c in df.columns if c != "input_row_id"]
+    loaded = tables.load_input(df, cells, profile, row_range, stop_after_blank, run_id)
+    codes = F.col("TargetCountryCodes")
+    if loaded.schema["TargetCountryCodes"].dataType.typeName() == "array":
+        codes = F.concat(F.lit("['"), F.array_join(codes, "','"), F.lit("']"))
+    return loaded.select(
+        "input_row_id", F.col("CompanyName").alias("company_name"), F.col("GivenURL").alias("given_url"),
+        F.col("GivenPhoneNumber").alias("given_phone"), F.col("Description").alias("description"),
+        codes.alias("target_countries"), F.current_timestamp().alias("logged_at"))
+
+
 def main() -> None:
     p = argparse.ArgumentParser(description=__doc__)
     p.add_argument("--rows", required=True)
+    p.add_argument("--profile", default="default")
+    p.add_argument("--row-range")
+    p.add_argument("--stop-after-blank", type=int, default=3)
     p.add_argument("--fetches", required=True)
     p.add_argument("--robots")
     p.add_argument("--hosts")
@@ -180,7 +214,8 @@ def main() -> None:
     a = p.parse_args()
     spark = SparkSession.builder.appName("callsheet").getOrCreate()
     read = lambda path: spark.read.parquet(path) if path else None
-    write_all(run(read(a.rows), read(a.fetches), Settings(run_id=a.run_id), read(a.robots), read(a.hosts)),
+    rows = stored(input_rows(spark, a.rows, a.profile, a.row_range, a.stop_after_blank, a.run_id), "input")
+    write_all(run(rows, read(a.fetches), Settings(run_id=a.run_id), read(a.robots), read(a.hosts)),
               a.out, a.run_id)
 
 

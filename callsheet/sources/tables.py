@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from callsheet import dims
+from callsheet.functions.stages import stored
 from callsheet.functions.text import blank_row
 
+
 def string_schema(*columns: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
@@ -26,6 +28,19 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def kind(path: str) -> str:
+    """Format of a table by the end of its path; Parquet unless it says otherwise."""
+    end = path.rstrip("/").lower()
+    return next((k for k in ("csv", "json") if end.endswith("." + k)), "parquet")
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table of any supported format; CSV columns are named by the header, all text."""
+    if kind(path) == "csv":
+        return read_csv(spark, path, string_schema(*spark.read.option("header", True).csv(path).columns))
+    return spark.read.json(path) if kind(path) == "json" else read_parquet(spark, path)
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Page store: one row per page with its HTML or text as a column."""
     return spark.read.parquet(path)
@@ -85,6 +100,19 @@ def with_ordinal(df: DataFrame, name: str = "input_row_id") -> DataFrame:
             .withColumn(name, F.col("_start") + F.col("_pos")).drop("_path", "_pos", "_start"))
 
 
+def with_text_ordinal(df: DataFrame, name: str = "input_row_id") -> DataFrame:
+    """Dense 0-based position of rows in text files: files by path, rows by place.
+
+    Each file must be read by one task, as ``read_csv`` does. The rows are written with a
+    rising number first, so that file starts and rows refer to the same reading."""
+    local = stored(df.select("*", F.col("_metadata.file_path").alias("_path"),
+                             F.monotonically_increasing_id().alias("_id")), "input-rows")
+    sizes = local.groupBy("_path").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_path", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return local.join(starts, "_path").withColumn(name, F.col("_id") + F.col("_shift")).drop("_path", "_id", "_shift")
+
+
 def row_range(df: DataFrame, text: str | None, ordinal: str = "input_row_id") -> DataFrame:
     """Rows of a range, by a stored 0-based ordinal: a plain pushed-down filter."""
     skip, take = parse_row_range(text)

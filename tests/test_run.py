@@ -125,3 +125,36 @@ def test_query_equals_sql(spark, name):
 
     state, _, _, note = check(spark, make_duck(SF), name, SF, catalog.QUERIES, catalog.SQL)
     assert state == "ok", note
+
+
+def test_from_a_company_file_to_reports(spark, tmp_path):
+    from callsheet.run import input_rows
+
+    (tmp_path / "in.csv").mkdir()
+    for i, rows in enumerate((["Alpha", "Beta"], ["Gamma"])):
+        body = "".join(f'"{n}\nGmbH",http://{n.lower()}.de,030 2468101,x\n' for n in rows)
+        (tmp_path / "in.csv" / f"{i}.csv").write_text("Unternehmen,Webseite,Telefonnummer,Beschreibung\n" + body + ",,,\n,,,\n" * i)
+    rows = input_rows(spark, str(tmp_path / "in.csv"), "default")
+    got = {r.input_row_id: (r.company_name, r.given_url, r.target_countries) for r in rows.collect()}
+    codes = "['DE','AT','CH']"
+    assert got == {0: ("Alpha\nGmbH", "http://alpha.de", codes), 1: ("Beta\nGmbH", "http://beta.de", codes),
+                   2: ("Gamma\nGmbH", "http://gamma.de", codes)}
+    assert [r.input_row_id for r in input_rows(spark, str(tmp_path / "in.csv"), "default", "2-2").collect()] == [1]
+    fetches = spark.createDataFrame([(f"http://{n}.de/", 200, f"http://{n}.de/", "<p>Zentrale: 030 2468101</p>")
+                                     for n in ("alpha", "beta", "gamma")], FETCH)
+    found = run(rows, fetches, Settings(run_id="r2"))
+    write_all({k: found[k] for k in ("final_contacts", "augmented_input")}, str(tmp_path / "out"), "r2")
+    out = spark.read.parquet(str(tmp_path / "out" / "final_contacts")).collect()
+    assert sorted(r.CanonicalEntryURL for r in out) == ["http://alpha.de", "http://beta.de", "http://gamma.de"]
+
+
+def test_rule_as_columns_equals_the_exchange(spark):
+    from callsheet.operators import labels as lb
+
+    rows = [(f"s{i % 3}", i, f"+4930246{8000 + i}", ("Fax: ", "Hotline ", "Zentrale ", "")[i % 4] + "030", "contact" if i % 5 == 0 else "legal",
+             f"u{i}", "c") for i in range(70)]
+    cands = spark.createDataFrame(rows, "pathful_url string, match_ord int, number string, snippet string, page_type string, source_url string, company string")
+    slots = lb.request_slots(cands, "pathful_url", ["match_ord"], max_chunks=None)
+    both = [sorted((r.match_ord, r.number, r.asked_number, r.type, r.classification, r.answered_by) for r in df.collect())
+            for df in (lb.rule_labelled(cands), lb.reconcile(slots, lb.rule_labeler(slots)))]
+    assert both[0] == both[1] and len(both[0]) == 70
