@@ -9,6 +9,7 @@ from callsheet import dims
 from callsheet.functions import urls
 from callsheet.functions.stages import stored
 from callsheet.operators.links import LinkRules, score_links
+from callsheet.operators.skew import ranked
 
 
 def probe_tlds(rows: DataFrame, known_hosts: DataFrame, url: str = "url", key: str = "input_row_id",
@@ -77,12 +78,13 @@ def frontier(links: DataFrame, key: str = "entry_url") -> DataFrame:
 def page_budget(queue: DataFrame, key: str = "entry_url", max_pages: int = 20,
                 bypass_score: int = 80, bypass_pages: int = 5) -> DataFrame:
     """Fetched pages an entry may keep: ``max_pages`` by score, then a few more of
-    high score. The queue is ordered by score, so both limits are one rank."""
-    w = Window.partitionBy(key).orderBy(F.col("score").desc(), "depth", "link_ord")
-    ranked = queue.withColumn("visit", F.row_number().over(w))
+    high score. The queue is ordered by score, so both limits are one rank. Without a limit
+    all are ranked, in slices, so that a site with very many links is spread over tasks."""
     if max_pages == 0:
-        return ranked
-    return ranked.filter(F.col("visit") <= max_pages + bypass_pages).filter(
+        cut = queue.withColumns({"_s": -F.col("score"), "_b": F.floor(F.col("link_ord") / 10_000)})
+        return ranked(cut, [key], ["_s", "depth", "_b"], [F.col("link_ord")], "visit").drop("_s", "_b")
+    w = Window.partitionBy(key).orderBy(F.col("score").desc(), "depth", "link_ord")
+    return queue.withColumn("visit", F.row_number().over(w)).filter(F.col("visit") <= max_pages + bypass_pages).filter(
         (F.col("visit") <= max_pages) | (F.col("score") >= bypass_score))
 
 

@@ -71,7 +71,8 @@ def _(spark, sf):
 
 @query("W4_frontier_rank", s.with_(V_QUEUE) + "SELECT site, link_url, visit::INT AS visit FROM v_budget")
 def _(spark, sf):
-    return crawl.page_budget(_queue(spark, sf), "site", max_pages=0).select("site", "link_url", "visit")
+    return crawl.page_budget(_queue(spark, sf), "site", max_pages=0).select(
+        "site", "link_url", F.col("visit").cast("int").alias("visit"))
 
 
 @query("W7_blank_runs", s.with_(BLANKS) + """, runs AS (
@@ -118,12 +119,13 @@ SELECT date_trunc('hour', ts) AS window_start, CASE event_type WHEN 'error' THEN
   WHEN 'view' THEN 'URL Validation' ELSE 'Row Processing' END AS failure_group,
   CASE event_type WHEN 'error' THEN 'Scraping_DNSError' WHEN 'click' THEN 'LLM_Processing_GeneralError'
   WHEN 'view' THEN 'URL_Validation_InvalidOrMissing' ELSE 'RowProcessing_Pass1' END AS stage, count(*) AS n
-FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR
-GROUP BY ALL""")
+FROM events GROUP BY ALL""")
 def _(spark, sf):
-    """Closed windows only: those the watermark has passed."""
-    closed = drain(spark, inc.failures_per_hour(event_stream(spark, sf)), "failures")
-    return closed.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    """All windows with their last count, open ones too."""
+    path = scratch(spark, "failures")
+    inc.write_updates(inc.failures_per_hour(event_stream(spark, sf)), f"{path}/data", f"{path}/state").awaitTermination()
+    found = inc.latest_updates(spark.read.parquet(f"{path}/data"), ["window_start", "failure_group", "stage"])
+    return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query("T3_stream_refresh", s.with_(s.V_ITEM) + """

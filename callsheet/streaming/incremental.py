@@ -22,6 +22,21 @@ def failures_per_hour(events: DataFrame, ts: str = "log_timestamp", delay: str =
             .select(F.col("w.start").alias("window_start"), "failure_group", "stage", "n"))
 
 
+def write_updates(windows: DataFrame, path: str, checkpoint: str):
+    """Write the windows that a batch changed, open ones too, under the batch's number; a
+    repeated batch replaces itself."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (windows.writeStream.outputMode("update").foreachBatch(step).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def latest_updates(written: DataFrame, keys: list[str], value: str = "n") -> DataFrame:
+    """Last state of every window in the table of ``write_updates``."""
+    return written.groupBy(*keys).agg(F.max_by(value, "batch").alias(value))
+
+
 def refresh_by_base(stream: DataFrame, store: str, rebuild, checkpoint: str):
     """Append each batch of items by base bucket and rebuild the touched bases.
 
