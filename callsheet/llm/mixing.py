@@ -97,7 +97,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: floa
 def _fit(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("size")
     copies, take = fit_budget(float(rows["target"].iloc[0]), rows["size"].to_numpy(np.int64), rows["n"].to_numpy(np.int64))
-    return pd.DataFrame({"sid": rows["sid"], "size": rows["size"], "copies": copies, "extra": take})
+    return pd.DataFrame({"sid": rows["sid"], "size": rows["size"], "n": rows["n"], "copies": copies, "extra": take})
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 7, row: Column | None = None) -> DataFrame:
@@ -113,16 +113,24 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     what one fitting task holds, never its documents."""
     carried = [row.alias("row")] if row is not None else []
     sized = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carried), "mix_sizes")
+    # Seeded order of the documents; a row's place in the written table tells rows of one id apart.
+    h = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    sized = sized.select("*", F.struct(h.alias("h"), "doc_id", F.col("_metadata.file_name").alias("file"),
+                                       F.col("_metadata.row_index").alias("at")).alias("place"))
     hist = sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     goal = stored(targets(hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, share, most), "mix_targets")
     same = F.col("a.source").eqNullSafe(F.col("b.source"))
     plan = (hist.filter("size > 0").alias("a").join(goal.alias("b"), same).select("b.sid", "a.size", "a.n", "b.target")
-            .groupBy("sid").applyInPandas(_fit, "sid int, size long, copies int, extra long"))
+            .groupBy("sid").applyInPandas(_fit, "sid int, size long, n long, copies int, extra long"))
+    plan = stored(plan, "mix_plan")
     rows = sized.alias("a").join(goal.alias("b"), same).select("a.*", "b.sid", "b.source_size", "b.target")
-    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id"))).withColumn("slice", F.pmod(F.shiftright("h", 7), F.lit(256)))
-    rows = ranked(rows, ["sid", "size"], ["slice"], [F.col("h"), F.col("doc_id")], "pos")
-    rows = rows.join(plan, ["sid", "size"], "left")
-    copies = F.coalesce("copies", F.lit(0)) + F.when(F.col("pos") <= F.col("extra"), 1).otherwise(0)
+    # Lengths of which some documents are taken: the last place that is. Only places are ranked, no texts.
+    some = rows.select("sid", "size", "place").join(plan.filter("0 < extra and extra < n").select("sid", "size", "extra"), ["sid", "size"])
+    some = ranked(some.withColumn("slice", F.shiftright("place.h", 56)), ["sid", "size"], ["slice"], [F.col("place")], "pos")
+    last = some.filter("pos = extra").select("sid", "size", F.col("place").alias("last"))
+    rows = rows.join(plan.join(last, ["sid", "size"], "left"), ["sid", "size"], "left")
+    chosen = (F.col("extra") > 0) & ((F.col("extra") >= F.col("n")) | (F.col("place") <= F.col("last")))
+    copies = F.coalesce("copies", F.lit(0)) + F.when(chosen, 1).otherwise(0)
     return rows.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"),
                        (F.col("size") * copies).cast("long").alias("taken"), *(["row"] if carried else []))
 
