@@ -128,7 +128,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     some = rows.select("sid", "size", "place").join(plan.filter("0 < extra and extra < n").select("sid", "size", "extra"), ["sid", "size"])
     some = ranked(some.withColumn("slice", F.shiftright("place.h", 56)), ["sid", "size"], ["slice"], [F.col("place")], "pos")
     last = some.filter("pos = extra").select("sid", "size", F.col("place").alias("last"))
-    rows = rows.join(plan.join(last, ["sid", "size"], "left"), ["sid", "size"], "left")
+    # One row per length and salt, so that documents of one very frequent length meet it in many tasks.
+    salted = plan.join(last, ["sid", "size"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    rows = rows.withColumn("salt", F.pmod("place.h", F.lit(16)).cast("int")).join(salted, ["sid", "size", "salt"], "left")
     chosen = (F.col("extra") > 0) & ((F.col("extra") >= F.col("n")) | (F.col("place") <= F.col("last")))
     copies = F.coalesce("copies", F.lit(0)) + F.when(chosen, 1).otherwise(0)
     return rows.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"),
