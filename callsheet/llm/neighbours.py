@@ -7,7 +7,8 @@ lists and brings each cell of nodes the distinct vectors it needs, once. Queries
 the finished graph, always expanding their best nodes, until nothing better is found.
 
 For vectors of unequal length one more component makes all lengths equal, so that the
-graph joins vectors that are near by inner product."""
+graph joins vectors that are near by inner product. Vectors are compared in single
+precision whatever their lengths; what is returned is in double precision."""
 
 from __future__ import annotations
 
@@ -21,8 +22,6 @@ from callsheet.functions.stages import stored
 
 #: Rows that one tree task holds, nodes that one leaf compares, nodes of one descent cell.
 TREE_ROWS, LEAF, CELL = 8192, 192, 1024
-#: Codes per unit; a vector of norm one rarely has a component beyond 127 / 254.
-SCALE = 254.0
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -42,21 +41,27 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _matrix(column) -> np.ndarray:
-    """Rows of packed codes."""
+    """Rows of packed vectors."""
     parts = list(column)
-    return np.frombuffer(b"".join(parts), np.int8).reshape(len(parts), -1).astype(np.float32) if parts else np.zeros((0, 1), np.float32)
+    return np.frombuffer(b"".join(parts), np.float32).reshape(len(parts), -1) if parts else np.zeros((0, 1), np.float32)
+
+
+def nearness(x: np.ndarray) -> np.ndarray:
+    """Inner products of packed rows, lengthened to norm one, less one: with the component
+    1 - e they are xy - e - e' + ee', which keeps its precision however short x and y are."""
+    return x @ x.T - x[:, -1:] - x[:, -1]
 
 
 def packed(nodes: DataFrame, longest: float, trees: int, seed: int) -> DataFrame:
-    """``id, vec`` (lengthened to norm one, a byte a component) and a random projection for
-    each tree. The graph and the walk compare these bytes; what is returned is exact."""
+    """``id, vec`` (divided by the longest norm; then ``e``, what the component that lengthens
+    it to norm one is short of one) and a random projection for each tree."""
     def run(batches):
         for b in batches:
             x = np.array(b.column("vector").to_pylist(), dtype=np.float64).reshape(b.num_rows, -1) / longest
-            x = np.column_stack([x, np.sqrt(np.maximum(1 - (x ** 2).sum(axis=1), 0))])
+            square = (x ** 2).sum(axis=1)
+            x = np.column_stack([x, square / (1 + np.sqrt(np.maximum(1 - square, 0)))])
             p = x @ np.random.default_rng(seed).normal(size=(x.shape[1], trees))
-            codes = np.rint(np.clip(x * SCALE, -127, 127)).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([r.tobytes() for r in codes], pa.binary()), *[pa.array(p[:, t]) for t in range(trees)]],
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([r.tobytes() for r in x.astype(np.float32)], pa.binary()), *[pa.array(p[:, t]) for t in range(trees)]],
                                              names=["id", "vec", *[f"p{t}" for t in range(trees)]])
 
     return nodes.mapInArrow(run, "id long, vec binary, " + ", ".join(f"p{t} double" for t in range(trees)))
@@ -102,7 +107,7 @@ def tree_edges(points: DataFrame, tree: int, parts: int, k: int) -> DataFrame:
             if held + len(rows) > CELL:
                 cell, held = cell + 1, 0
             held += len(rows)
-            s = x[rows] @ x[rows].T
+            s = nearness(x[rows])
             np.fill_diagonal(s, -np.inf)
             n = min(k, len(rows) - 1)
             if n == 0:  # alone in its leaf: a row for its cell only
@@ -141,7 +146,7 @@ def _join_cell(k: int):
         for members, fresh in zip(lists["members"], lists["fresh"]):
             at = np.searchsorted(ids, np.asarray(members, np.int64))
             new = np.asarray(fresh, bool)
-            sims = x[at] @ x[at].T
+            sims = nearness(x[at])
             ok = (new[:, None] | new[None, :]) & (sims > floor[at][:, None])
             np.fill_diagonal(ok, False)
             i, j = np.nonzero(ok)
@@ -211,12 +216,15 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = 32,
     code = points.select("id", "vec")
     own = queries.select(F.col("vec_id").alias("q"), "id")
     # A query has no lengthening component: its product with a node is the inner product.
-    asked = stored(own.join(code, "id").select("q", F.expr("concat(substr(vec, 1, length(vec) - 1), X'00')").alias("qvec")), "asked")
+    asked = stored(own.join(code, "id").select("q", F.expr("concat(substr(vec, 1, length(vec) - 4), X'00000000')").alias("qvec")), "asked")
 
     def scored(pairs: DataFrame) -> DataFrame:
         return pairs.join(code, "id").join(asked, "q").select("q", "id", "vec", "qvec").mapInArrow(_dots, "q long, id long, s float, done boolean")
 
-    start = own.join(ways, own.id == ways.x).select("q", F.col("m").alias("id")).unionByName(own).distinct()
+    # The longest nodes are far from all others in the graph, but may have the largest products with any query.
+    longest = nodes.orderBy(F.desc(dot(F.col("vector"), F.col("vector"))), "id").limit(beam).select("id")
+    start = own.join(ways, own.id == ways.x).select("q", F.col("m").alias("id")).unionByName(own)
+    start = start.unionByName(own.select("q").crossJoin(F.broadcast(longest))).distinct()
     seen = stored(scored(start), "beam")
     order = Window.partitionBy("q").orderBy(F.desc("s"), "id")
     for _ in range(hops):

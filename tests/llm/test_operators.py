@@ -226,6 +226,29 @@ def test_neighbours_recall_and_odd_vectors(spark):
     assert len(few) == 2
 
 
+def neighbour_recall(spark, x):
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neighbours.nearest(frame).groupBy("query_id").agg(F.collect_set("vec_id").alias("ids")).toPandas()
+    hits = 0
+    for q, ids in zip(got["query_id"], got["ids"]):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s)[:20]) & set(ids))
+    return hits / (20 * len(range(0, len(x), 20)))
+
+
+@pytest.mark.parametrize("lengths", ["one", "spread"])
+def test_neighbours_recall_with_unequal_lengths(spark, lengths):
+    rng = np.random.default_rng(16)
+    x = rng.normal(size=(2000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if lengths == "one":
+        x[777] *= 1000
+    else:  # four orders of magnitude
+        x *= 10 ** rng.uniform(-2, 2, (2000, 1))
+    assert neighbour_recall(spark, x) > 0.9
+
+
 def test_pipeline_runs_and_keeps_columns(spark):
     import corpus_pipeline
 
