@@ -2,11 +2,13 @@
 
 Documents are counted by (source, exact length). Per source a count of documents of
 each length is chosen: an equal share first, then a bounded-knapsack dynamic program
-for what is left of the budget. Which documents of a length are taken follows a seeded
+for what is left of the budget, from below and, by what is left out, from above. Which documents of a length are taken follows a seeded
 hash order, ranked in hash slices so that no task holds all documents of a length."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -14,8 +16,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from callsheet.functions.stages import stored
 from callsheet.operators.skew import ranked
 
-#: Budget up to which the dynamic program looks for an exact sum.
-EXACT_BUDGET = 1 << 16
+#: Budget to which longer ones are filled before the dynamic program looks for an exact sum, and
+#: bits of its states up to which it does so for any budget.
+EXACT_BUDGET, EXACT_BITS = 1 << 16, 1 << 29
 
 
 def word_count(text: Column) -> Column:
@@ -43,33 +46,66 @@ def knapsack(budget: int, lengths: list[int], counts: list[int]) -> dict[int, in
     return chosen
 
 
+def below(budget: int, lengths: np.ndarray, counts: np.ndarray, shares: bool = True) -> np.ndarray:
+    """How many of each length to take for a sum close to ``budget``, at most that.
+
+    Equal shares, one more of each by remainder, then as many spare ones as lead into the
+    knapsack's range, longest first; the knapsack is exact for what is left then. Where that
+    misses the budget, the same without shares may come nearer."""
+    lengths, size = [int(n) for n in lengths], int((lengths * counts).sum())
+    share = [int(c) * budget * shares for c in counts]
+    take = np.array([s // size for s in share], dtype=np.int64)
+    spare = [int(c - t) for c, t in zip(counts, take)]
+    left = budget - sum(int(t) * n for t, n in zip(take, lengths))
+
+    def add(i: int, n: int) -> None:
+        nonlocal left
+        take[i], spare[i], left = take[i] + n, spare[i] - n, left - n * lengths[i]
+
+    for i in sorted(range(len(lengths)), key=lambda i: (-(share[i] % size), lengths[i])):
+        if left <= EXACT_BUDGET or not shares:
+            break
+        if spare[i] and lengths[i] <= left:
+            add(i, 1)
+    order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
+    for i in order:
+        if left <= EXACT_BUDGET or left * sum(min(spare[j], left // lengths[j]).bit_length() for j in order) <= EXACT_BITS:
+            break
+        # Of lengths within the range no more than lead into it.
+        most = left // lengths[i] if lengths[i] > EXACT_BUDGET else -(-(left - EXACT_BUDGET) // lengths[i])
+        add(i, min(spare[i], most))
+    order = [i for i in order if spare[i] and lengths[i] <= left]
+    if order:
+        at = {lengths[i]: i for i in order}
+        for length, n in knapsack(left, [lengths[i] for i in order], [spare[i] for i in order]).items():
+            add(at[length], n)
+    if left and shares:
+        free = below(budget, np.array(lengths), counts, False)
+        return free if int((free * np.array(lengths)).sum()) > budget - left else take
+    return take
+
+
 def fit_budget(target: float, lengths: np.ndarray, counts: np.ndarray) -> tuple[int, np.ndarray]:
     """Copies that every document gets, and per length how many documents get one more.
 
-    The words taken come as near to ``target`` as whole documents allow; lengths are
-    positive and distinct."""
+    Of the sums found below and above ``target`` the nearer one, the smaller if both are
+    as near. Exact where the budget is in the knapsack's range; lengths are positive and
+    distinct."""
     size = int((lengths * counts).sum())
+    none = np.zeros(len(lengths), dtype=np.int64)
     if size == 0:
-        return 0, np.zeros(len(lengths), dtype=np.int64)
+        return 0, none
     copies = min(int(target // size), 2)
-    budget = min(int(round(target - copies * size)), size) if copies < 2 else 0
-    share = [int(c) * budget for c in counts]
-    take = np.array([s // size for s in share], dtype=np.int64)
-    left = budget - int((take * lengths).sum())
-    for i in sorted(range(len(lengths)), key=lambda i: (-(share[i] % size), lengths[i])):
-        if left <= EXACT_BUDGET:
-            break
-        if take[i] < counts[i] and lengths[i] <= left:
-            take[i], left = take[i] + 1, left - int(lengths[i])
-    if 0 < left <= EXACT_BUDGET:
-        spare = counts - take
-        order = np.argsort(lengths, kind="stable")[::-1]
-        order = [i for i in order if spare[i] > 0 and lengths[i] <= left]
-        chosen = knapsack(left, [int(lengths[i]) for i in order], [int(spare[i]) for i in order])
-        at = {int(n): i for i, n in enumerate(lengths)}
-        for length, n in chosen.items():
-            take[at[length]] += n
-    return copies, take
+    rest = target - copies * size
+    if copies == 2 or rest <= 0:
+        return copies, none
+    under = below(math.floor(rest), lengths, counts)
+    short = rest - int((under * lengths).sum())
+    if short == 0:
+        return copies, under
+    # The smallest sum above leaves out the largest one that may be left out.
+    over = counts - below(size - math.ceil(rest), lengths, counts)
+    return copies, under if short <= int((over * lengths).sum()) - rest else over
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, most: float) -> DataFrame:

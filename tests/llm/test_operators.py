@@ -187,6 +187,35 @@ def test_mix_meets_targets(spark, docs):
     assert mixing.mixed_rows(docs).columns == docs.columns
 
 
+def taken_words(target, lengths, counts):
+    lengths, counts = np.array(lengths), np.array(counts)
+    copies, extra = mixing.fit_budget(target, lengths, counts)
+    assert (extra >= 0).all() and (extra <= counts).all() and copies * counts.sum() + extra.sum() <= 2 * counts.sum()
+    return int((lengths * (copies * counts + extra)).sum())
+
+
+def test_mix_fits_beside_long_documents_and_from_above():
+    assert taken_words(350_000, [200, 400_000], [3000, 1]) == 350_000
+    assert taken_words(83, [100], [1]) == 100 and taken_words(167, [100], [1]) == 200 and taken_words(40, [100], [1]) == 0
+    assert taken_words(120_000, [60_000, 100_000], [2, 1]) == 120_000
+    # So many lengths that the knapsack does not hold all: filled down to its range.
+    lengths = list(range(1001, 9001))
+    assert taken_words(10_000_000.4, [*lengths, 90_000_000], [3] * len(lengths) + [1]) == 10_000_000
+
+
+def test_mix_is_as_near_as_brute_force():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        lengths = rng.choice(np.arange(1, 60), rng.integers(1, 5), replace=False)
+        counts = rng.integers(1, 4, len(lengths))
+        size = int((lengths * counts).sum())
+        target = float(rng.uniform(0, 2 * size))
+        sums = {int(target // size) * size}
+        for n, c in zip(lengths, counts):
+            sums = {s + k * int(n) for s in sums for k in range(int(c) + 1)}
+        assert abs(taken_words(target, lengths, counts) - target) <= min(abs(s - target) for s in sums) + 1e-9
+
+
 def test_learned_scores(spark, docs, labels):
     for frame in (quality.score_quality(docs, labels), toxicity.score_toxicity(docs, labels)):
         rows = frame.collect()
