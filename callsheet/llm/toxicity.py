@@ -1,12 +1,13 @@
-"""Toxicity by two class-conditional Kneser-Ney models over characters.
+"""Toxicity by two class-conditional Kneser-Ney models over the bytes of UTF-8.
 
 Each class has its own 5- and 4-gram counts; both share the pooled 3-, 2- and 1-gram
 continuation counts, so an expression rare in both scores alike in both. The models
 meet as one table of log-likelihood ratios per 5-gram. A document is compared by its
 length-normalised log-likelihoods, as a whole and in its most toxic passage.
 
-Counts are gathered from all labelled documents to learn from. Characters are 28
-symbols, so a table has at most 28^5 rows whatever the input."""
+Counts are gathered from all labelled documents to learn from. Symbols are all 256 bytes,
+so scripts, digits and marks differ; A-Z count as a-z, line breaks as blanks. Tables hold the grams seen, their
+number grows with the corpus."""
 
 from __future__ import annotations
 
@@ -18,12 +19,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import blobs, fold, labelled, logistic, slabs, spaced
 
-#: Symbols: a-z (either case), any other ASCII, any byte beyond ASCII.
-SYMBOLS = 28
-SYMBOL = np.full(256, 26, dtype=np.int32)
-SYMBOL[ord("a"):ord("z") + 1] = np.arange(26)
-SYMBOL[ord("A"):ord("Z") + 1] = np.arange(26)
-SYMBOL[128:] = 27
+#: Symbols: every byte is its own, but A-Z are a-z and line breaks and tabs are blanks.
+SYMBOLS = 256
+SYMBOL = np.arange(256)
+SYMBOL[ord("A"):ord("Z") + 1] += 32
+SYMBOL[9:14] = 32
 ORDER = 5
 #: Bytes of a passage; also the blanks between texts, so that passages stay in one.
 PASSAGE = 32
@@ -34,7 +34,7 @@ STEP, UNSEEN = 16, -128
 def grams(data: np.ndarray) -> np.ndarray:
     """Number of the 5-gram that ends at each position from the fifth on."""
     s = SYMBOL[data]
-    out = s[:len(s) - ORDER + 1].copy()
+    out = s[:len(s) - ORDER + 1].astype(np.int64)
     for k in range(1, ORDER):
         out *= SYMBOLS
         out += s[k:len(s) - ORDER + 1 + k]
@@ -49,16 +49,36 @@ def _positions(starts: np.ndarray, ends: np.ndarray, total: int) -> np.ndarray:
     return np.cumsum(mark[:-1], dtype=np.int8)[ORDER - 1:].astype(bool)
 
 
+@dataclass
+class Table:
+    """Values by gram, for the grams seen (sorted); any other has ``default``."""
+    keys: np.ndarray
+    values: np.ndarray
+    default: float
+
+    def __getitem__(self, g: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(g), self.default, self.values.dtype)
+        at = np.minimum(np.searchsorted(self.keys, g), len(self.keys) - 1)
+        return np.where(self.keys[at] == g, self.values[at], self.values.dtype.type(self.default))
+
+
+def _sums(keys: np.ndarray, weights: np.ndarray | None = None) -> Table:
+    """How often each key occurs, or the sum of its weights."""
+    kinds, at = np.unique(keys, return_inverse=True)
+    return Table(kinds, np.bincount(at, weights=weights, minlength=len(kinds)).astype(float), 0.0)
+
+
 @dataclass
 class Models:
     """``ratio`` by 5-gram, then ``ratio4`` by 4-gram plus ``step4``/``step3`` by context."""
-    ratio: np.ndarray
-    ratio4: np.ndarray
-    step4: np.ndarray
-    step3: np.ndarray
+    ratio: Table
+    ratio4: Table
+    step4: Table
+    step3: Table
 
     def ratios(self, g: np.ndarray) -> np.ndarray:
-        """log P(toxic) - log P(ordinary) of each gram's last character, in 1/16."""
+        """log P(toxic) - log P(ordinary) of each gram's last byte, in 1/16."""
         out = self.ratio[g].astype(np.int32)
         new = np.flatnonzero(out == UNSEEN)
         if len(new):
@@ -100,44 +120,45 @@ def _discount(counts: np.ndarray) -> float:
 def build(keys: np.ndarray, counts: np.ndarray) -> Models:
     """Models from 5-grams and their counts in (toxic, ordinary) documents."""
     s, four, three = SYMBOLS, SYMBOLS ** 4, SYMBOLS ** 3
-    any_class = counts.sum(axis=1) > 0
-    # Shared continuation counts: how many characters precede a 3-gram, and below.
-    seen4 = np.bincount(np.unique(keys[any_class] % four) % three, minlength=three).astype(float)
+    keys, counts = keys[counts.sum(axis=1) > 0], counts[counts.sum(axis=1) > 0]
+    kinds4 = np.unique(keys % four)
+    # Shared continuation counts: how many bytes precede a 3-gram, and below.
+    seen3 = _sums(kinds4 % three)
     base = np.full(s, 1 / s)
-    for order in (1, 2, 3):
-        size = s ** order
-        cont = np.bincount(np.flatnonzero(seen4) % size, weights=seen4[seen4 > 0], minlength=size) if order == 3 else \
-            np.bincount(np.flatnonzero(seen4) % size, minlength=size).astype(float)
-        table = cont.reshape(-1, s)
+    for order in (1, 2):
+        table = np.bincount(seen3.keys % s ** order, minlength=s ** order).astype(float).reshape(-1, s)
         total, kinds = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
-        lower = np.tile(base.reshape(-1, s), (s, 1)) if order > 1 else base.reshape(1, s)
-        lower = lower.reshape(table.shape)
+        lower = base.reshape(1, s) if order == 1 else base.reshape(1, s).repeat(s, axis=0)
         base = np.where(total > 0, (np.maximum(table - 0.75, 0) + 0.75 * kinds * lower) / np.maximum(total, 1), lower).ravel()
+
+    def below(cont: Table, d: float, lower, grams: np.ndarray, share: Table) -> np.ndarray:
+        """Discounted share of each gram after its context, and what is left by the order below."""
+        total = _sums(cont.keys // s, cont.values)[grams // s]
+        return np.where(total > 0, np.maximum(cont[grams] - d, 0) / np.maximum(total, 1), 0) + share[grams // s] * lower
+
+    def shares(cont: Table, d: float) -> Table:
+        """What each context leaves to the order below; all in a context not seen."""
+        total, kinds = _sums(cont.keys // s, cont.values), _sums(cont.keys // s)
+        return Table(total.keys, d * kinds.values / np.maximum(total.values, 1), 1.0)
+
+    grams3 = np.unique(kinds4 % three)
+    p3 = Table(grams3, below(seen3, 0.75, base[grams3 % s ** 2], grams3, shares(seen3, 0.75)), 0.0)
+    contexts4, contexts3 = np.unique(keys // s), np.unique(kinds4 // s)
     logs, step4, p4s, step3 = [], [], [], []
     for c in range(2):
         own = counts[:, c] > 0
-        cont = np.bincount(keys[own] % four, minlength=four).astype(float)
-        table, d = cont.reshape(-1, s), _discount(cont)
-        total, kinds = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
-        share = np.where(total > 0, d * kinds / np.maximum(total, 1), 1.0)
-        lower = np.tile(base.reshape(-1, s), (s, 1))
-        p4 = (np.where(total > 0, np.maximum(table - d, 0) / np.maximum(total, 1), 0) + share * lower).ravel()
-        n = counts[:, c].astype(float)
+        cont = _sums(keys[own] % four)
+        share = shares(cont, _discount(cont.values))
+        p4 = Table(kinds4, below(cont, _discount(cont.values), p3[kinds4 % three], kinds4, share), 0.0)
+        full = Table(keys[own], counts[own, c].astype(float), 0.0)
         d5 = _discount(counts[:, c])
-        context = keys // s
-        total5 = np.bincount(context, weights=n, minlength=four)
-        kinds5 = np.bincount(context[own], minlength=four)
-        share5 = np.where(total5 > 0, d5 * kinds5 / np.maximum(total5, 1), 1.0)
-        p5 = np.where(total5[context] > 0, np.maximum(n - d5, 0) / np.maximum(total5[context], 1), 0) + share5[context] * p4[keys % four]
-        logs.append(np.log(np.maximum(p5, 1e-12)))
-        p4s.append(np.log(np.maximum(p4, 1e-12)))
-        step4.append(np.log(np.maximum(share5, 1e-6)))
-        step3.append(np.log(np.maximum(share, 1e-6)).ravel())
-    ratio = np.full(s ** ORDER, UNSEEN, dtype=np.int8)
-    ratio[keys[any_class]] = _packed(logs[0] - logs[1])[any_class]
-    known = np.zeros(four, dtype=bool)
-    known[keys[any_class] % four] = True
-    return Models(ratio, np.where(known, _packed(p4s[0] - p4s[1]), np.int8(UNSEEN)), _packed(step4[0] - step4[1]), _packed(step3[0] - step3[1]))
+        share5 = shares(full, d5)
+        logs.append(np.log(np.maximum(below(full, d5, p4[keys % four], keys, share5), 1e-12)))
+        p4s.append(np.log(np.maximum(p4.values, 1e-12)))
+        step4.append(np.log(np.maximum(share5[contexts4], 1e-6)))
+        step3.append(np.log(np.maximum(share[contexts3], 1e-6)))
+    return Models(Table(keys, _packed(logs[0] - logs[1]), UNSEEN), Table(kinds4, _packed(p4s[0] - p4s[1]), UNSEEN),
+                  Table(contexts4, _packed(step4[0] - step4[1]), 0), Table(contexts3, _packed(step3[0] - step3[1]), 0))
 
 
 def _count(batches):
@@ -161,7 +182,7 @@ def _count(batches):
                     order = np.argsort(keys, kind="stable")
                     keys, sums = keys[order], sums[order]
     for i in range(0, len(keys), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + (1 << 16)].astype(np.int32)), *[pa.array(sums[i:i + (1 << 16), c]) for c in range(4)]],
+        yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + (1 << 16)]), *[pa.array(sums[i:i + (1 << 16), c]) for c in range(4)]],
                                          names=["gram", "c0", "c1", "c2", "c3"])
 
 
@@ -183,8 +204,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 8000) -> Scorer:
     from at most ``sample`` documents of one half, scored by models of the other half."""
     rows = labelled(docs, labels, "toxic", fold(F.col("doc_id"), 4) != 2)
     rows = rows.select("doc_id", "text", F.col("label").cast("int").alias("label"), F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")).filter("label in (0, 1)")
-    table = (rows.mapInArrow(_count, "gram int, c0 long, c1 long, c2 long, c3 long").groupBy("gram")
-             .agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(4)]).toArrow())  # at most 28^5 rows
+    table = (rows.mapInArrow(_count, "gram long, c0 long, c1 long, c2 long, c3 long").groupBy("gram")
+             .agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(4)]).toArrow())  # a row per gram seen
     keys = table.column("gram").to_numpy().astype(np.int64)
     order = np.argsort(keys)
     counts = np.column_stack([table.column(f"c{i}").to_numpy() for i in range(4)])[order] if len(keys) else np.zeros((0, 4), np.int64)
@@ -217,7 +238,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = 8000) -> Da
     labels of one document the larger counts. Without labels of both kinds the weights are
     fixed ones. An empty table gives an empty result."""
     scorer = learn(docs, labels, sample)
-    shipped = docs.sparkSession.sparkContext.broadcast(scorer)  # 28^5 bytes
+    shipped = docs.sparkSession.sparkContext.broadcast(scorer)  # some ten bytes per gram seen
 
     def run(batches):
         for b in batches:

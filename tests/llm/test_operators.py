@@ -224,6 +224,18 @@ def test_learned_scores(spark, docs, labels):
     assert lang[0].lang_pred == lang[1].lang_pred == lang[2].lang_pred == "und" and lang[3].lang_pred == "en"
 
 
+@pytest.mark.parametrize("clean,toxic", [("слово дом река", "дурак гад урод"), ("今日 天気 山川", "馬鹿 阿呆 屑物"), ("5h4t f+ck a--s", "5h1t f*ck a$$s")])
+def test_toxicity_in_other_scripts_and_spellings(spark, clean, toxic):
+    rng = np.random.default_rng(3)
+    # Same word lengths in both kinds; the words differ in letters, digits or marks only.
+    pairs = list(zip(clean.split(), toxic.split()))
+    rows = [(i, " ".join(pairs[k][i % 2] for k in rng.integers(0, 3, 12))) for i in range(400)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    got = toxicity.score_toxicity(d, lab).filter("held_out").toPandas()
+    assert (got["predicted"] == got["doc_id"] % 2).mean() > 0.95
+
+
 def test_held_out_accuracy_on_the_given_tables(spark):
     sf = "/root/testdata/sf0.01"
     d, lab = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
