@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, fill_middle, langid, mixing, neighbours, packing, quality, repeats, simhash, token_counts, toxicity, vector_codes
+from . import exact_dedup, fill_middle, langid, mixing, neighbours, packing, private, quality, repeats, simhash, token_counts, toxicity, vector_codes
 from .common import table
 
 
@@ -49,6 +49,10 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.digests(private.find_private(table(spark, sf_dir, "documents")))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -58,7 +62,7 @@ def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_token_counts, op3_packing, op4_repeats, op5_language, op6_exact_dedup,
-                                   op7_toxicity, op8_mix_sources, op9_simhash, op10_neighbours, op12_vector_codes, op13_fill_middle)}
+                                   op7_toxicity, op8_mix_sources, op9_simhash, op10_neighbours, op11_private, op12_vector_codes, op13_fill_middle)}
 
 
 def _codes_sql(rounds: int = 2) -> str:
