@@ -12,7 +12,6 @@ import heapq
 import json
 import os
 import unicodedata
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,41 +19,63 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .common import blobs, slabs
-from .token_counts import Merger
+from .token_counts import byte_letters
 
 
 def difference(sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Window of each size and the windows' sums, by multiway differencing into ``k``."""
+    """Window of each size and the windows' sums, by multiway differencing into ``k``.
+
+    A partial partition keeps its filled windows only, largest first: their sums and, for
+    each, a node. Windows that meet in a merge become a node with two children, so memory
+    follows the number of sizes, not sizes times windows."""
     n = len(sizes)
     if k == 1 or n == 0:
         return np.zeros(n, np.int64), np.array([int(sizes.sum())] + [0] * (k - 1), np.int64)
-    sums: list[np.ndarray | None] = []
-    heap = []
-    for i, s in enumerate(sizes):
-        start = np.zeros(k, np.int64)
-        start[0] = s
-        sums.append(start)
-        heap.append((-int(s), i))
+    parts = {i: (sizes[i:i + 1].astype(np.int64), np.array([i])) for i in range(n)}
+    heap = [(-int(s), i) for i, s in enumerate(sizes)]
     heapq.heapify(heap)
-    merges = []
+    left, right, name, nodes = [], [], n, n
     while len(heap) > 1:
         (_, a), (_, b) = heapq.heappop(heap), heapq.heappop(heap)
-        both = sums[a] + sums[b][::-1]
-        order = np.argsort(-both, kind="stable")
-        both = both[order]
-        sums[a] = sums[b] = None
-        sums.append(both)
-        merges.append((a, b, order.astype(np.int32)))
-        heapq.heappush(heap, (int(both[-1] - both[0]), len(sums) - 1))
-    window: list[np.ndarray | None] = [None] * len(sums)
-    window[-1] = np.arange(k, dtype=np.int32)
-    for node in range(len(sums) - 1, n - 1, -1):  # from the last merge back to the pieces
-        a, b, order = merges[node - n]
-        one, two = np.empty(k, np.int32), np.empty(k, np.int32)
-        one[order] = window[node]
-        two[k - 1 - order] = window[node]
-        window[a], window[b], window[node] = one, two, None
-    return np.array([window[i][0] for i in range(n)], np.int64), sums[-1]
+        (sums, at), (more, others) = parts.pop(a), parts.pop(b)
+        more, others = more[::-1], others[::-1]  # small windows meet large ones
+        both = max(0, len(sums) + len(more) - k)
+        if both:
+            own = len(sums) - both
+            met = np.arange(nodes, nodes + both)
+            nodes += both
+            left += at[own:].tolist()
+            right += others[:both].tolist()
+            sums = np.concatenate([sums[:own], sums[own:] + more[:both], more[both:]])
+            at = np.concatenate([at[:own], met, others[both:]])
+        else:
+            sums, at = np.concatenate([sums, more]), np.concatenate([at, others])
+        order = np.argsort(-sums, kind="stable")
+        sums, at = sums[order], at[order]
+        parts[name] = sums, at
+        heapq.heappush(heap, (-int(sums[0] - (sums[-1] if len(sums) == k else 0)), name))
+        name += 1
+    (sums, at), = parts.values()
+    window = np.zeros(nodes, np.int64)
+    window[at] = np.arange(len(at))
+    window = window.tolist()
+    for node in range(nodes - 1, n - 1, -1):  # from the last merge back to the sizes
+        window[left[node - n]] = window[right[node - n]] = window[node]
+    return np.array(window[:n], np.int64), np.pad(sums, (0, k - len(sums)))
+
+
+def bundles(sizes: np.ndarray, small: int) -> np.ndarray:
+    """Bundle of each size: neighbours below ``small`` go together until they reach it."""
+    out, bundle, filled = np.empty(len(sizes), np.int64), -1, small
+    for i, s in enumerate(sizes.tolist()):
+        if s >= small:
+            bundle, filled = bundle + 1, small
+        elif filled >= small:
+            bundle, filled = bundle + 1, s
+        else:
+            filled += s
+        out[i] = bundle
+    return out
 
 
 def pack_sizes(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, int]:
@@ -72,11 +93,12 @@ class TextIds:
 
     Made for tokenizers that drop white space before anything can join across it, so that
     a text's ids are those of its words. Words of plain characters are split by character
-    class and encoded by the compiled merges of ``token_counts``, all of a slab at once;
-    any other word (quotes, special strings, characters that normalising may change) goes
-    to the library."""
+    class; any other word (quotes, special strings, characters that normalising may change)
+    goes to the library as it is. The library's merges run once for each distinct plain
+    word of a slab."""
 
     BLANK, LETTER, DIGIT, OTHER, ODD = range(5)
+    SHORT = 16  # bytes of a word that two numbers hold
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core only
@@ -88,7 +110,7 @@ class TextIds:
         before = spec["pre_tokenizer"]["pretokenizers"]
         if [x["type"] for x in before] != ["Split", "ByteLevel"] or before[1].get("use_regex", True):
             raise ValueError("made for files that split by a pattern and drop white space")
-        self.merger = Merger(spec["model"]["vocab"], spec["model"]["merges"], spec["model"]["end_of_word_suffix"])
+        self.letters = {b: c for c, b in byte_letters().items()}  # how the vocabulary writes bytes
         self.kind, self.low = np.full(0x110000, self.ODD, np.uint8), np.arange(0x110000, dtype=np.uint32)
         for c in map(chr, range(0x21, 0x250)):
             # Plain: no part of a contraction or special string, kept by normalising, lower-cased to one.
@@ -100,10 +122,41 @@ class TextIds:
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
-        for first, last in slabs(texts, 2 << 20):
+        for first, last in slabs(texts, 4 << 20):
             out += self._slab([t.decode("utf-8", "replace") for t in texts[first:last]])
         return out
 
+    def plain(self, data: np.ndarray, a: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words one after another, and how many each has."""
+        before = np.cumsum(size) - size
+        at = np.arange(size.sum())
+        line = np.full(len(at) + len(a), ord("\n"), np.uint8)
+        line[at + np.repeat(np.arange(len(a)), size)] = data[at + np.repeat(a - before, size)]
+        words = line.tobytes().decode("latin-1").translate(self.letters | {ord("\n"): "\n"}).split("\n")[:-1]
+        ids, count, tokens = [], [], self.tokenizer.model.tokenize
+        for w in words:
+            got = tokens(w)
+            count.append(len(got))
+            ids += [t.id for t in got]
+        return np.array(ids, np.uint32), np.array(count, np.int64)
+
+    def odd(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of any characters."""
+        got = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.uint32), *got]), np.array([len(g) for g in got], np.int64)
+
+    def distinct(self, data: np.ndarray, a: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For words of up to 16 bytes: one place per distinct word, and which one each is."""
+        padded = np.concatenate([data, np.zeros(16, np.uint8)])
+        words = np.ndarray((len(data) + 9,), "<u8", buffer=padded, strides=(1,))
+        mask = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+        low, high = words[a] & mask[np.minimum(size, 8)], words[a + 8] & mask[np.clip(size - 8, 0, 8)]
+        mixed = (low ^ (low >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + (high ^ (high >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+        _, first, which = np.unique(mixed, return_index=True, return_inverse=True)
+        if not ((low == low[first][which]) & (high == high[first][which])).all():  # the bytes decide
+            _, first, which = np.unique(np.stack([low, high], axis=1), axis=0, return_index=True, return_inverse=True)
+        return first, which.ravel()
+
     def _slab(self, texts: list[str]) -> list[np.ndarray]:
         points = np.frombuffer(("\n" + "\n".join(texts) + "\n").encode("utf-32-le"), "<u4")
         stops = np.cumsum([len(t) + 1 for t in texts])
@@ -123,26 +176,27 @@ class TextIds:
             at = np.searchsorted(odd_lo, starts, side="right") - 1
             plain = (at < 0) | (starts >= odd_hi[at])
             starts, ends = starts[plain], ends[plain]
-        line = self.low[points].astype("<u4").tobytes().decode("utf-32-le").encode()
-        data, a, z = np.frombuffer(line, np.uint8), starts, ends
+        low = self.low[points]
+        data, a, z = np.frombuffer(low.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8), starts, ends
         if len(data) != len(points):
-            low = self.low[points]
             where = np.concatenate([[0], np.cumsum(1 + (low >= 0x80) + (low >= 0x800) + (low >= 0x10000).astype(np.int64))])
             a, z = where[starts], where[ends]
-        ids, n = self.merger.encode(data, a, z)
+        size = z - a
+        short, long = np.flatnonzero(size <= self.SHORT), np.flatnonzero(size > self.SHORT)
+        first, which = self.distinct(data, a[short], size[short])
+        kept = np.concatenate([short[first], long])  # the words the library reads
+        place = np.empty(len(a), np.int64)  # which of them each word is
+        place[short], place[long] = which, len(first) + np.arange(len(long))
+        pool, count = self.plain(data, a[kept], size[kept])
         if len(odd_lo):
-            words = [points[i:j].tobytes().decode("utf-32-le") for i, j in zip(odd_lo, odd_hi)]
-            kinds = sorted(set(words))
-            got = dict(zip(kinds, (e.ids for e in self.tokenizer.encode_batch_fast(kinds, add_special_tokens=False))))
-            extra = [got[w] for w in words]
-            n = np.concatenate([n, [len(g) for g in extra]]).astype(np.int64)
-            pool = np.concatenate([ids, np.fromiter(chain.from_iterable(extra), np.uint32)])
-            starts = np.concatenate([starts, odd_lo])
+            more, extra = self.odd([points[i:j].tobytes().decode("utf-32-le") for i, j in zip(odd_lo, odd_hi)])
+            pool, place = np.concatenate([pool, more]), np.concatenate([place, len(count) + np.arange(len(extra))])
+            count, starts = np.concatenate([count, extra]), np.concatenate([starts, odd_lo])
             order = np.argsort(starts, kind="stable")
-            at = (np.cumsum(n) - n)[order]
-            starts, n = starts[order], n[order]
-            ids = pool[np.arange(n.sum()) + np.repeat(at - (np.cumsum(n) - n), n)]
+            starts, place = starts[order], place[order]
+        n, begin = count[place], (np.cumsum(count) - count)[place]
         total = np.concatenate([[0], np.cumsum(n)])
+        ids = pool[np.arange(total[-1]) + np.repeat(begin - total[:-1], n)]
         cuts = total[np.concatenate([[0], np.searchsorted(starts, stops)])]
         return [ids[i:j] for i, j in zip(cuts, cuts[1:])]
 
@@ -150,14 +204,15 @@ class TextIds:
 _TABLES: dict[str, TextIds] = {}
 
 
-def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, piece: int = 1024, batch: int = 256) -> DataFrame:
+def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, piece: int = 1024, batch: int = 256, crowd: int = 1 << 17) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids, doc_tokens, sequence_id, offset``.
 
     Reads ``doc_id`` and ``text``. A document's tokens (whole text; a null text has none)
     are followed by ``end_id``, so each document has at least one piece. ``ids`` holds the
     piece as little-endian unsigned 32-bit numbers. Full windows are cut off a long document
     first; the rest goes into pieces of at most ``piece`` tokens, packed ``batch`` windows'
-    worth at a time. ``sequence_id`` is made from task and window number and so repeats for
+    worth or ``crowd`` pieces at a time; neighbouring pieces below a sixteenth of ``piece``
+    are placed together up to that size. ``sequence_id`` is made from task and window number and so repeats for
     the same input split. Rows repeated with one id are packed each; null ids stay null.
     An empty table gives an empty result."""
     rows = docs.select("doc_id", "text")
@@ -178,7 +233,9 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, piec
 
         def settle():
             sizes = np.array([len(p[2]) for p in held], np.int64)
-            window, k = pack_sizes(sizes, capacity)
+            bundle = bundles(sizes, piece // 16)
+            window, k = pack_sizes(np.bincount(bundle, weights=sizes).astype(np.int64), capacity)
+            window = window[bundle]
             order = np.argsort(window, kind="stable")
             ends = np.cumsum(sizes[order])
             first = np.searchsorted(window[order], window[order], side="left")
@@ -199,7 +256,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, piec
                     cuts = np.linspace(whole, total, -(-(total - whole) // piece) + 1).astype(int).tolist() if total > whole else []
                     held += [(doc, a, ids[a:z], total) for a, z in zip(cuts, cuts[1:])]
                     tokens += total - whole
-                    if tokens >= batch * capacity:
+                    if tokens >= batch * capacity or len(held) >= crowd:
                         rows_out, k = settle()
                         yield rows_out
                         sequence, held, tokens = sequence + k, [], 0
