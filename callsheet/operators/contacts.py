@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callsheet import dims
-from callsheet.operators.skew import first_cells, list_cells, overflow_cells, ranked
+from callsheet.operators.paging import paged, side_by_side
+from callsheet.operators.skew import ranked
 
 
 def _lookup(c: Column, table: dict, other: int) -> Column:
@@ -114,26 +115,27 @@ def distinct_values(src: DataFrame, col: str) -> DataFrame:
         F.min("ord").alias("ord"))
 
 
-def number_cells(src: DataFrame, col: str, name: str, first_seen: bool = False,
-                 max_items: int = 10_000) -> DataFrame:
-    """Joined distinct values per (base, number): sorted, or in order of first sight."""
-    cells = list_cells(distinct_values(src, col), ["base", "number"], "value",
-                       "ord" if first_seen else None, max_items=max_items)
-    return first_cells(cells).select("base", "number", F.col("cell").alias(name))
-
-
-def number_overflow(src: DataFrame, max_items: int = 10_000) -> DataFrame:
-    """Further parts of the value lists that do not fit one report cell: sorted lists
-    under their column's name, lists in order of first sight with ``_first_seen``."""
-    long = None
-    for col, first_seen in (("type", False), ("source_url", False), ("company", False),
-                            ("type", True), ("source_url", True)):
-        part = distinct_values(src, col).select(
-            "base", "number", F.lit(col + "_first_seen" * first_seen).alias("column"), "value",
-            F.col("ord") if first_seen else F.lit(None).cast(src.schema["ord"].dataType).alias("ord"))
-        long = part if long is None else long.unionByName(part)
-    return overflow_cells(list_cells(long, ["base", "number", "column"], "value", "ord", max_items=max_items)
-                          ).select("base", "number", "column", "part", "cell")
+def number_pages(src: DataFrame, columns: dict[str, str], first_seen: bool = False) -> DataFrame:
+    """``base, number, part`` and for each ``{source column: name}`` its distinct values as
+    text: sorted, or in order of first sight. All lists go through one paging."""
+    lists = None
+    for col, name in columns.items():
+        one = distinct_values(src, col).withColumn("column", F.lit(name))
+        lists = one if lists is None else lists.unionByName(one)
+    cells = paged(lists if first_seen else lists.drop("ord"), ["base", "number", "column"])
+    return side_by_side(cells, ["base", "number"], list(columns.values()))
+
+
+def ranked_lists(top: DataFrame, src: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Distinct source values of the ranked numbers as ``base, column, value``; the column
+    is the name with the rank behind it."""
+    few = src.join(top.select("base", "number", "rank"), ["base", "number"])
+    lists = None
+    for col, name in columns.items():
+        one = few.filter(F.col(col).isNotNull()).select(
+            "base", F.concat(F.lit(name), F.col("rank").cast("string")).alias("column"), F.col(col).alias("value")).distinct()
+        lists = one if lists is None else lists.unionByName(one)
+    return lists
 
 
 def wide(top: DataFrame, columns: dict[str, str], k: int = 3) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from callsheet.operators import contacts
-from callsheet.operators.skew import first_cells, list_cells, overflow_cells
+from callsheet.operators.paging import paged, side_by_side
 
 NETWORK = "Timeout|DNS|Network|Unreachable"
 DENIED = "403|AccessDenied|Robots"
@@ -39,18 +39,17 @@ def page_totals(pages: DataFrame) -> DataFrame:
 
 
 def _type_pairs(src: DataFrame) -> DataFrame:
-    """Source count per type of a base, as ``"type": n`` pairs in list cells."""
+    """Source count per type of a base, as ``"type": n`` pairs."""
     counted = src.filter(F.col("type").isNotNull()).groupBy("base", "type").agg(
         F.count(F.lit(1)).alias("n"))
     pair = F.concat(F.to_json(F.array("type")), F.lit(": "), F.col("n").cast("string"))
-    pair = F.regexp_replace(pair, r"^\[(.*)\]: ([0-9]+)$", "$1: $2")
-    return list_cells(counted.withColumn("pair", pair), ["base"], "pair")
+    return counted.select("base", F.regexp_replace(pair, r"^\[(.*)\]: ([0-9]+)$", "$1: $2").alias("value"))
 
 
 def type_histogram(src: DataFrame) -> DataFrame:
-    """Source count per type of a base as JSON text."""
-    return first_cells(_type_pairs(src)).select(
-        "base", F.concat(F.lit("{"), F.col("cell"), F.lit("}")).alias("types_json"))
+    """Source count per type of a base as JSON text, an object per page."""
+    return paged(_type_pairs(src), ["base"]).select(
+        "base", "part", F.concat(F.lit("{"), F.col("cell"), F.lit("}")).alias("types_json"))
 
 
 def consolidated_totals(nums: DataFrame) -> DataFrame:
@@ -72,31 +71,25 @@ def members(entries: DataFrame, sites: DataFrame) -> DataFrame:
     return sets.unionByName(errors)
 
 
+TYPES = "LLM_Consolidated_Number_Types_Summary"
 LISTS = ["Input_Row_IDs", "Input_CompanyNames", "Input_GivenURLs",
-         "Pathful_URLs_Attempted_List", "LLM_Error_Messages_Aggregated"]
+         "Pathful_URLs_Attempted_List", "LLM_Error_Messages_Aggregated", TYPES]
 
 
-def member_cells(long: DataFrame, max_items: int = 10_000) -> DataFrame:
-    return list_cells(long, ["base", "column"], "value", max_items=max_items)
+def member_pages(entries: DataFrame, sites: DataFrame, src: DataFrame) -> DataFrame:
+    """All lists of a base, the type counts included, as columns per ``base, part``."""
+    long = members(entries, sites).unionByName(_type_pairs(src).withColumn("column", F.lit(TYPES)))
+    return side_by_side(paged(long, ["base", "column"]), ["base"], LISTS)
 
 
-def overflow(cells: DataFrame, src: DataFrame) -> DataFrame:
-    """Further parts of the domain lists that do not fit one report cell."""
-    types = overflow_cells(_type_pairs(src)).select(
-        "base", F.lit("LLM_Consolidated_Number_Types_Summary").alias("column"), "part", "cell")
-    return overflow_cells(cells).select("base", "column", "part", "cell").unionByName(types)
-
-
-def journey(entries: DataFrame, pages: DataFrame, sites: DataFrame, nums: DataFrame,
-            src: DataFrame) -> DataFrame:
+def journey(entries: DataFrame, pages: DataFrame, sites: DataFrame, nums: DataFrame) -> DataFrame:
     """One scalar row per base that any input row reached. All parts are grouped by
     base first, so they meet already partitioned."""
     bases = entries.filter(F.col("base").isNotNull()).groupBy("base").agg(
         F.countDistinct("input_row_id").alias("n_rows"))
     out = (bases.join(site_facts(sites), "base", "left")
            .join(page_totals(pages), "base", "left")
-           .join(consolidated_totals(nums), "base", "left")
-           .join(type_histogram(src), "base", "left"))
+           .join(consolidated_totals(nums), "base", "left"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     no = lambda c: F.coalesce(F.col(c), F.lit(False)).alias(c)
     return out.select(
@@ -104,4 +97,4 @@ def journey(entries: DataFrame, pages: DataFrame, sites: DataFrame, nums: DataFr
         zero("n_sites"), no("all_network"), no("all_denied"), no("all_missing"),
         no("any_candidates"), no("any_calls"), zero("raw_numbers"), no("any_error"), no("all_errors"),
         zero("total_pages"), F.coalesce(F.to_json("page_types"), F.lit("{}")).alias("page_types_json"),
-        zero("consolidated"), F.coalesce("types_json", F.lit("{}")).alias("types_json"))
+        zero("consolidated"))

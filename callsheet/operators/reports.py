@@ -8,7 +8,7 @@ from callsheet import dims
 from callsheet.functions import phones, urls
 from callsheet.operators import contacts, journey as jn, outcomes
 from callsheet.operators.duplicates import with_duplicate_counts
-from callsheet.operators.skew import first_cells, list_cells, overflow_cells
+from callsheet.operators.paging import paged, side_by_side, with_pages
 
 
 def report_class_rank(c: Column) -> Column:
@@ -18,51 +18,40 @@ def report_class_rank(c: Column) -> Column:
 
 def detailed(entries: DataFrame, facts: DataFrame, nums: DataFrame, src: DataFrame,
              run_id: str) -> DataFrame:
-    """Input row by number, for bases scraped with success. Cells are joined to the
-    numbers first (one row each), the rows last, so texts are built once per number."""
+    """Input row by number and list page, for bases scraped with success. Pages are joined to the
+    numbers first, the rows last, so texts are built once per number."""
     good = facts.filter(F.col("base_status") == "Success").select("base", "base_status")
-    cells = (nums.select("base", "number", "classification")
-             .join(good, "base", "left_semi")
-             .join(contacts.number_cells(src, "type", "LLM_Type", first_seen=True),
-                   ["base", "number"], "left")
-             .join(contacts.number_cells(src, "source_url", "LLM_Source_URL", first_seen=True),
-                   ["base", "number"], "left"))
+    pages = contacts.number_pages(src, {"type": "LLM_Type", "source_url": "LLM_Source_URL"}, first_seen=True)
+    cells = with_pages(nums.select("base", "number", "classification").join(good, "base", "left_semi"), pages, ["base", "number"])
     return (entries.filter(F.col("base").isNotNull())
             .select("base", "company_name", "target_countries")
             .join(cells, "base")
             .select(F.col("company_name").alias("CompanyName"), F.col("number").alias("Number"),
-                    F.coalesce("LLM_Type", F.lit("Unknown")).alias("LLM_Type"),
+                    F.when(F.col("part") == 0, F.coalesce("LLM_Type", F.lit("Unknown"))).otherwise(F.col("LLM_Type")).alias("LLM_Type"),
                     F.col("classification").alias("LLM_Classification"), "LLM_Source_URL",
                     F.lit("Success").alias("ScrapingStatus"),
                     F.col("target_countries").alias("TargetCountryCodes"),
-                    F.lit(run_id).alias("RunID")))
+                    F.lit(run_id).alias("RunID"), "part"))
 
 
 def sort_detailed(report: DataFrame) -> DataFrame:
     return report.orderBy(F.col("CompanyName").asc_nulls_last(),
                           report_class_rank(F.col("LLM_Classification")).asc_nulls_last(),
-                          F.col("Number").asc_nulls_last())
+                          F.col("Number").asc_nulls_last(), "part")
 
 
-def top_wide(nums: DataFrame, src: DataFrame, number: str, kind: str, source: str,
-             text: Column | None = None) -> DataFrame:
-    """Best three numbers of each base as columns, with types and source URLs. Only
-    sources of those numbers are gathered."""
-    top = contacts.top_numbers(nums).select("base", "number", "rank")
-    few = src.join(top.select("base", "number"), ["base", "number"], "left_semi")
-    cells = (top.join(contacts.number_cells(few, "type", "types"), ["base", "number"], "left")
-             .join(contacts.number_cells(few, "source_url", "urls"), ["base", "number"], "left"))
-    if text is not None:
-        cells = cells.join(contacts.number_cells(few.filter(F.col("company") != ""), "company", "companies"),
-                           ["base", "number"], "left").withColumn("shown", text)
-        return contacts.wide(cells, {"shown": number, "urls": source})
-    return contacts.wide(cells, {"number": number, "types": kind, "urls": source})
+def names_of(prefix: str, k: int = 3) -> list[str]:
+    return [f"{prefix}{i}" for i in range(1, k + 1)]
 
 
 def summary(outcome_rows: DataFrame, nums: DataFrame, src: DataFrame, run_id: str) -> DataFrame:
-    """One row per input row. ``outcome_rows`` are the results of ``row_outcomes``."""
-    top = top_wide(nums, src, "Top_Number_", "Top_Type_", "Top_SourceURL_")
-    j = outcome_rows.join(top, "base", "left")
+    """One row per input row and list page. ``outcome_rows`` are the results of ``row_outcomes``.
+    Only sources of the best three numbers are gathered."""
+    ranks = contacts.top_numbers(nums).select("base", "number", "rank")
+    lists = contacts.ranked_lists(ranks, src, {"type": "Top_Type_", "source_url": "Top_SourceURL_"})
+    pages = side_by_side(paged(lists, ["base", "column"]), ["base"], names_of("Top_Type_") + names_of("Top_SourceURL_"))
+    top = with_pages(contacts.wide(ranks, {"number": "Top_Number_"}), pages, ["base"])
+    j = with_pages(outcome_rows, top, ["base"])
     best = F.array_compact(F.array(*[F.col(f"Top_Number_{i}") for i in (1, 2, 3)]))
     c = F.col
     wide = [f"Top_{k}_{i}" for i in (1, 2, 3) for k in ("Number", "Type", "SourceURL")]
@@ -79,50 +68,65 @@ def summary(outcome_rows: DataFrame, nums: DataFrame, src: DataFrame, run_id: st
         outcomes.label_status(c("consolidated"), c("base"), c("base_status")).alias(
             "LLM_Processing_Status_Canonical"),
         c("reason").alias("Final_Row_Outcome_Reason"), c("fault").alias("Determined_Fault_Category"),
-        c("target_countries").alias("TargetCountryCodes"), F.lit(run_id).alias("RunID"))
+        c("target_countries").alias("TargetCountryCodes"), F.lit(run_id).alias("RunID"), "part")
 
 
-def header_cells(entries: DataFrame, original_urls: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """List cells of the names, the given URLs and, for bases without these, the found URLs."""
+HEADERS = ["names", "given", "own"]
+
+
+def header_lists(entries: DataFrame, original_urls: DataFrame) -> DataFrame:
+    """Names, given URLs and, for bases without these, the found URLs as ``base, column, value``."""
     rows = entries.filter(F.col("base").isNotNull())
     pick = lambda src, name: rows.filter(F.col(src).isNotNull()).select(
         "base", F.lit(name).alias("column"), F.col(src).alias("value")).distinct()
-    given = pick("given_url", "GivenURL")
-    unmet = original_urls.join(given, "base", "left_anti").withColumnRenamed("url", "value")
-    return (list_cells(pick("company_name", "CompanyName"), ["base"], "value", sep=" - "),
-            list_cells(given, ["base"], "value"), list_cells(unmet, ["base"], "value"))
+    given = pick("given_url", "given")
+    unmet = original_urls.join(given.select("base"), "base", "left_anti").select(
+        "base", F.lit("own").alias("column"), F.col("url").alias("value"))
+    return pick("company_name", "names").unionByName(given).unionByName(unmet)
+
+
+def separator() -> Column:
+    """Between the values of a list: names stand between dashes."""
+    return F.when(F.col("column") == "names", " - ").otherwise(", ")
 
 
-def header_overflow(entries: DataFrame, original_urls: DataFrame) -> DataFrame:
-    """Further parts of the header lists."""
-    names, given, own = (overflow_cells(c) for c in header_cells(entries, original_urls))
-    tag = lambda df, name: df.select("base", F.lit(name).alias("column"), "part", "cell")
-    return tag(names, "CompanyName").unionByName(tag(given, "GivenURL")).unionByName(tag(own, "GivenURL"))
+def header_columns(part: Column) -> list[Column]:
+    """The two header texts of a page; the base and the word for no name open the first one."""
+    first = F.concat_ws(" - ", "base", F.coalesce("names", F.lit("Unknown")))
+    return [F.when(part == 0, first).otherwise(F.col("names")).alias("CompanyName"), F.coalesce("given", "own").alias("GivenURL")]
 
 
 def domain_headers(entries: DataFrame, bases: DataFrame, original_urls: DataFrame) -> DataFrame:
-    """Names and given URLs of a base as text, falling back to the base's own."""
-    names, given, own = (first_cells(c).select("base", F.col("cell").alias(n)) for c, n in zip(
-        header_cells(entries, original_urls), ("names", "given", "own")))
-    return (bases.join(names, "base", "left").join(given, "base", "left").join(own, "base", "left")
-            .select("base",
-                    F.concat_ws(" - ", "base", F.coalesce("names", F.lit("Unknown"))).alias("CompanyName"),
-                    F.coalesce("given", "own").alias("GivenURL")))
+    """Names and given URLs of a base as text, falling back to the base's own; a row per page."""
+    pages = side_by_side(paged(header_lists(entries, original_urls), ["base", "column"], separator()), ["base"], HEADERS)
+    return with_pages(bases, pages, ["base"]).select("base", "part", *header_columns(F.col("part")))
 
 
 def final_contacts(entries: DataFrame, facts: DataFrame, nums: DataFrame, src: DataFrame,
                    original_urls: DataFrame) -> DataFrame:
-    """One row per base with at least one eligible number."""
-    shown = F.concat(F.col("number"), F.lit(" ("), F.coalesce("types", F.lit("")), F.lit(") ["),
-                     F.coalesce("companies", F.lit("UnknownCompany")), F.lit("]"))
-    top = top_wide(contacts.eligible(nums), src, "PhoneNumber_", "", "SourceURL_", shown)
-    bases = top.select("base")
-    heads = domain_headers(entries.join(bases, "base", "left_semi"), bases,
-                           original_urls.join(bases, "base", "left_semi"))
-    return (top.join(heads, "base").join(facts.select("base", "base_status"), "base", "left")
-            .select("CompanyName", "GivenURL", F.col("base").alias("CanonicalEntryURL"),
-                    F.coalesce("base_status", F.lit("Unknown")).alias("ScrapingStatus"),
-                    *[f"PhoneNumber_{i}" for i in (1, 2, 3)], *[f"SourceURL_{i}" for i in (1, 2, 3)]))
+    """One row per list page of a base with at least one eligible number. The lists of the
+    numbers and of the headers are paged together. A number is shown on the first page and on
+    those that go on with its types or companies."""
+    ranks = contacts.top_numbers(contacts.eligible(nums)).select("base", "number", "rank")
+    numbers = contacts.wide(ranks, {"number": "number_"})
+    bases = numbers.select("base")
+    of_numbers = contacts.ranked_lists(ranks, src.withColumn("company", F.nullif("company", F.lit(""))),
+                                       {"type": "types_", "source_url": "urls_", "company": "companies_"})
+    of_headers = header_lists(entries.join(bases, "base", "left_semi"), original_urls.join(bases, "base", "left_semi"))
+    names = [n for prefix in ("types_", "urls_", "companies_") for n in names_of(prefix)]
+    pages = side_by_side(paged(of_numbers.unionByName(of_headers), ["base", "column"], separator()), ["base"], names + HEADERS)
+    rows = with_pages(numbers, pages, ["base"]).join(facts.select("base", "base_status"), "base", "left")
+    first = F.col("part") == 0
+
+    def shown(i: int) -> Column:
+        types, companies = F.col(f"types_{i}"), F.col(f"companies_{i}")
+        text = F.concat(F.col(f"number_{i}"), F.lit(" ("), F.coalesce(types, F.lit("")), F.lit(") ["),
+                        F.coalesce(companies, F.when(first, "UnknownCompany").otherwise("")), F.lit("]"))
+        return F.when(first | types.isNotNull() | companies.isNotNull(), text).alias(f"PhoneNumber_{i}")
+
+    return rows.select(*header_columns(F.col("part")), F.col("base").alias("CanonicalEntryURL"),
+                       F.coalesce("base_status", F.lit("Unknown")).alias("ScrapingStatus"),
+                       *[shown(i) for i in (1, 2, 3)], *[F.col(f"urls_{i}").alias(f"SourceURL_{i}") for i in (1, 2, 3)], "part")
 
 
 def report_number(c: Column) -> Column:
@@ -140,13 +144,13 @@ def report_type(c: Column) -> Column:
 
 
 def processed_contacts(final: DataFrame) -> DataFrame:
-    """Five columns on the best contact of each base."""
+    """Five columns on the best contact of each base; a row per list page."""
     return final.select(
-        urls.domain_label(F.col("CompanyName")).alias("Company Name"),
+        urls.domain_label(F.when(F.col("part") == 0, F.col("CompanyName")).otherwise(F.col("CanonicalEntryURL"))).alias("Company Name"),
         F.col("CanonicalEntryURL").alias("URL"),
         report_number(F.col("PhoneNumber_1")).alias("Number"),
         report_type(F.col("PhoneNumber_1")).alias("Number Type"),
-        F.col("SourceURL_1").alias("Number Found At"))
+        F.col("SourceURL_1").alias("Number Found At"), "part")
 
 
 def attrition(outcome_rows: DataFrame, facts: DataFrame, all_rows: DataFrame) -> DataFrame:
@@ -185,12 +189,10 @@ def with_label_error(outcome_rows: DataFrame, sites: DataFrame) -> DataFrame:
         "label_error", F.when(mine, F.col("_error"))).drop("_error")
 
 
-def domain_summary(domains: DataFrame, cells: DataFrame) -> DataFrame:
-    """Seventeen columns per domain. ``domains``: result of ``domain_outcomes``;
-    ``cells``: list cells of the journey's members."""
-    lists = first_cells(cells).groupBy("base").agg(*[
-        F.max(F.when(F.col("column") == n, F.col("cell"))).alias(n) for n in jn.LISTS])
-    j = domains.join(lists, "base", "left")
+def domain_summary(domains: DataFrame, pages: DataFrame) -> DataFrame:
+    """Seventeen columns per domain and list page. ``domains``: result of ``domain_outcomes``;
+    ``pages``: the journey's lists."""
+    j = with_pages(domains, pages, ["base"])
     text = lambda n: F.coalesce(F.col(n), F.lit("")).alias(n)
     c = F.col
     return j.select(
@@ -202,11 +204,11 @@ def domain_summary(domains: DataFrame, cells: DataFrame) -> DataFrame:
         c("any_calls").alias("LLM_Calls_Made_For_Domain"),
         c("raw_numbers").alias("LLM_Total_Raw_Numbers_Extracted"),
         c("consolidated").alias("LLM_Total_Consolidated_Numbers_Found"),
-        c("types_json").alias("LLM_Consolidated_Number_Types_Summary"),
+        F.concat(F.lit("{"), F.coalesce(jn.TYPES, F.lit("")), F.lit("}")).alias(jn.TYPES),
         c("any_error").alias("LLM_Processing_Error_Encountered_For_Domain"),
         text("LLM_Error_Messages_Aggregated"),
         c("reason").alias("Final_Domain_Outcome_Reason"),
-        c("fault").alias("Primary_Fault_Category_For_Domain"))
+        c("fault").alias("Primary_Fault_Category_For_Domain"), "part")
 
 
 def augmented_input(original: DataFrame, best: DataFrame, phone: str,

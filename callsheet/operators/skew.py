@@ -24,40 +24,3 @@ def ranked(df: DataFrame, keys: list[str], coarse: list[str], fine: list[Column]
     return (numbered.alias("l").join(starts.alias("s"), cond)
             .select(*[F.col(f"l.{c}") for c in df.columns],
                     (F.col("s._start") + F.col("l._pos")).alias(name)))
-
-
-def list_cells(df: DataFrame, keys: list[str], value: str, order: str | None = None,
-               sep: str = ", ", max_items: int = 10_000, salts: int = 16) -> DataFrame:
-    """Joined text lists per key, in order and whole, but never one unbounded group.
-
-    ``df`` holds one row per (key, value); the order is that of ``order``, then the value.
-    A list of up to ``max_items`` values is one cell (part 0). A longer one is cut where a
-    value's hash is a multiple of ``max_items``: each such value ends a part, so parts have
-    about that length and follow each other. The cuts of long lists are looked up by key and salt, so a key
-    with very many values is spread over tasks before and after the lookup.
-    Returns ``keys, part, n_values, cell``."""
-    item = F.struct(F.col(order).alias("o"), F.col(value).alias("v")) if order else F.struct(
-        F.col(value).alias("v"))
-    rows = df.select(*keys, item.alias("_item"), F.xxhash64(value).alias("_h"))
-    long = (rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_values"),
-        F.collect_set(F.when(F.pmod("_h", F.lit(max_items)) == 0, F.col("_item"))).alias("_cuts"))
-        .filter(F.col("n_values") > max_items)
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    salted = rows.withColumn("_salt", F.pmod(F.shiftright("_h", 32), F.lit(salts)).cast("int")).drop("_h")
-    placed = salted.join(long, [*keys, "_salt"], "left").select(
-        *keys, "_item", "n_values",
-        F.when(F.col("_cuts").isNull(), 0).otherwise(
-            F.size(F.filter("_cuts", lambda c: c < F.col("_item")))).alias("part"))
-    cell = F.array_join(F.transform(F.array_sort(F.collect_list("_item")), lambda x: x["v"]), sep)
-    return placed.groupBy(*keys, "part").agg(
-        F.coalesce(F.first("n_values"), F.count(F.lit(1))).alias("n_values"), cell.alias("cell"))
-
-
-def first_cells(cells: DataFrame) -> DataFrame:
-    """The first part of each list, which a report shows; ``overflow_cells`` has what follows."""
-    return cells.filter(F.col("part") == 0)
-
-
-def overflow_cells(cells: DataFrame) -> DataFrame:
-    return cells.filter(F.col("part") > 0)

@@ -8,7 +8,7 @@ from callsheet import dims
 from callsheet.functions import phones, text
 from callsheet.functions.stages import computed
 from callsheet.operators import candidates as cd, contacts as ct, labels as lb, reports as rp
-from callsheet.operators.skew import first_cells, list_cells
+from callsheet.operators.paging import paged, with_pages
 from callsheet.plans import bindings as b, sqltext as s
 from callsheet.plans.registry import query
 from callsheet.sources import sinks
@@ -410,43 +410,61 @@ def _(spark, sf):
     return ct.base_status(b.sites(b.entries(spark, sf), volume))
 
 
-FIRST_SEEN = """SELECT base, number, string_agg(v, ', ' ORDER BY o, v) AS cell FROM (
-  SELECT base, number, {c} AS v, min(ord) AS o FROM v_sources GROUP BY ALL) GROUP BY ALL"""
+FIRST_SEEN = s.pages("SELECT base, number, {c} AS v, min(ord) AS o FROM v_sources WHERE {c} IS NOT NULL GROUP BY ALL", "base, number", "o, v")
+SORTED = s.pages("SELECT DISTINCT base, number, {c} AS v FROM v_sources WHERE {c} IS NOT NULL", "base, number")
 
 
 @query("A10_types_first_seen", s.with_(s.V_NUMBERS) + FIRST_SEEN.format(c="type"))
 def _(spark, sf):
-    return ct.number_cells(sources(spark, sf), "type", "cell", first_seen=True)
+    return ct.number_pages(sources(spark, sf), {"type": "cell"}, first_seen=True)
 
 
 @query("A10_urls_first_seen", s.with_(s.V_NUMBERS) + FIRST_SEEN.format(c="source_url"))
 def _(spark, sf):
-    return ct.number_cells(sources(spark, sf), "source_url", "cell", first_seen=True)
+    return ct.number_pages(sources(spark, sf), {"source_url": "cell"}, first_seen=True)
 
 
-@query("A11_types_sorted", s.with_(s.V_NUMBERS) + """
-SELECT base, number, string_agg(DISTINCT type, ', ' ORDER BY type) AS cell FROM v_sources GROUP BY ALL""")
+@query("A11_types_sorted", s.with_(s.V_NUMBERS) + SORTED.format(c="type"))
 def _(spark, sf):
-    return ct.number_cells(sources(spark, sf), "type", "cell")
+    return ct.number_pages(sources(spark, sf), {"type": "cell"})
 
 
-@query("A11_companies_sorted", s.with_(s.V_NUMBERS) + """
-SELECT base, number, coalesce(string_agg(DISTINCT company, ', ' ORDER BY company), 'UnknownCompany') AS cell
-FROM v_sources GROUP BY ALL""")
+@query("A11_companies_sorted", s.with_(s.V_NUMBERS) + f"""
+SELECT base, number, coalesce(part, 0) AS part, coalesce(cell, 'UnknownCompany') AS cell
+FROM (SELECT DISTINCT base, number FROM v_sources) LEFT JOIN ({SORTED.format(c="company")}) USING (base, number)""")
 def _(spark, sf):
     src = sources(spark, sf)
-    cells = ct.number_cells(src, "company", "cell")
-    return src.select("base", "number").distinct().join(cells, ["base", "number"], "left").withColumn(
-        "cell", F.coalesce("cell", F.lit("UnknownCompany")))
+    found = with_pages(src.select("base", "number").distinct(), ct.number_pages(src, {"company": "cell"}), ["base", "number"])
+    return found.withColumn("cell", F.coalesce("cell", F.lit("UnknownCompany")))
+
+
+@query("A11_overflow_parts", s.with_(s.V_NUMBERS) + s.pages(
+    "SELECT DISTINCT base, number, source_url AS v FROM v_sources", "base, number", page=2))
+def _(spark, sf):
+    """Parts of two values each: which values, in which order, in which part."""
+    lists = ct.distinct_values(sources(spark, sf), "source_url").drop("ord")
+    return paged(lists, ["base", "number"], page=2).select("base", "number", "part", "cell")
+
+
+LONG = "SELECT l_returnflag, l_orderkey || '-' || l_linenumber AS v, l_shipdate AS o FROM lineitem"
 
 
-@query("A11_overflow_parts", s.with_(s.V_NUMBERS) + """
-SELECT base, number, unnest(list(DISTINCT source_url)) AS value FROM v_sources GROUP BY base, number""")
+@query("A11_long_lists", s.pages(LONG, "l_returnflag"))
 def _(spark, sf):
-    """Cells of at most two values: all parts together hold every value once."""
-    cells = list_cells(ct.distinct_values(sources(spark, sf), "source_url"), ["base", "number"], "value",
-                       max_items=2)
-    return cells.select("base", "number", F.explode(F.split("cell", ", ")).alias("value"))
+    """Lists of some ten thousand values and more per key, sorted."""
+    return _long(spark, sf, False)
+
+
+@query("A10_long_lists", s.pages(LONG, "l_returnflag", "o, v"))
+def _(spark, sf):
+    """The same in an order of their own."""
+    return _long(spark, sf, True)
+
+
+def _long(spark, sf, ordered: bool):
+    lists = b.table(spark, sf, "lineitem").select(
+        "l_returnflag", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("value"), F.col("l_shipdate").alias("ord"))
+    return paged(lists if ordered else lists.drop("ord"), ["l_returnflag"]).select("l_returnflag", "part", "cell")
 
 
 @query("F10_eligible", s.with_(s.V_NUMBERS) + """

@@ -12,10 +12,13 @@ from callsheet.functions import urls
 from callsheet.functions.stages import stored
 from callsheet.operators import analysis as an, candidates as cd, contacts as ct, crawl, duplicates as dp
 from callsheet.operators import journey as jn, labels as lb, metrics as mt, outcomes as oc, reports as rp
+from callsheet.operators.paging import with_pages
 from callsheet.plans import bindings as b, sqltext as s
 from callsheet.plans.registry import query
 
 RUN = b.RUN_ID
+#: All assigned calling codes: the fixed values of the numbering plan.
+DIAL_CODE_SET = {p[1] for p in dims.DIAL_PLAN} | set(dims.CALLING_CODES)
 
 
 @dataclass
@@ -56,7 +59,7 @@ class Run:
 
     @cached_property
     def journey(self):
-        return stored(jn.journey(self.entries, self.pages, self.sites, self.numbers, self.sources), "journey")
+        return stored(jn.journey(self.entries, self.pages, self.sites, self.numbers), "journey")
 
     @cached_property
     def outcomes(self):
@@ -120,23 +123,25 @@ V_FACTS = f"""{s.V_NUMBERS}, {s.V_ENTRIES}, {s.V_SITES}, v_facts AS (
     max(error) AS error, sum(pages)::BIGINT AS total_pages,
     sum((pages > 0)::INT)::BIGINT AS homepage, sum((pages > 1)::INT)::BIGINT AS contact, sum((pages > 2)::INT)::BIGINT AS general
   FROM v_sites GROUP BY base),
-v_types AS (SELECT base, '{{' || string_agg('"' || type || '": ' || n, ', ' ORDER BY type) || '}}' AS types_json
-  FROM (SELECT base, type, count(*) AS n FROM v_sources GROUP BY ALL) GROUP BY base),
+v_types AS (SELECT base, part, '{{' || cell || '}}' AS types_json FROM ({s.pages(
+    "SELECT base, '" + '"' + "' || type || '" + '": ' + "' || count(*) AS v FROM v_sources WHERE type IS NOT NULL GROUP BY base, type", "base")})),
 v_journey AS (
-  SELECT f.*, coalesce(c.consolidated, 0) AS consolidated, coalesce(t.types_json, '{{}}') AS types_json,
+  SELECT f.*, coalesce(c.consolidated, 0) AS consolidated,
     '{{' || concat_ws(',', CASE WHEN contact > 0 THEN '"contact":' || contact END,
       CASE WHEN general > 0 THEN '"general_content":' || general END,
       CASE WHEN homepage > 0 THEN '"homepage":' || homepage END) || '}}' AS page_types_json,
     (SELECT count(*) FROM v_entries e WHERE e.base = f.base) AS n_rows
-  FROM v_facts f LEFT JOIN (SELECT base, count(*) AS consolidated FROM v_numbers GROUP BY base) c ON f.base = c.base
-    LEFT JOIN v_types t ON f.base = t.base)"""
+  FROM v_facts f LEFT JOIN (SELECT base, count(*) AS consolidated FROM v_numbers GROUP BY base) c ON f.base = c.base)"""
 
 
 @query("A8_journey", s.with_(V_FACTS) + """
 SELECT base, n_rows, base_status, n_sites, all_network, all_denied, all_missing, any_candidates, any_calls,
-  raw_numbers, any_error, all_errors, total_pages, page_types_json, consolidated, types_json FROM v_journey""")
+  raw_numbers, any_error, all_errors, total_pages, page_types_json, consolidated, coalesce(part, 0) AS part,
+  coalesce(types_json, '{}') AS types_json FROM v_journey LEFT JOIN v_types USING (base)""")
 def _(spark, sf):
-    return Run(spark, sf).journey
+    run = Run(spark, sf)
+    return with_pages(run.journey, jn.type_histogram(run.sources), ["base"]).withColumn(
+        "types_json", F.coalesce("types_json", F.lit("{}")))
 
 
 @query("A8_journey_members", s.with_(s.V_ITEM, s.V_ENTRIES, s.V_SITES) + """
@@ -151,7 +156,7 @@ def _(spark, sf):
     return jn.members(run.entries, run.sites)
 
 
-@query("A9_type_histogram", s.with_(V_FACTS) + "SELECT base, types_json FROM v_types")
+@query("A9_type_histogram", s.with_(V_FACTS) + "SELECT base, part, types_json FROM v_types")
 def _(spark, sf):
     return jn.type_histogram(Run(spark, sf).sources)
 
@@ -212,15 +217,22 @@ def _(spark, sf):
 
 RANKED = """SELECT *, row_number() OVER (PARTITION BY base ORDER BY class_prio, type_prio, first_ord, number) AS rank
   FROM v_numbers"""
-V_SUMMARY = V_ROWS + f""", v_cells AS (
-  SELECT base, number, string_agg(DISTINCT type, ', ' ORDER BY type) AS types,
-    string_agg(DISTINCT source_url, ', ' ORDER BY source_url) AS urls FROM v_sources GROUP BY ALL),
+def v_lists(name: str, **columns: str) -> str:
+    """Pages of sorted source values per base and number, the columns side by side."""
+    rows = " UNION ALL ".join(f"SELECT DISTINCT base, number, '{n}' AS c, {src} AS v FROM v_sources WHERE {src} <> ''" for n, src in columns.items())
+    picked = ", ".join(f"max(CASE WHEN c = '{n}' THEN cell END) AS {n}" for n in columns)
+    return f"{name} AS (SELECT base, number, part, {picked} FROM ({s.pages(rows, 'base, number, c')}) GROUP BY base, number, part)"
+
+
+V_SUMMARY = V_ROWS + f""", {v_lists('v_cells', types='type', urls='source_url')},
+v_best AS (
+  SELECT base, {', '.join(f"max(CASE WHEN rank = {i} THEN number END) AS Top_Number_{i}" for i in (1, 2, 3))} FROM ({RANKED}) r GROUP BY base),
 v_top AS (
-  SELECT base, {', '.join(f"max(CASE WHEN rank = {i} THEN {c} END) AS {n}_{i}" for i in (1, 2, 3)
-                          for c, n in (("number", "Top_Number"), ("types", "Top_Type"), ("urls", "Top_SourceURL")))}
-  FROM ({RANKED}) r JOIN v_cells c USING (base, number) WHERE rank <= 3 GROUP BY base),
+  SELECT base, part, {', '.join(f"max(CASE WHEN rank = {i} THEN {c} END) AS {n}_{i}" for i in (1, 2, 3)
+                          for c, n in (("types", "Top_Type"), ("urls", "Top_SourceURL")))}
+  FROM ({RANKED}) r JOIN v_cells c USING (base, number) WHERE rank <= 3 GROUP BY base, part),
 v_summary AS (
-  SELECT o.*, t.* EXCLUDE (base), CASE WHEN o.base IS NULL THEN 'Unknown_NoTrueBase'
+  SELECT o.*, n.* EXCLUDE (base), t.* EXCLUDE (base, part), coalesce(t.part, 0) AS part, CASE WHEN o.base IS NULL THEN 'Unknown_NoTrueBase'
       ELSE coalesce(base_status, 'Unknown') END AS shown_status,
     CASE WHEN normalized_phone IS NULL THEN 'Original_Not_Provided'
       WHEN normalized_phone = 'InvalidFormat' THEN 'Original_InvalidFormat'
@@ -230,7 +242,7 @@ v_summary AS (
       WHEN reason LIKE 'LLM_NoInput%' OR reason LIKE 'LLM_Processing_Error%' OR reason LIKE 'ScrapingFailed_Canonical%'
         OR reason = 'Unknown_NoCanonicalURLDetermined' THEN 'LLM_Not_Run_Or_NoOutput_For_Canonical'
       ELSE 'No Relevant Match Found by LLM' END AS number_status
-  FROM v_outcomes o LEFT JOIN v_top t ON o.base = t.base),
+  FROM v_outcomes o LEFT JOIN v_best n ON o.base = n.base LEFT JOIN v_top t ON o.base = t.base),
 v_verified AS (
   SELECT *, CASE WHEN regexp_replace(regexp_extract(clean_url, '^http://[^/?#]*'), '//www[.]', '//') <> base
       THEN 'RedirectedTo[' || base || ']_' ELSE '' END || CASE
@@ -325,13 +337,18 @@ def _(spark, sf):
     return run.entries.select("input_row_id", "base").join(best, "base", "left").select("input_row_id", "number")
 
 
-V_HEADERS = f"""{s.V_NUMBERS}, {s.V_ENTRIES}, v_own AS (
-  SELECT base, string_agg(u, ', ' ORDER BY u) AS own FROM (SELECT base, source_url AS u FROM v_good
-    UNION SELECT base, base FROM v_good) GROUP BY base),
+V_HEADERS = f"""{s.V_NUMBERS}, {s.V_ENTRIES}, v_bases AS (SELECT DISTINCT base FROM v_good),
+v_names AS ({s.pages("SELECT DISTINCT base, company_name AS v FROM v_entries WHERE company_name IS NOT NULL AND base IS NOT NULL", "base", sep=" - ")}),
+v_given AS ({s.pages("SELECT DISTINCT base, given_url AS v FROM v_entries WHERE given_url IS NOT NULL AND base IS NOT NULL", "base")}),
+v_own AS ({s.pages("SELECT base, source_url AS v FROM v_good UNION SELECT base, base FROM v_good", "base")}),
 v_headers AS (
-  SELECT g.base, g.base || ' - ' || coalesce(string_agg(DISTINCT company_name, ' - ' ORDER BY company_name), 'Unknown') AS "CompanyName",
-    coalesce(string_agg(DISTINCT given_url, ', ' ORDER BY given_url), any_value(own)) AS "GivenURL"
-  FROM v_own g LEFT JOIN v_entries e ON g.base = e.base GROUP BY g.base)"""
+  SELECT base, part, CASE WHEN part = 0 THEN base || ' - ' || coalesce(n.cell, 'Unknown') ELSE n.cell END AS "CompanyName",
+    coalesce(g.cell, o.cell) AS "GivenURL"
+  FROM (SELECT base, 0 AS part FROM v_bases UNION SELECT base, part FROM v_names SEMI JOIN v_bases USING (base)
+      UNION SELECT base, part FROM v_given SEMI JOIN v_bases USING (base)
+      UNION SELECT base, part FROM v_own ANTI JOIN v_given USING (base)) p
+    LEFT JOIN v_names n USING (base, part) LEFT JOIN v_given g USING (base, part)
+    LEFT JOIN (SELECT * FROM v_own ANTI JOIN v_given USING (base)) o USING (base, part))"""
 
 
 @query("J2_domain_headers", s.with_(V_HEADERS) + "SELECT * FROM v_headers")
@@ -340,11 +357,11 @@ def _(spark, sf):
     return rp.domain_headers(run.entries, run.sources.select("base").distinct(), ct.original_urls(run.sources))
 
 
-@query("A12_header_texts", s.with_(V_HEADERS) + 'SELECT base, "CompanyName" FROM v_headers')
+@query("A12_header_texts", s.with_(V_HEADERS) + 'SELECT base, part, "CompanyName" FROM v_headers')
 def _(spark, sf):
     run = Run(spark, sf)
     return rp.domain_headers(run.entries, run.sources.select("base").distinct(),
-                             ct.original_urls(run.sources)).select("base", "CompanyName")
+                             ct.original_urls(run.sources)).select("base", "part", "CompanyName")
 
 
 @query("J3_base_to_sites", s.with_(s.V_ENTRIES) + """
@@ -421,35 +438,31 @@ def _(spark, sf):
     return sup.join(cust, ["s_nationkey", "d"]).join(nation, "s_nationkey").select("s_suppkey", "n_name", "n")
 
 
-@query("J13_prefix_lookup", f"""SELECT o_orderkey, CASE WHEN p IS NULL THEN NULL ELSE p END AS dial_code FROM (
- SELECT o_orderkey, nullif(regexp_extract((o_orderkey * 104729 % 1000000)::VARCHAR, '^{s.phones.DIAL_CODES}', 1), '') AS p
- FROM orders)""")
+@query("J13_prefix_lookup", f"""WITH codes AS (SELECT unnest({sorted(DIAL_CODE_SET)}) AS code),
+k AS (SELECT o_orderkey, (o_orderkey * 104729 % 1000000)::VARCHAR AS digits FROM orders)
+SELECT o_orderkey, arg_max(code, length(code)) AS dial_code FROM k LEFT JOIN codes ON starts_with(digits, code) GROUP BY o_orderkey""")
 def _(spark, sf):
-    """Longest dial-code prefix by equality on the prefixes of length three to one."""
-    from callsheet.dims import DIAL_PLAN
-
+    """Longest dial-code prefix by equality, one look-up per length that codes have."""
     digits = (F.col("o_orderkey") * 104729 % 1000000).cast("string")
     rows = b.table(spark, sf, "orders").select("o_orderkey", digits.alias("digits"))
-    plan = spark.createDataFrame([(p[1],) for p in DIAL_PLAN], "dial_code string")
-    tried = rows.select("o_orderkey", F.explode(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.lit(3)), lambda i: F.substring("digits", F.lit(1), i)))).alias("dial_code"))
-    hit = tried.join(F.broadcast(plan), "dial_code").groupBy("o_orderkey").agg(
-        F.max_by("dial_code", F.length("dial_code")).alias("dial_code"))
-    return rows.select("o_orderkey").join(hit, "o_orderkey", "left")
+    lengths = sorted({len(c) for c in DIAL_CODE_SET}, reverse=True)
+    codes = F.broadcast(spark.createDataFrame([(c,) for c in sorted(DIAL_CODE_SET)], "code string"))  # the fixed set of calling codes
+    for n in lengths:
+        rows = rows.join(codes.withColumnRenamed("code", f"code_{n}"), F.substring("digits", 1, n) == F.col(f"code_{n}"), "left")
+    return rows.select("o_orderkey", F.coalesce(*[F.col(f"code_{n}") for n in lengths]).alias("dial_code"))
 
 
 # --- reports ---------------------------------------------------------------------------------------
-DETAILED_SQL = s.with_(V_FACTS) + f""", v_detail AS (
-  SELECT base, number, string_agg(DISTINCT type, ', ' ORDER BY type) AS dummy FROM v_sources GROUP BY ALL),
-t AS (SELECT base, number, string_agg(v, ', ' ORDER BY o, v) AS cell FROM (
-  SELECT base, number, type AS v, min(ord) AS o FROM v_sources GROUP BY ALL) GROUP BY ALL),
-u AS (SELECT base, number, string_agg(v, ', ' ORDER BY o, v) AS cell FROM (
-  SELECT base, number, source_url AS v, min(ord) AS o FROM v_sources GROUP BY ALL) GROUP BY ALL)
+SEEN = "SELECT base, number, {0} AS v, min(ord) AS o FROM v_sources WHERE {0} IS NOT NULL GROUP BY ALL"
+DETAILED_SQL = s.with_(V_FACTS) + f""", t AS ({s.pages(SEEN.format('type'), 'base, number', 'o, v')}),
+u AS ({s.pages(SEEN.format('source_url'), 'base, number', 'o, v')}),
+p AS (SELECT base, number, part FROM t UNION SELECT base, number, part FROM u)
 SELECT company_name AS "CompanyName", n.number AS "Number", t.cell AS "LLM_Type", n.classification AS "LLM_Classification",
   u.cell AS "LLM_Source_URL", 'Success' AS "ScrapingStatus", target_countries AS "TargetCountryCodes",
-  '{RUN}' AS "RunID"
+  '{RUN}' AS "RunID", p.part
 FROM v_entries e JOIN v_facts f ON e.base = f.base AND base_status = 'Success' JOIN v_numbers n ON n.base = e.base
-JOIN t ON t.base = n.base AND t.number = n.number JOIN u ON u.base = n.base AND u.number = n.number"""
+JOIN p ON p.base = n.base AND p.number = n.number LEFT JOIN t ON t.base = n.base AND t.number = n.number AND t.part = p.part
+LEFT JOIN u ON u.base = n.base AND u.number = n.number AND u.part = p.part"""
 
 
 @query("R1_detailed", DETAILED_SQL)
@@ -472,7 +485,7 @@ SELECT input_row_id, company_name AS "CompanyName", given_url AS "GivenURL", giv
   number_status AS "Original_Number_Status", description AS "Description", shown_status AS "ScrapingStatus_Canonical",
   base AS "CanonicalEntryURL", {WIDE}, overall AS "Overall_VerificationStatus",
   label_status AS "LLM_Processing_Status_Canonical", reason AS "Final_Row_Outcome_Reason",
-  fault AS "Determined_Fault_Category", target_countries AS "TargetCountryCodes", '{RUN}' AS "RunID" FROM v_verified""")
+  fault AS "Determined_Fault_Category", target_countries AS "TargetCountryCodes", '{RUN}' AS "RunID", part FROM v_verified""")
 def _(spark, sf):
     return _summary(spark, sf)
 
@@ -484,17 +497,20 @@ def _(spark, sf):
     return _summary(spark, sf).select("CompanyName", "GivenURL", "GivenPhoneNumber", "Top_Number_1", "Top_Type_1")
 
 
-V_FINAL = f"""{V_FACTS}, {V_HEADERS[len(s.V_NUMBERS) + len(s.V_ENTRIES) + 4:]}, v_shown AS (
-  SELECT base, number, number || ' (' || string_agg(DISTINCT type, ', ' ORDER BY type) || ') [' ||
-    coalesce(string_agg(DISTINCT company, ', ' ORDER BY company), 'UnknownCompany') || ']' AS shown,
-    string_agg(DISTINCT source_url, ', ' ORDER BY source_url) AS urls FROM v_sources GROUP BY base, number),
+V_FINAL = f"""{V_FACTS}, {V_HEADERS[len(s.V_NUMBERS) + len(s.V_ENTRIES) + 4:]}, {v_lists('v_three', types='type', urls='source_url', companies='company')},
+v_parts AS (
+  SELECT *, number || ' (' || coalesce(types, '') || ') [' || coalesce(companies, CASE WHEN part = 0 THEN 'UnknownCompany' ELSE '' END) || ']' AS shown
+  FROM v_three WHERE part = 0 OR types IS NOT NULL OR companies IS NOT NULL OR urls IS NOT NULL),
+v_few AS (
+  SELECT base, part, {', '.join(f'max(CASE WHEN rank = {i} THEN {c} END) AS "{n}_{i}"' for i in (1, 2, 3)
+        for c, n in (("CASE WHEN part = 0 OR types IS NOT NULL OR companies IS NOT NULL THEN shown END", "PhoneNumber"), ("urls", "SourceURL")))}
+  FROM ({RANKED} WHERE classification <> 'Non-Business' AND NOT has_excluded_type) r JOIN v_parts USING (base, number)
+  WHERE rank <= 3 GROUP BY base, part),
 v_final AS (
-  SELECT h."CompanyName", h."GivenURL", h.base AS "CanonicalEntryURL", coalesce(base_status, 'Unknown') AS "ScrapingStatus",
-    p.* EXCLUDE (base)
-  FROM (SELECT base, {', '.join(f'max(CASE WHEN rank = {i} THEN {c} END) AS "{n}_{i}"' for i in (1, 2, 3)
-                                for c, n in (("shown", "PhoneNumber"), ("urls", "SourceURL")))}
-    FROM ({RANKED} WHERE classification <> 'Non-Business' AND NOT has_excluded_type) r JOIN v_shown USING (base, number)
-    WHERE rank <= 3 GROUP BY base) p JOIN v_headers h ON p.base = h.base LEFT JOIN v_facts f ON f.base = p.base)"""
+  SELECT h."CompanyName", h."GivenURL", base AS "CanonicalEntryURL", coalesce(base_status, 'Unknown') AS "ScrapingStatus",
+    w.* EXCLUDE (base, part), part
+  FROM (SELECT base, part FROM v_few UNION SELECT base, part FROM v_headers SEMI JOIN v_few USING (base)) p
+    LEFT JOIN v_few w USING (base, part) LEFT JOIN v_headers h USING (base, part) LEFT JOIN v_facts f USING (base))"""
 
 
 @query("R3_final_contacts", s.with_(V_FINAL) + "SELECT * FROM v_final")
@@ -510,7 +526,7 @@ def _(spark, sf):
 
 @query("R4_processed_contacts", s.with_(V_FINAL) + """
 SELECT 'example' AS "Company Name", "CanonicalEntryURL" AS "URL", split_part("PhoneNumber_1", ' (', 1) AS "Number",
-  split_part(split_part("PhoneNumber_1", ' (', 2), ')', 1) AS "Number Type", "SourceURL_1" AS "Number Found At" FROM v_final""")
+  split_part(split_part("PhoneNumber_1", ' (', 2), ')', 1) AS "Number Type", "SourceURL_1" AS "Number Found At", part FROM v_final""")
 def _(spark, sf):
     return rp.processed_contacts(Run(spark, sf).final)
 
@@ -534,25 +550,27 @@ def _(spark, sf):
     return Run(spark, sf).attrition
 
 
-@query("R6_domain_summary", s.with_(V_DOMAINS) + """, l AS (
-  SELECT base, string_agg(DISTINCT input_row_id::VARCHAR, ', ' ORDER BY input_row_id::VARCHAR) AS ids,
-    coalesce(string_agg(DISTINCT company_name, ', ' ORDER BY company_name), '') AS names,
-    coalesce(string_agg(DISTINCT given_url, ', ' ORDER BY given_url), '') AS given,
-    string_agg(DISTINCT pathful_url, ', ' ORDER BY pathful_url) AS paths FROM v_entries WHERE base IS NOT NULL GROUP BY base),
-m AS (SELECT base, string_agg('PathfulURL (' || pathful_url || '): ' || error, ', ' ORDER BY pathful_url) AS errors
-  FROM v_sites WHERE error IS NOT NULL GROUP BY base)
+MEMBERS = " UNION ALL ".join(f"SELECT DISTINCT base, '{n}' AS c, {v} AS v FROM v_entries WHERE base IS NOT NULL AND {v} IS NOT NULL" for n, v in (
+    ("ids", "input_row_id::VARCHAR"), ("names", "company_name"), ("given", "given_url"), ("paths", "pathful_url"))) + """
+  UNION ALL SELECT base, 'errors', 'PathfulURL (' || pathful_url || '): ' || error FROM v_sites WHERE error IS NOT NULL
+  UNION ALL SELECT base, 'types', '"' || type || '": ' || count(*) FROM v_sources WHERE type IS NOT NULL GROUP BY base, type"""
+
+
+@query("R6_domain_summary", s.with_(V_DOMAINS) + f""", l AS (
+  SELECT base, part, {', '.join(f"coalesce(max(CASE WHEN c = '{c}' THEN cell END), '') AS {c}" for c in ('ids', 'names', 'given', 'paths', 'errors', 'types'))}
+  FROM ({s.pages(MEMBERS, 'base, c')}) GROUP BY base, part)
 SELECT d.base AS "Canonical_Domain", ids AS "Input_Row_IDs", names AS "Input_CompanyNames", given AS "Input_GivenURLs",
   paths AS "Pathful_URLs_Attempted_List", base_status AS "Overall_Scraper_Status_For_Domain",
   total_pages AS "Total_Pages_Scraped_For_Domain", page_types_json AS "Scraped_Pages_Details_Aggregated",
   any_candidates AS "Regex_Candidates_Found_For_Any_Pathful", any_calls AS "LLM_Calls_Made_For_Domain",
   raw_numbers AS "LLM_Total_Raw_Numbers_Extracted", consolidated AS "LLM_Total_Consolidated_Numbers_Found",
-  types_json AS "LLM_Consolidated_Number_Types_Summary", any_error AS "LLM_Processing_Error_Encountered_For_Domain",
-  coalesce(errors, '') AS "LLM_Error_Messages_Aggregated", reason AS "Final_Domain_Outcome_Reason",
+  '{{' || types || '}}' AS "LLM_Consolidated_Number_Types_Summary", any_error AS "LLM_Processing_Error_Encountered_For_Domain",
+  errors AS "LLM_Error_Messages_Aggregated", part, reason AS "Final_Domain_Outcome_Reason",
   fault AS "Primary_Fault_Category_For_Domain"
-FROM v_domains d JOIN l ON d.base = l.base LEFT JOIN m ON m.base = d.base""")
+FROM v_domains d JOIN l ON d.base = l.base""")
 def _(spark, sf):
     run = Run(spark, sf)
-    return rp.domain_summary(run.domains, jn.member_cells(jn.members(run.entries, run.sites)))
+    return rp.domain_summary(run.domains, jn.member_pages(run.entries, run.sites, run.sources))
 
 
 @query("R7_augmented_input", s.with_(V_SUMMARY) + """

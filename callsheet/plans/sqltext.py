@@ -242,5 +242,12 @@ V_RESPONSES = f"""{V_SLOTS}, v_responses AS (
   FROM v_slots WHERE f IN (6, 7) GROUP BY request_id)"""
 
 
+def pages(rows: str, keys: str, order: str = "v", sep: str = ", ", page: int = 10_000) -> str:
+    """Lists of ``v`` per key as text, ``page`` values by position to a part."""
+    return f"""SELECT {keys}, part, string_agg(v, '{sep}' ORDER BY place) AS cell FROM (
+  SELECT *, place // {page} AS part FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) - 1 AS place FROM ({rows})))
+  GROUP BY {keys}, part"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ", ".join(ctes) + " "

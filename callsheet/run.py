@@ -120,7 +120,7 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
         "base", "pathful_url", F.col("landed_url").alias("page_url"),
         urls.page_type(F.col("landed_url")).alias("page_type"))
     sites = stored(site_table(entries, page_rows, cands, labelled), "sites")
-    facts = stored(jn.journey(entries, page_rows, sites, nums, src), "journey")
+    facts = stored(jn.journey(entries, page_rows, sites, nums), "journey")
     out = stored(oc.row_outcomes(entries, facts), "outcomes")
     domains = oc.domain_outcomes(facts)
     events = oc.failure_events(entries, sites)
@@ -134,15 +134,11 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
         "final_contacts": final,
         "processed_contacts": rp.processed_contacts(final),
         "attrition": lost,
-        "domain_summary": rp.domain_summary(domains, jn.member_cells(jn.members(entries, sites))),
-        "augmented_input": rp.augmented_input(original, summary, "given_phone"),
+        "domain_summary": rp.domain_summary(domains, jn.member_pages(entries, sites, src)),
+        "augmented_input": rp.augmented_input(original, summary.filter("part = 0"), "given_phone"),
     }
     size = lambda name: reports[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("report"), "n")
     sizes = reduce(DataFrame.unionByName, [size(name) for name in reports])
-    cells = jn.member_cells(jn.members(entries, sites))
-    more = jn.overflow(cells, src).unionByName(rp.header_overflow(entries, ct.original_urls(src)))
-    reports["list_overflow"] = ct.number_overflow(src).unionByName(
-        more.withColumn("number", F.lit(None).cast("string")))
     reports["failed_rows"] = events
     reports["run_metrics"] = mt.run_metrics(
         rows, out, lost, domains, events, page_rows, sites, sizes, lb.item_counts(labelled),

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from callsheet import dims
 from callsheet.operators import candidates as cd, contacts as ct, crawl, duplicates as dp, labels as lb
-from callsheet.operators.skew import list_cells, ranked
+from callsheet.operators.paging import paged, side_by_side, with_pages
+from callsheet.operators.skew import ranked
 from callsheet.sources import tables
 
 CLASSES = ["Primary", "Secondary", "Non-Business", "Odd A", "Odd B", "Odd C"]
@@ -63,26 +64,38 @@ def test_ranked_with_hot_key(spark):
         assert got[v] == by_key[k]
 
 
-def test_list_cells_are_whole(spark):
-    rows = [("hot", f"v{i:05d}") for i in range(5000)] + [("cold", "b"), ("cold", "a")]
-    cells = list_cells(spark.createDataFrame(rows, "k string, v string"), ["k"], "v", max_items=100, salts=64).collect()
-    parts = sorted((r.part, r.cell) for r in cells if r.k == "hot")
-    assert [p for p, _ in parts] == list(range(len(parts))) and 25 < len(parts) < 100
-    assert [x for _, c in parts for x in c.split(", ")] == [v for k, v in rows if k == "hot"], "parts follow each other"
-    assert max(len(r.cell.split(", ")) for r in cells) < 1000 and {r.n_values for r in cells} == {5000, 2}
-    assert [(r.part, r.cell) for r in cells if r.k == "cold"] == [(0, "a, b")]
-
-
-def test_long_cells_go_on_in_the_overflow(spark):
-    rows = [("b", "1", f"u{i:03d}", "Sales", "Primary", None, i) for i in range(60)]
+def test_pages_by_position(spark):
+    """A hot list over many ranges, short ones, values with commas, an order of its own."""
+    rng = random.Random(3)
+    hot = [("hot", f"v{i:05d}", rng.randrange(40)) for i in range(5000)]
+    rows = hot + [("cold", "b", 1), ("cold", "a", 2), ("one", "x, y", None), (None, "n", 1), (None, "m", None)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, value string, ord int").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for order in (False, True):
+            got = paged(df if order else df.drop("ord"), ["k"], "|", page=300).collect()
+            by = {}
+            for k, v, o in sorted(rows, key=lambda r: ((r[2] is not None, r[2] or 0) if order else 0, r[1])):
+                by.setdefault(k, []).append(v)
+            want = {(k, i // 300): (len(vs), "|".join(vs[i:i + 300])) for k, vs in by.items() for i in range(0, len(vs), 300)}
+            assert {(r.k, r.part): (r.n_values, r.cell) for r in got} == want and len(got) == len(want)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert paged(df.limit(0), ["k"]).collect() == []
+
+
+def test_lists_side_by_side_show_all_pages(spark):
+    rows = [("b", "1", f"u{i:03d}", "Sales" if i % 2 else "Fax", "Primary", None, i) for i in range(60)]
     src = ct.sources(ct.source_facts(spark.createDataFrame(rows, ITEMS)))
-    shown = ct.number_cells(src, "source_url", "cell", max_items=10).first().cell.split(", ")
-    more = ct.number_overflow(src, max_items=10).filter("column = 'source_url'").collect()
-    rest = [u for r in sorted(more, key=lambda r: r.part) for u in r.cell.split(", ")]
-    assert shown + rest == [r[2] for r in rows] and len(shown) < 60
-    first = ct.number_cells(src, "source_url", "cell", first_seen=True, max_items=10).first().cell.split(", ")
-    later = ct.number_overflow(src, max_items=10).filter("column = 'source_url_first_seen'").orderBy("part").collect()
-    assert first + [u for r in later for u in r.cell.split(", ")] == [r[2] for r in rows]
+    lists = ct.distinct_values(src, "source_url").select("base", F.lit("urls").alias("column"), "value").unionByName(
+        ct.distinct_values(src, "type").select("base", F.lit("types").alias("column"), "value"))
+    got = side_by_side(paged(lists, ["base", "column"], page=25), ["base"], ["urls", "types"]).orderBy("part").collect()
+    assert [r.part for r in got] == [0, 1, 2] and [r.types for r in got] == ["Fax, Sales", None, None]
+    assert ", ".join(r.urls for r in got).split(", ") == [r[2] for r in rows]
+    base = spark.createDataFrame([("b",), ("none",)], "base string")
+    assert sorted((r.base, r.part) for r in with_pages(base, side_by_side(paged(lists, ["base", "column"], page=25), ["base"], ["urls"]), ["base"]).collect()) == [
+        ("b", 0), ("b", 1), ("b", 2), ("none", 0)]
 
 
 def test_blank_stop_equals_loop(spark):
