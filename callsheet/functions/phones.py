@@ -8,7 +8,7 @@ from pyspark.sql import Column, functions as F
 
 from callsheet import dims
 from callsheet.functions.stages import let
-from callsheet.functions.text import strip
+from callsheet.functions.text import cut, strip
 
 # A maximal run of seven or more digits with up to two separators between digits. After
 # seven digits an opening parenthesis starts the next number.
@@ -118,16 +118,24 @@ def plausible(raw: Column, nsn: Column) -> Column:
              | has_repeats(nsn) | has_sequence(nsn))
 
 
-def snippet(text: Column, start: Column, end: Column, half: int = 150) -> Column:
-    """Text around [start, end), widened to blanks on both sides and trimmed."""
-    first = F.greatest(start - half, F.lit(0))
-    before = F.substring(text, F.lit(1), first)
-    first = F.when(before.contains(" "),
-                   first - F.length(F.substring_index(before, " ", -1))).otherwise(first)
-    last = F.least(F.length(text), end + half)
-    blank = F.position(F.lit(" "), text, last + 1)
-    last = F.when((last < F.length(text)) & (blank > 0), blank - 1).otherwise(last)
-    return strip(F.substring(text, first + 1, last - first))
+def snippet(pieces: Column, length: Column, start: Column, end: Column, half: int = 150, size: int = 1024) -> Column:
+    """Text around [start, end), widened to blanks on both sides and trimmed. ``pieces`` are the
+    blocks of a text of that ``length``: a blank is looked for next to the span, in the whole
+    text only where no word ends there."""
+    low, high = F.greatest(start - half, F.lit(0)), F.least(length, end + half)
+    near, far = F.greatest(low - size, F.lit(0)), F.least(length, high + size)
+
+    def back(before: Column, otherwise: Column) -> Column:
+        return F.when(before.contains(" "), low - F.length(F.substring_index(before, " ", -1))).otherwise(otherwise)
+
+    def on(after: Column, otherwise: Column) -> Column:
+        return F.when(after.contains(" "), high + F.instr(after, " ") - 1).otherwise(otherwise)
+
+    first = let(cut(pieces, near, low, size), lambda t: back(t, F.when(near > 0, let(cut(pieces, F.lit(0), near, size), lambda w: F.when(
+        w.contains(" "), near - F.length(F.substring_index(w, " ", -1))).otherwise(low))).otherwise(low)))
+    last = let(cut(pieces, high, far, size), lambda t: on(t, F.when(far < length, let(cut(pieces, far, length, size), lambda w: F.when(
+        w.contains(" "), far + F.instr(w, " ") - 1).otherwise(high))).otherwise(high)))
+    return let(F.struct(first.alias("a"), last.alias("z")), lambda s: strip(cut(pieces, s["a"], s["z"], size)))
 
 
 OPEN, CLOSE = "\u0001", "\u0002"

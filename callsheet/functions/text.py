@@ -48,3 +48,16 @@ def country_list(c: Column) -> Column:
     is_list = c.rlike(r"(?s)^\[.*\]$")
     parsed = F.from_json(F.translate(c, "'", '"'), "array<string>")
     return F.coalesce(F.when(is_list, parsed), F.array().cast("array<string>"))
+
+
+def blocks(text: Column, size: int = 1024) -> Column:
+    """The text in pieces of ``size`` characters, an index for ``cut``."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+
+
+def cut(pieces: Column, start: Column, end: Column, size: int = 1024) -> Column:
+    """Characters [start, end) of the text behind ``blocks``; costs what it returns, not the
+    text's length."""
+    first = F.floor(start / size).cast("int")
+    some = F.array_join(F.slice(pieces, first + 1, F.floor((end - 1) / size).cast("int") - first + 1), "")
+    return F.when(end > start, F.substring(some, (start - first * size + 1).cast("int"), (end - start).cast("int"))).otherwise("")

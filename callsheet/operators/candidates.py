@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from callsheet import dims
 from callsheet.functions import phones
-from callsheet.functions.stages import computed
+from callsheet.functions.stages import let
+from callsheet.functions.text import blocks
 
 
 def scan_region(codes) -> "F.Column":
@@ -15,29 +16,42 @@ def scan_region(codes) -> "F.Column":
     return F.when(F.length(first) == 2, F.upper(first)).otherwise(F.lit(dims.SCAN_REGION))
 
 
-def phone_matches(texts: DataFrame, region=dims.SCAN_REGION) -> DataFrame:
-    """Digit runs of column ``text`` that read as valid numbers, with offsets.
+def _matches(text: Column, region) -> Column:
+    """Dialable runs of a text that read as valid numbers, with their place among all runs."""
+    def tested(r: Column, i: Column) -> Column:
+        number = F.when(phones.is_dialable_run(r["raw"], r["before"], r["after"]), phones.e164_or_null(r["raw"], region))
+        return F.struct(i.alias("match_ord"), r["raw"].alias("raw"), r["start"].alias("match_start"),
+                        (r["start"] + F.length(r["raw"])).alias("match_end"), number.alias("number"))
 
-    Narrow: texts without a run are filtered first, the rest is one generate."""
+    return F.filter(F.transform(phones.digit_runs(text), tested), lambda m: m["number"].isNotNull())
+
+
+def _with_snippets(text: Column, matches: Column, half: int) -> Column:
+    index = F.struct(blocks(text).alias("pieces"), F.length(text).alias("length"))
+    return let(index, lambda t: F.transform(matches, lambda m: F.struct(
+        *[m[c].alias(c) for c in ("match_ord", "raw", "match_start", "match_end", "number")],
+        phones.snippet(t["pieces"], t["length"], m["match_start"], m["match_end"], half).alias("snippet"))))
+
+
+def phone_matches(texts: DataFrame, region=dims.SCAN_REGION, window: int | None = None) -> DataFrame:
+    """Digit runs of column ``text`` that read as valid numbers, with offsets and, given a
+    ``window``, the text around them. All tests run inside the text's row, so what leaves
+    it are matches only; the text itself goes no further."""
     kept = [c for c in texts.columns if c != "text"]
-    runs = (texts.filter(F.col("text").rlike(phones.RUN))
-            .select("*", F.posexplode(phones.digit_runs(F.col("text"))).alias("match_ord", "run")))
-    raw = F.col("run.raw")
-    kept_runs = runs.filter(phones.is_dialable_run(raw, F.col("run.before"), F.col("run.after"))).select(
-        *kept, "text", "match_ord", raw.alias("raw"), F.col("run.start").alias("match_start"),
-        (F.col("run.start") + F.length(raw)).alias("match_end"))
-    return computed(kept_runs, number=phones.e164_or_null(F.col("raw"), region)).filter(
-        F.col("number").isNotNull())
+    text = F.col("text")
+    found = _matches(text, region)
+    if window is not None:
+        found = let(found, lambda m: _with_snippets(text, m, window // 2))
+    return texts.filter(text.rlike(phones.RUN)).select(*kept, F.inline(found))
 
 
 def phone_candidates(texts: DataFrame, region=dims.SCAN_REGION, window: int = 300) -> DataFrame:
     """Plausible numbers with their context snippet; drops ``text``."""
-    found = phone_matches(texts, region)
-    keep = [c for c in found.columns if c not in ("text", "match_start", "match_end")]
-    national = computed(found, nsn=phones.national_number(F.col("number")))
-    good = national.filter(phones.plausible(F.col("raw"), F.col("nsn")))
-    return computed(good, snippet=phones.snippet(
-        F.col("text"), F.col("match_start"), F.col("match_end"), window // 2)).select(*keep, "snippet")
+    kept = [c for c in texts.columns if c != "text"]
+    text = F.col("text")
+    good = F.filter(_matches(text, region), lambda m: let(phones.national_number(m["number"]), lambda nsn: phones.plausible(m["raw"], nsn)))
+    found = let(good, lambda m: _with_snippets(text, m, window // 2))
+    return texts.filter(text.rlike(phones.RUN)).select(*kept, F.inline(found)).select(*kept, "match_ord", "raw", "number", "snippet")
 
 
 def cap_identical(cands: DataFrame, page: str = "page_url", limit: int = 3) -> DataFrame:

@@ -93,8 +93,7 @@ v_snippet AS (SELECT *, {s.strip('substr(text, f1 + 1, l1 - f1)')} AS snippet FR
 
 @query("P6_snippets", s.with_(V_SNIPPET) + "SELECT page_url, match_ord, snippet FROM v_snippet")
 def _(spark, sf):
-    return cd.phone_matches(b.texts(spark, sf)).select("page_url", "match_ord", phones.snippet(
-        F.col("text"), F.col("match_start"), F.col("match_end")).alias("snippet"))
+    return cd.phone_matches(b.texts(spark, sf), window=300).select("page_url", "match_ord", "snippet")
 
 
 def _plausible_sql(raw: str, nsn: str) -> str:

@@ -807,16 +807,19 @@ def _flow_sql() -> str:
 prio AS (SELECT *, {s.CLASS_PRIO} AS cp, first_value({s.TYPE_PRIO}) OVER w AS tp, row_number() OVER w AS seen
   FROM lab WINDOW w AS (PARTITION BY base, number ORDER BY page_ord, match_ord)),
 nums AS (SELECT base, number, min(cp) AS cp, any_value(tp) AS tp, min(page_ord) AS o1, arg_min(match_ord, page_ord * 100000 + match_ord) AS o2,
-    bool_or(type IN ('Unknown', 'Fax', 'Mobile', 'Date', 'ID')) AS excluded,
-    number || ' (' || string_agg(DISTINCT type, ', ' ORDER BY type) || ') [' || string_agg(DISTINCT company, ', ' ORDER BY company) || ']' AS shown,
-    string_agg(DISTINCT page_url, ', ' ORDER BY page_url) AS urls FROM prio GROUP BY base, number),
+    bool_or(type IN ('Unknown', 'Fax', 'Mobile', 'Date', 'ID')) AS excluded FROM prio GROUP BY base, number),
 best AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY cp, tp, o1, o2, number) AS rank FROM nums WHERE NOT excluded),
-names AS (SELECT base, string_agg(DISTINCT company, ' - ' ORDER BY company) AS names FROM lab GROUP BY base)
-SELECT b.base || ' - ' || any_value(names) AS "CompanyName",
-  b.base AS "GivenURL", b.base AS "CanonicalEntryURL", 'Success' AS "ScrapingStatus",
-  {', '.join(f'max(CASE WHEN rank = {i} THEN {c} END) AS "{n}_{i}"' for i in (1, 2, 3)
-             for c, n in (("shown", "PhoneNumber"), ("urls", "SourceURL")))}
-FROM best b JOIN names ON names.base = b.base WHERE rank <= 3 GROUP BY b.base"""
+cells AS (SELECT base, number, part, {', '.join(f"max(CASE WHEN c = '{c}' THEN cell END) AS {c}" for c in ('types', 'urls', 'companies'))} FROM ({s.pages(
+    "SELECT DISTINCT base, number, 'types' AS c, type AS v FROM lab UNION ALL SELECT DISTINCT base, number, 'urls', page_url FROM lab "
+    "UNION ALL SELECT DISTINCT base, number, 'companies', company FROM lab WHERE company <> ''", 'base, number, c')}) GROUP BY base, number, part),
+shown AS (SELECT *, CASE WHEN part = 0 OR types IS NOT NULL OR companies IS NOT NULL THEN number || ' (' || coalesce(types, '') || ') ['
+    || coalesce(companies, CASE WHEN part = 0 THEN 'UnknownCompany' ELSE '' END) || ']' END AS shown FROM cells),
+names AS ({s.pages('SELECT DISTINCT base, company AS v FROM lab WHERE company IS NOT NULL', 'base', sep=' - ')}),
+few AS (SELECT base, part, {', '.join(f'max(CASE WHEN rank = {i} THEN {c} END) AS "{n}_{i}"' for i in (1, 2, 3)
+    for c, n in (("shown", "PhoneNumber"), ("urls", "SourceURL")))} FROM best JOIN shown USING (base, number) WHERE rank <= 3 GROUP BY base, part)
+SELECT CASE WHEN part = 0 THEN base || ' - ' || coalesce(cell, 'Unknown') ELSE cell END AS "CompanyName",
+  CASE WHEN part = 0 THEN base END AS "GivenURL", base AS "CanonicalEntryURL", 'Success' AS "ScrapingStatus", few.* EXCLUDE (base, part), part
+FROM (SELECT base, part FROM few UNION SELECT base, part FROM names SEMI JOIN few USING (base)) LEFT JOIN few USING (base, part) LEFT JOIN names USING (base, part)"""
 
 
 query("contacts_from_texts", _flow_sql())(contacts_from_texts)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from callsheet.functions import html, phones, text, urls
+from callsheet.functions.text import blocks
 from callsheet.operators.links import LinkRules, link_score
 from callsheet.sources.tables import parse_row_range
 
@@ -102,7 +103,7 @@ def test_digit_runs_and_snippet(spark):
     long = "lead " + "word " * 100 + "+49 30 1234567" + " tail" * 100
     at = long.index("+49")
     got = spark.createDataFrame([(long,)], "t string").select(
-        phones.snippet(F.col("t"), F.lit(at), F.lit(at + 14)).alias("s")).first().s
+        phones.snippet(blocks(F.col("t")), F.length("t"), F.lit(at), F.lit(at + 14)).alias("s")).first().s
     first = long.rfind(" ", 0, at - 150) + 1
     last = long.find(" ", at + 14 + 150)
     assert got == long[first:last].strip()
@@ -158,6 +159,36 @@ def test_digit_runs_of_a_long_text(spark):
         assert rows[r.start:r.start + len(r.raw)] == r.raw and rows[r.start - 1] == r.before and rows[r.start + len(r.raw)] == r.after
 
 
+def test_snippets_reach_the_next_blank_however_far(spark):
+    """Against slices of the text: blanks near, blocks away, and none at all."""
+    rng = random.Random(6)
+    cases = []
+    for _ in range(60):
+        words = ["x" * rng.choice((1, 5, 40, 300, 1100, 2500)) for _ in range(rng.randint(0, 12))]
+        t = " ".join(words) + rng.choice(("", " ", "-")) + "0302468105" + rng.choice(("", " ", "-")) + " ".join(words[::-1])
+        at = t.index("0302468105")
+        cases.append((t, at, at + 10))
+    got = spark.createDataFrame(cases, "t string, a int, z int").select("t", "a", "z", phones.snippet(
+        blocks(F.col("t")), F.length("t"), F.col("a"), F.col("z")).alias("s")).collect()
+    for r in got:
+        low, high = max(r.a - 150, 0), min(r.z + 150, len(r.t))
+        first = r.t.rfind(" ", 0, low) + 1 or low
+        last = r.t.find(" ", high)
+        assert r.s == r.t[first:last if last >= 0 else high].strip()
+
+
+def test_many_numbers_in_one_long_text(spark):
+    from callsheet.operators import candidates as cd
+
+    page = " ".join(f"tel {f'030 24{i % 100000:05d}':>14}" for i in range(100_000))
+    texts = spark.createDataFrame([("p", page)], "page_url string, text string")
+    plan = cd.phone_candidates(texts, "DE")._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan[:plan.index("Generate")]
+    started = time.time()
+    n = cd.phone_candidates(texts, "DE").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("snippet")).alias("m")).first()
+    assert n.n > 50_000 and n.m < 400 and time.time() - started < 60
+
+
 def test_numbers_of_other_countries_and_neighbours(spark):
     from callsheet.operators import candidates as cd
 
@@ -169,7 +200,7 @@ def test_numbers_of_other_countries_and_neighbours(spark):
     got = {}
     for r in cd.phone_matches(texts, "DE").orderBy("i", "match_ord").collect():
         got.setdefault(r.i, []).append(r.number)
-        assert r.text[r.match_start:r.match_end] == r.raw
+        assert list(cases)[r.i][r.match_start:r.match_end] == r.raw
     assert [got.get(i, []) for i in range(len(cases))] == list(cases.values())
 
 
