@@ -28,6 +28,16 @@ def _(spark, sf):
     return tables.read_csv(spark, path, tables.string_schema("c_custkey", "c_name", "c_mktsegment"))
 
 
+@query("S1_scan_csv", """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS input_row_id, doc_id::VARCHAR AS doc_id, text, source
+FROM documents""")
+def _(spark, sf):
+    """One file whose cells hold line breaks and quotes, by many tasks."""
+    path = scratch(spark, "csv")
+    b.table(spark, sf, "documents").select("doc_id", "text", "source").coalesce(1).write.options(
+        header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return tables.scan_csv(spark, path, tables.string_schema("doc_id", "text", "source"))
+
+
 @query("S2_read_json", """SELECT c_custkey::VARCHAR AS c_custkey, c_name FROM customer""")
 def _(spark, sf):
     path = scratch(spark, "json")

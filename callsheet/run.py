@@ -178,13 +178,18 @@ def input_rows(spark: SparkSession, path: str, profile: str = "default", row_ran
                stop_after_blank: int = 3, run_id: str = "run") -> DataFrame:
     """Company rows of a CSV, JSON or Parquet table in the columns of a profile, as ``run``
     takes them. A table that has these already is taken as it is."""
-    df = tables.read_table(spark, path)
+    if tables.kind(path) == "csv":
+        columns = tables.header(spark, path)
+        own = "input_row_id" in columns.names
+        df = tables.scan_csv(spark, path, columns, "_position" if own else "input_row_id").drop("_position")
+    else:
+        df = tables.read_table(spark, path)
     if "given_url" in df.columns:
         return df
     if "input_row_id" not in df.columns:
         if tables.kind(path) == "json":
             raise ValueError("JSON lines have no order of their own: give them an input_row_id")
-        df = tables.with_ordinal(df) if tables.kind(path) == "parquet" else tables.with_text_ordinal(df)
+        df = tables.with_ordinal(df)
     cells = [c for c in df.columns if c != "input_row_id"]
     loaded = tables.load_input(df, cells, profile, row_range, stop_after_blank, run_id)
     codes = F.col("TargetCountryCodes")

@@ -15,11 +15,53 @@ def string_schema(*columns: str) -> T.StructType:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header; every column as declared, nothing inferred. A quoted cell may
-    hold line breaks and doubled quotes, so a file is read by one task: give many files."""
+    hold line breaks and doubled quotes, so a file is read by one task; ``scan_csv`` reads
+    one file by many."""
     return (spark.read.schema(schema).option("header", True).option("multiLine", True)
             .option("escape", '"').csv(path))
 
 
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType, name: str = "input_row_id") -> DataFrame:
+    """The rows of ``read_csv`` with their dense 0-based position, one large file read by many tasks.
+
+    Files are read as lines in byte ranges. Whether a line opens a record depends on the
+    number of quotes before it, odd or even: each range counts its own and the record starts
+    for either case, the ranges' parities are added up in order, and only lines of records
+    that go over several lines are brought together. A quote stands at the border of a cell
+    or doubled inside one; blank lines between records are skipped; each file has a header."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_range"),
+        F.monotonically_increasing_id().alias("_id"))
+    held = stored(lines.withColumn("_quotes", F.pmod(F.length("value") - F.length(F.translate("value", '"', "")), F.lit(2))),
+                  "csv-lines")
+    of_range = Window.partitionBy("_path", "_range").orderBy("_id")
+    until = of_range.rowsBetween(Window.unboundedPreceding, -1)
+    marked = held.withColumn("_odd", F.coalesce(F.sum("_quotes").over(until), F.lit(0)) % 2).withColumn(
+        "_full", ~F.col("value").isin("", "\r"))
+    counts = marked.groupBy("_path", "_range").agg(
+        (F.sum("_quotes") % 2).alias("odd"), F.count_if((F.col("_odd") == 0) & F.col("_full")).alias("even_starts"),
+        F.count_if((F.col("_odd") == 1) & F.col("_full")).alias("odd_starts"))
+    # One row per range of a file from here on, until the lines are met again.
+    before = Window.partitionBy("_path").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    entered = counts.withColumn("_open", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).withColumn(
+        "_starts", F.when(F.col("_open") == 0, F.col("even_starts")).otherwise(F.col("odd_starts")))
+    ranges = stored(entered.select("_path", "_range", "_open", "_starts", F.coalesce(F.sum("_starts").over(before), F.lit(0)).alias("_first")), "csv-ranges")
+    inside = (F.col("_odd") + F.col("_open")) % 2 == 1
+    opened = marked.join(ranges.select("_path", "_range", "_open", "_first"), ["_path", "_range"]).withColumn(
+        "_begins", ~inside & F.col("_full")).filter(inside | F.col("_begins"))
+    numbered = opened.withColumn("_record", F.col("_first") + F.sum(F.col("_begins").cast("long")).over(
+        of_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1)
+    alone = F.col("_begins") & (F.col("_quotes") == 0)
+    pieces = F.transform(F.array_sort(F.collect_list(F.struct("_range", "_id", "value"))), lambda x: x["value"])
+    several = numbered.filter(~alone).groupBy("_path", "_record").agg(F.array_join(pieces, "\n").alias("value"))
+    records = numbered.filter(alone).select("_path", "_record", "value").unionByName(several).filter("_record > 0")
+    files = ranges.groupBy("_path").agg((F.sum("_starts") - 1).alias("_n")).select("_path", (F.coalesce(F.sum("_n").over(
+        Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - 1).alias("_shift"))
+    columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+    row = F.from_csv(F.regexp_replace("value", "\r$", ""), columns, {"escape": '"'})
+    return records.join(files, "_path").select((F.col("_record") + F.col("_shift")).alias(name), row.alias("_row")).select(name, "_row.*")
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
@@ -34,10 +76,15 @@ def kind(path: str) -> str:
     return next((k for k in ("csv", "json") if end.endswith("." + k)), "parquet")
 
 
+def header(spark: SparkSession, path: str) -> T.StructType:
+    """Columns of a CSV file by its header, all text."""
+    return string_schema(*spark.read.option("header", True).csv(path).columns)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A table of any supported format; CSV columns are named by the header, all text."""
     if kind(path) == "csv":
-        return read_csv(spark, path, string_schema(*spark.read.option("header", True).csv(path).columns))
+        return read_csv(spark, path, header(spark, path))
     return spark.read.json(path) if kind(path) == "json" else read_parquet(spark, path)
 
 

@@ -222,3 +222,30 @@ def test_csv_cells_with_line_breaks(spark, tmp_path):
     (tmp_path / "rows.csv").write_text('firma,url\n"A ""B""\nC",http://a.de\n')
     got = tables.read_csv(spark, str(tmp_path / "rows.csv"), tables.string_schema("firma", "url")).collect()
     assert [tuple(r) for r in got] == [('A "B"\nC', "http://a.de")]
+
+
+def test_csv_by_many_tasks_equals_one(spark, tmp_path):
+    """Quoted line breaks, doubled quotes, CRLF, blank lines, short rows; several files in small ranges."""
+    from callsheet.sources import tables
+
+    rng = random.Random(8)
+    cells = ["", "x", '"a, b"', '"line\nbreak"', '"say ""hi"""', '"\n\n"', "plain text", '""', '"é,\n""\n"', "7"]
+    for i, end in enumerate(("\n", "\r\n", "\n")):
+        rows = []
+        for _ in range((300, 5, 900)[i]):
+            row = ",".join(rng.choice(cells) for _ in range(3 if rng.random() < 0.95 else 2))
+            rows.append(row if end == "\n" else row.replace("\n", " "))
+            if rng.random() < 0.05:
+                rows.append("")
+        (tmp_path / f"part{i}.csv").write_text("a,b,c" + end + end.join(rows) + (end if i else ""), newline="")
+    schema = tables.string_schema("a", "b", "c")
+    want = tables.with_text_ordinal(tables.read_csv(spark, str(tmp_path), schema)).orderBy("input_row_id").select("input_row_id", "a", "b", "c").collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        got = tables.scan_csv(spark, str(tmp_path), schema)
+        assert spark.read.option("lineSep", "\n").text(str(tmp_path)).rdd.getNumPartitions() > 5
+        assert [tuple(r) for r in got.orderBy("input_row_id").collect()] == [tuple(r) for r in want]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
