@@ -173,7 +173,11 @@ def _registrable(c: Column, field: int) -> Column:
 def dns_variants(c: Column) -> Column:
     """Entry URLs to try in order when the name does not resolve: as given, first
     part of a hyphenated domain, ``.de`` as ``.com``, and both."""
-    label, suffix = _registrable(c, 1), _registrable(c, 2)
+    return variants_of(c, _registrable(c, 1), _registrable(c, 2))
+
+
+def variants_of(c: Column, label: Column, suffix: Column) -> Column:
+    """The same for a known domain label and public suffix."""
     short = F.substring_index(label, "-", 1)
     hyphen = label.contains("-") & (short != "")
     german = suffix == "de"

@@ -8,6 +8,7 @@ from callsheet import dims
 from callsheet.functions import phones
 from callsheet.functions.stages import let
 from callsheet.functions.text import blocks
+from callsheet.operators.paging import positions
 
 
 def scan_region(codes) -> "F.Column":
@@ -54,7 +55,12 @@ def phone_candidates(texts: DataFrame, region=dims.SCAN_REGION, window: int = 30
     return texts.filter(text.rlike(phones.RUN)).select(*kept, F.inline(found)).select(*kept, "match_ord", "raw", "number", "snippet")
 
 
-def cap_identical(cands: DataFrame, page: str = "page_url", limit: int = 3) -> DataFrame:
+def beyond_cap(cands: DataFrame, limit: int, page: str = "page_url") -> DataFrame:
+    """What ``cap_identical`` leaves out, with the place among the number's occurrences."""
+    return positions(cands, [page, "number"], ["match_ord"], "place").filter(F.col("place") >= limit)
+
+
+def cap_identical(cands: DataFrame, limit: int, page: str = "page_url") -> DataFrame:
     """First ``limit`` occurrences of a number per page. The rank filter sits right
     on the window, so each map task passes on at most ``limit`` rows per group."""
     w = Window.partitionBy(page, "number").orderBy("match_ord")

@@ -10,6 +10,7 @@ from callsheet.functions import urls
 from callsheet.functions.stages import stored
 from callsheet.operators.links import LinkRules, score_links
 from callsheet.operators.skew import ranked
+from callsheet.operators.suffixes import entry_variants
 
 
 def probe_tlds(rows: DataFrame, known_hosts: DataFrame, url: str = "url", key: str = "input_row_id",
@@ -34,10 +35,12 @@ def probe_tlds(rows: DataFrame, known_hosts: DataFrame, url: str = "url", key: s
 
 
 def first_resolving_entry(rows: DataFrame, fetches: DataFrame, url: str = "url",
-                          key: str = "input_row_id") -> DataFrame:
+                          key: str = "input_row_id", rules: DataFrame | None = None) -> DataFrame:
     """Walk the DNS variants of every entry URL; the first that does not end in a
-    DNS error decides. All failing: the last variant, ``DNSError``."""
-    tries = rows.select(key, F.posexplode(urls.dns_variants(F.col(url))).alias("pos", "try_url"))
+    DNS error decides. All failing: the last variant, ``DNSError``. ``rules`` is a table of
+    public suffix rules; without it the small fixed set counts."""
+    tries = rows.select(key, F.posexplode(urls.dns_variants(F.col(url))).alias("pos", "try_url")) if rules is None else entry_variants(
+        rows, rules, url, key)
     status = fetch_status(F.col("status_code"), F.col("has_content"), entry=True)
     seen = tries.join(fetches.select(F.col("url").alias("try_url"), status.alias("status")),
                       "try_url", "left").withColumn(

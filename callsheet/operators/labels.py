@@ -8,6 +8,7 @@ from callsheet import dims
 from callsheet.functions import phones
 from callsheet.functions.stages import computed
 from callsheet.functions.text import json_block
+from callsheet.operators.paging import positions
 
 ITEM = "struct<number:string,type:string,classification:string>"
 RESPONSE = f"struct<extracted_numbers:array<{ITEM}>>"
@@ -17,18 +18,24 @@ ENRICHED = ("struct<extracted_numbers:array<struct<number:string,type:string,cla
             "overall_confidence:double,processing_notes:array<string>,raw_source_text_snippet:string>")
 
 
-def request_slots(cands: DataFrame, site: str, order: list, chunk: int = 10,
-                  max_chunks: int | None = 10) -> DataFrame:
-    """Number the candidates of a site into request slots. With ``max_chunks`` what
-    exceeds ``chunk * max_chunks`` is not asked for (the request limit of a site)."""
-    w = Window.partitionBy(site).orderBy(*order)
-    slots = cands.withColumn("_n", F.row_number().over(w))
-    if max_chunks is not None:
-        slots = slots.filter(F.col("_n") <= chunk * max_chunks)
-    part = F.floor((F.col("_n") - 1) / chunk).cast("int")
-    return (slots.withColumn("chunk", part)
+def request_slots(cands: DataFrame, site: str, order: list, *, max_chunks: int | None, chunk: int = 10) -> DataFrame:
+    """Number the candidates of a site into request slots. Given ``max_chunks``, what
+    exceeds ``chunk * max_chunks`` is not asked for (the request limit of a site; see
+    ``not_requested``): the limit then sits on its window, and tasks pass on no more. Without
+    one, places come from sorted ranges, so that no task holds a whole site."""
+    if max_chunks is None:
+        slots = positions(cands, [site], order, "_n")
+    else:
+        w = Window.partitionBy(site).orderBy(*order)
+        slots = cands.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= chunk * max_chunks).withColumn("_n", F.col("_n") - 1)
+    return (slots.withColumn("chunk", F.floor(F.col("_n") / chunk).cast("int"))
             .withColumn("request_id", F.concat_ws("#", F.col(site), F.col("chunk")))
-            .withColumn("pos", F.pmod(F.col("_n") - 1, F.lit(chunk)).cast("int")).drop("_n"))
+            .withColumn("pos", F.pmod("_n", F.lit(chunk)).cast("int")).drop("_n"))
+
+
+def not_requested(cands: DataFrame, site: str, order: list, *, max_chunks: int, chunk: int = 10) -> DataFrame:
+    """The candidates beyond a site's request limit, with their place in its order."""
+    return positions(cands, [site], order, "place").filter(F.col("place") >= chunk * max_chunks)
 
 
 def render_requests(slots: DataFrame, template: str = dims.PROMPT_PLACEHOLDER) -> DataFrame:

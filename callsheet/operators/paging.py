@@ -14,6 +14,32 @@ from callsheet.functions.stages import stored
 PAGE = 10_000
 
 
+def _slice_starts(held: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, _slice, _n, n_values, _first``: sizes of slices and keys, and the position of a
+    slice's first row."""
+    by_key = Window.partitionBy(*keys)
+    return held.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n")).select(
+        *keys, "_slice", "_n", F.sum("_n").over(by_key).alias("n_values"),
+        F.coalesce(F.sum("_n").over(by_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_first"))
+
+
+def _same(keys: list[str]) -> Column:
+    on = F.lit(True)
+    for c in [*keys, "_slice"]:
+        on = on & F.col(f"l.{c}").eqNullSafe(F.col(f"s.{c}"))
+    return on
+
+
+def positions(rows: DataFrame, keys: list[str], order: list, name: str = "position") -> DataFrame:
+    """``rows`` with their 0-based place per key in ``order``; rows of one place in the order
+    take any. A key's rows are sorted range by range, never as a whole in one task."""
+    held = stored(rows.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()), "ranges")
+    in_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    numbered = held.withColumn("_at", F.row_number().over(in_slice) - 1).alias("l")
+    return numbered.join(_slice_starts(held, keys).alias("s"), _same(keys)).select(
+        *[F.col(f"l.`{c}`") for c in rows.columns], (F.col("s._first") + F.col("l._at")).alias(name))
+
+
 def paged(lists: DataFrame, keys: list[str], sep: str | Column = ", ", page: int = PAGE) -> DataFrame:
     """``keys, part, n_values, cell`` of a table ``keys, value`` with or without ``ord``.
 
@@ -24,15 +50,8 @@ def paged(lists: DataFrame, keys: list[str], sep: str | Column = ", ", page: int
     rows = lists.select(*keys, F.struct(*order, F.col("value").alias("v")).alias("_item"))
     held = stored(rows.repartitionByRange(*keys, "_item").withColumn("_slice", F.spark_partition_id()), "list_slices")
     same = [*keys, "_slice"]
-    by_key = Window.partitionBy(*keys)
-    starts = held.groupBy(*same).agg(F.count(F.lit(1)).alias("_n")).select(
-        *same, "_n", F.sum("_n").over(by_key).alias("n_values"),
-        F.coalesce(F.sum("_n").over(by_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_first"))
     slices = held.groupBy(*same).agg(F.array_sort(F.collect_list("_item")).alias("_items")).alias("l")
-    on = F.lit(True)
-    for c in same:
-        on = on & F.col(f"l.{c}").eqNullSafe(F.col(f"s.{c}"))
-    met = slices.join(starts.alias("s"), on).select(*[F.col(f"l.{c}") for c in same], "n_values", "_first", "_n", "_items")
+    met = slices.join(_slice_starts(held, keys).alias("s"), _same(keys)).select(*[F.col(f"l.{c}") for c in same], "n_values", "_first", "_n", "_items")
 
     def cut(p: Column) -> Column:
         begin = F.greatest(p * page - F.col("_first"), F.lit(0))

@@ -122,12 +122,20 @@ SELECT base, number, ord FROM (SELECT base, number, ord, row_number() OVER (PART
   FROM v_good) WHERE rn <= 3""")
 def _(spark, sf):
     good = ct.usable_items(b.items(spark, sf)).select("base", "number", F.col("ord").alias("match_ord"))
-    return cd.cap_identical(good, page="base").withColumnRenamed("match_ord", "ord")
+    return cd.cap_identical(good, 3, page="base").withColumnRenamed("match_ord", "ord")
+
+
+@query("P8_beyond_cap", s.with_(s.V_ITEM) + """
+SELECT base, number, ord, rn - 1 AS place FROM (SELECT base, number, ord, row_number() OVER (PARTITION BY base, number ORDER BY ord) AS rn
+  FROM v_good) WHERE rn > 3""")
+def _(spark, sf):
+    good = ct.usable_items(b.items(spark, sf)).select("base", "number", F.col("ord").alias("match_ord"))
+    return cd.beyond_cap(good, 3, page="base").withColumnRenamed("match_ord", "ord")
 
 
 @query("W1_capped_candidates", s.with_(V_CAND) + "SELECT page_url, number, match_ord FROM v_capped")
 def _(spark, sf):
-    return cd.cap_identical(cd.phone_candidates(b.texts(spark, sf))).select("page_url", "number", "match_ord")
+    return cd.cap_identical(cd.phone_candidates(b.texts(spark, sf)), 3).select("page_url", "number", "match_ord")
 
 
 def rendered(spark, sf):
@@ -152,26 +160,32 @@ def _(spark, sf):
 
 
 # --- label exchange ------------------------------------------------------------------------
-def item_slots(spark, sf):
-    good = ct.usable_items(b.items(spark, sf)).select(
-        F.col("base").alias("site"), "number", "ord", "source_url", "company")
-    return lb.request_slots(good, "site", ["ord", "number"])
+def slot_items(spark, sf):
+    return ct.usable_items(b.items(spark, sf)).select(F.col("base").alias("site"), "number", "ord", "source_url", "company")
 
 
 V_REQ = s.V_ITEM + """, v_req AS (
   SELECT *, (rn - 1) // 10 AS chunk, (rn - 1) % 10 AS pos FROM (
-    SELECT *, row_number() OVER (PARTITION BY base ORDER BY ord, number) AS rn FROM v_good) WHERE rn <= 100)"""
+    SELECT *, row_number() OVER (PARTITION BY base ORDER BY ord, number) AS rn FROM v_good))"""
 
 
 @query("L1_request_slots", s.with_(V_REQ) + """
-SELECT base || '#' || chunk AS request_id, pos, number, ord FROM v_req""")
+SELECT base || '#' || chunk AS request_id, pos, number, ord FROM v_req WHERE rn <= 100""")
+def _(spark, sf):
+    """The request limit of a site: ten chunks of ten."""
+    return lb.request_slots(slot_items(spark, sf), "site", ["ord", "number"], max_chunks=10).select("request_id", "pos", "number", "ord")
+
+
+@query("L1_not_requested", s.with_(V_REQ) + "SELECT base AS site, number, ord, rn - 1 AS place FROM v_req WHERE rn > 100")
 def _(spark, sf):
-    return item_slots(spark, sf).select("request_id", "pos", "number", "ord")
+    """What the limit leaves out."""
+    return lb.not_requested(slot_items(spark, sf), "site", ["ord", "number"], max_chunks=10).select("site", "number", "ord", "place")
 
 
 @query("W3_chunk_sizes", s.with_(V_REQ) + "SELECT base AS site, chunk, count(*) AS n FROM v_req GROUP BY ALL")
 def _(spark, sf):
-    return item_slots(spark, sf).groupBy("site", "chunk").agg(F.count(F.lit(1)).alias("n"))
+    slots = lb.request_slots(slot_items(spark, sf), "site", ["ord", "number"], max_chunks=None)
+    return slots.groupBy("site", "chunk").agg(F.count(F.lit(1)).alias("n"))
 
 
 TEMPLATE = "Label these:\n" + dims.PROMPT_PLACEHOLDER + "\nAnswer in JSON."

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from callsheet import dims
 from callsheet.functions import html, phones, text, urls
 from callsheet.functions.regex import any_of
-from callsheet.operators import crawl, duplicates, links as lk
+from callsheet.operators import crawl, duplicates, links as lk, suffixes
 from callsheet.plans import bindings as b, sqltext as s
 from callsheet.plans.registry import query
 from callsheet.sources import tables
@@ -251,6 +251,45 @@ def _(spark, sf):
     return crawl.first_resolving_entry(rows, log)
 
 
+SUFFIX_RULES = ["com", "de", "uk", "co.uk", "ac.uk", "jp", "co.jp", "*.kobe.jp", "!city.kobe.jp", "*.ck", "!www.ck", "k12.ma.us", "us", "ma.us"]
+#: Host endings, dealt out by supplier key.
+ENDINGS = ["shop-{0}.de", "a.b-{0}.co.uk", "x{0}.kobe.jp", "y.x{0}.kobe.jp", "city.kobe.jp", "www.city.kobe.jp", "z{0}.ck", "w.z{0}.ck", "www.ck",
+           "v.www.ck", "s{0}.k12.ma.us", "t{0}.museum", "u{0}.Co.Uk", "ck", "co.jp", "m.n{0}.co.jp.", "{0}.ac.uk", "q-{0}.ma.us"]
+
+
+def suffix_hosts(spark, sf):
+    k = F.col("s_suppkey")
+    host = b.case(k % len(ENDINGS), {i: F.format_string(e.format("%1$s"), k.cast("string")) if "{0}" in e else e for i, e in enumerate(ENDINGS)})
+    return b.table(spark, sf, "supplier").select("s_suppkey", host.alias("host"))
+
+
+HOSTS_SQL = "CASE s_suppkey % {} {} END".format(len(ENDINGS), " ".join(
+    f"WHEN {i} THEN replace('{e}', '{{0}}', s_suppkey::VARCHAR)" for i, e in enumerate(ENDINGS)))
+V_SUFFIX = f"""v_hosts AS (SELECT s_suppkey, host, string_split(rtrim(lower(host), '.'), '.') AS l FROM (SELECT s_suppkey, {HOSTS_SQL} AS host FROM supplier)),
+v_rules AS (SELECT rule, string_split(ltrim(rule, '!'), '.') AS r FROM (SELECT unnest({SUFFIX_RULES}) AS rule)),
+v_met AS (SELECT s_suppkey, max(CASE WHEN rule[1] = '!' THEN len(r) - 1 END) AS less, max(len(r)) AS most FROM v_hosts JOIN v_rules
+  ON len(l) >= len(r) AND list_bool_and(list_transform(list_zip(l[len(l) - len(r) + 1:], r), lambda z: z[2] = '*' OR z[1] = z[2])) GROUP BY s_suppkey),
+v_suffix AS (SELECT h.s_suppkey, host, array_to_string(l[len(l) - n + 1:], '.') AS suffix, CASE WHEN len(l) > n THEN l[len(l) - n] END AS label
+  FROM (SELECT h.*, coalesce(less, most, 1) AS n FROM v_hosts h LEFT JOIN v_met USING (s_suppkey)) h)"""
+
+
+@query("U7_public_suffixes", f"WITH {V_SUFFIX} SELECT * FROM v_suffix")
+def _(spark, sf):
+    hosts = suffix_hosts(spark, sf)
+    rules = spark.createDataFrame([(r,) for r in SUFFIX_RULES], "rule string")
+    return hosts.join(suffixes.public_suffixes(hosts, rules), "host")
+
+
+@query("U7_variants_by_rules", f"""WITH {V_SUFFIX}, v AS (SELECT *, split_part(label, '-', 1) AS short, contains(label, '-') AS hyphen FROM v_suffix)
+SELECT s_suppkey AS input_row_id, try_url FROM (SELECT s_suppkey, unnest(list_distinct(list_filter(['http://' || host || '/',
+  CASE WHEN hyphen AND short <> '' THEN 'http://' || short || '.' || suffix || '/' END, CASE WHEN suffix = 'de' THEN 'http://' || label || '.com/' END,
+  CASE WHEN hyphen AND short <> '' AND suffix = 'de' THEN 'http://' || short || '.com/' END], lambda x: x IS NOT NULL))) AS try_url FROM v)""")
+def _(spark, sf):
+    rows = suffix_hosts(spark, sf).select(F.col("s_suppkey").alias("input_row_id"), F.concat(F.lit("http://"), "host", F.lit("/")).alias("url"))
+    rules = spark.createDataFrame([(r,) for r in SUFFIX_RULES], "rule string")
+    return suffixes.entry_variants(rows, rules).select("input_row_id", "try_url")
+
+
 @query("U8_source_path", f"""SELECT page_id, CASE WHEN p = '' THEN '/' ELSE p END AS source_path FROM (
   SELECT page_id, regexp_replace(regexp_extract(url, '^https?://[^/?#]*([^#]*)', 1), '[?]$', '') AS p FROM pages)""")
 def _(spark, sf):

@@ -42,7 +42,7 @@ class Settings:
 
 
 def admitted(rows: DataFrame, log: DataFrame, robots: DataFrame | None,
-             known_hosts: DataFrame | None) -> DataFrame:
+             known_hosts: DataFrame | None, suffix_rules: DataFrame | None = None) -> DataFrame:
     """Clean the given URLs and decide which entry URL each row is crawled from.
     ``log``: result of ``crawl.fetch_log``."""
     cleaned = computed(rows, clean_url=urls.clean_url(F.col("given_url")))
@@ -59,7 +59,7 @@ def admitted(rows: DataFrame, log: DataFrame, robots: DataFrame | None,
         cleaned = cleaned.withColumn("allowed", F.lit(True))
     tried = crawl.first_resolving_entry(
         cleaned.filter(F.col("start_url").isNotNull() & F.coalesce("allowed", F.lit(True))),
-        log.select("url", "status_code", "has_content"), "start_url")
+        log.select("url", "status_code", "has_content"), "start_url", rules=suffix_rules)
     picked = tried.select("input_row_id", F.col("entry_url"))
     return stored(cleaned.join(picked, "input_row_id", "left"), "admitted")
 
@@ -67,15 +67,17 @@ def admitted(rows: DataFrame, log: DataFrame, robots: DataFrame | None,
 def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
         robots: DataFrame | None = None, known_hosts: DataFrame | None = None,
         labeler: Callable[[DataFrame], DataFrame] | None = None,
-        tasks: DataFrame | None = None) -> dict[str, DataFrame]:
+        tasks: DataFrame | None = None, suffix_rules: DataFrame | None = None) -> dict[str, DataFrame]:
     """All reports of a run.
 
     ``rows(input_row_id, company_name, given_url, given_phone, description,
     target_countries, logged_at)``, ``fetches(url, status_code, landed_url, html)``.
     ``labeler`` maps request slots to a response table; without one a key word rule labels
-    the candidates as they are. ``tasks(task, seconds)``: measured times, if any."""
+    the candidates as they are. ``tasks(task, seconds)``: measured times, if any.
+    ``suffix_rules(rule)``: public suffixes, for the domains that entry variants try."""
     s = settings
-    start = admitted(rows, crawl.fetch_log(fetches), robots, known_hosts)
+    left_out: dict[str, DataFrame] = {}  # what given limits leave out, as tables
+    start = admitted(rows, crawl.fetch_log(fetches), robots, known_hosts, suffix_rules)
     to_crawl = start.filter(F.col("entry_url").isNotNull()).select("input_row_id", "entry_url")
     pages, crawled = crawl.crawl_stored(to_crawl, fetches, s.rules, s.max_depth, s.max_pages,
                                         s.bypass_score, s.bypass_pages)
@@ -101,14 +103,18 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
         F.col("company_name").alias("company"), "input_row_id", "depth", "score", "link_ord")
     cands = cd.phone_candidates(texts, F.col("region"), s.snippet_window)
     if s.identical_per_page is not None:
-        cands = cd.cap_identical(cands, limit=s.identical_per_page)
+        all_cands = stored(cands, "all_candidates")
+        left_out["candidates_beyond_cap"] = cd.beyond_cap(all_cands, s.identical_per_page)
+        cands = cd.cap_identical(all_cands, s.identical_per_page)
     cands = stored(cands.withColumn("source_url", F.col("page_url")), "candidates")
 
     order = ["input_row_id", "depth", F.col("score").desc(), "link_ord", "match_ord"]
     if labeler is None:
         labelled = stored(lb.rule_labelled(cands), "labelled")
     else:
-        slots = stored(lb.request_slots(cands, "pathful_url", order, s.chunk, s.max_chunks), "slots")
+        slots = stored(lb.request_slots(cands, "pathful_url", order, max_chunks=s.max_chunks, chunk=s.chunk), "slots")
+        if s.max_chunks is not None:
+            left_out["candidates_not_requested"] = lb.not_requested(cands, "pathful_url", order, max_chunks=s.max_chunks, chunk=s.chunk)
         responses = stored(labeler(slots), "responses")
         labelled = stored(lb.reconcile(slots, responses, s.max_retries), "labelled")
     seen = F.struct("input_row_id", "depth", (-F.col("score")).alias("score"), "link_ord", "match_ord")
@@ -147,7 +153,7 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
     if labeler is not None:
         reports["responses"] = sinks.response_archive(
             responses.join(slots.select("request_id", "pathful_url", "chunk").distinct(), "request_id"))
-    return reports
+    return reports | left_out
 
 
 def site_table(entries: DataFrame, pages: DataFrame, cands: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -210,13 +216,15 @@ def main() -> None:
     p.add_argument("--fetches", required=True)
     p.add_argument("--robots")
     p.add_argument("--hosts")
+    p.add_argument("--suffix-rules")
     p.add_argument("--out", required=True)
     p.add_argument("--run-id", required=True)
     a = p.parse_args()
     spark = SparkSession.builder.appName("callsheet").getOrCreate()
     read = lambda path: spark.read.parquet(path) if path else None
     rows = stored(input_rows(spark, a.rows, a.profile, a.row_range, a.stop_after_blank, a.run_id), "input")
-    write_all(run(rows, read(a.fetches), Settings(run_id=a.run_id), read(a.robots), read(a.hosts)),
+    write_all(run(rows, read(a.fetches), Settings(run_id=a.run_id), read(a.robots), read(a.hosts),
+                  suffix_rules=read(a.suffix_rules)),
               a.out, a.run_id)
 
 

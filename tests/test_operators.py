@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from callsheet import dims
 from callsheet.operators import candidates as cd, contacts as ct, crawl, duplicates as dp, labels as lb
-from callsheet.operators.paging import paged, side_by_side, with_pages
+from callsheet.operators.paging import paged, positions, side_by_side, with_pages
 from callsheet.operators.skew import ranked
 from callsheet.sources import tables
 
@@ -240,3 +240,40 @@ def test_profile_of_empty_and_tied_columns(spark):
     df = spark.createDataFrame([(1, "b", None), (1, "a", None), (2, "a", None), (None, "b", None)], "n int, s string, e string")
     got = {r.column: (r.filled, r.distinct, r.top, r.top_n) for r in analysis.profile(df, ["n"], ["s", "e"]).collect()}
     assert got == {"n": (3, 2, "1", 2), "s": (4, 2, "a", 2), "e": (0, 0, None, None)}
+
+
+def test_public_suffix_rules(spark):
+    from callsheet.operators import suffixes
+
+    rules = spark.createDataFrame([(r,) for r in ("com", "uk", "co.uk", "*.ck", "!www.ck", "*.kobe.jp", "!city.kobe.jp", "jp", " co.UK ", "", None)], "rule string")
+    want = {"a.com": ("com", "a"), "b.a.co.uk": ("co.uk", "a"), "co.uk": ("co.uk", None), "uk": ("uk", None), "x.ck": ("x.ck", None), "ck": ("ck", None),
+            "y.x.ck": ("x.ck", "y"), "www.ck": ("ck", "www"), "z.www.ck": ("ck", "www"), "a.city.kobe.jp": ("kobe.jp", "city"), "c.d.kobe.jp": ("d.kobe.jp", "c"),
+            "kobe.jp": ("jp", "kobe"), "n.unknown": ("unknown", "n"), "localhost": ("localhost", None), "A.Co.Uk.": ("co.uk", "a")}
+    hosts = spark.createDataFrame([(h,) for h in [*want, "a.com", "", None]], "host string")
+    got = {r.host: (r.suffix, r.label) for r in suffixes.public_suffixes(hosts, rules).collect()}
+    assert got == want
+    assert suffixes.public_suffixes(hosts, rules.limit(0)).filter("host = 'b.a.co.uk'").first().suffix == "uk"
+    rows = spark.createDataFrame([(1, "http://a-b.co.uk/x"), (2, "http://a-b.de/"), (3, "http://www.ck/"), (4, None), (5, "http://c-d.x.ck/")], "input_row_id int, url string")
+    tries = {}
+    for r in suffixes.entry_variants(rows, rules).orderBy("input_row_id", "pos").collect():
+        tries.setdefault(r.input_row_id, []).append(r.try_url)
+    assert tries[1] == ["http://a-b.co.uk/x", "http://a.co.uk/x"] and tries[5] == ["http://c-d.x.ck/", "http://c.x.ck/"]
+    assert tries[2] == ["http://a-b.de/", "http://a.de/", "http://a-b.com/", "http://a.com/"] and tries[3] == ["http://www.ck/"] and tries[4] == [None]
+
+
+def test_positions_and_what_limits_leave_out(spark):
+    rng = random.Random(4)
+    rows = [("hot", i) for i in range(3000)] + [("cold", 5), ("cold", 3), (None, 1), (None, 2)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "site string, n int").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.site, r.n): r.position for r in positions(df, ["site"], [F.col("n").desc()]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {("hot", i): 2999 - i for i in range(3000)} | {("cold", 5): 0, ("cold", 3): 1, (None, 2): 0, (None, 1): 1}
+    kept = lb.request_slots(df, "site", ["n"], max_chunks=2, chunk=3).select("site", "n").collect()
+    left = lb.not_requested(df, "site", ["n"], max_chunks=2, chunk=3).select("site", "n").collect()
+    whole = lb.request_slots(df, "site", ["n"], max_chunks=None, chunk=3).collect()
+    assert len(kept) == 10 and sorted(map(tuple, kept + left), key=str) == sorted(rows, key=str)
+    assert all(r.n == 3 * r.chunk + r.pos for r in whole if r.site == "hot") and len(whole) == len(rows)
