@@ -69,6 +69,61 @@ def e164_or_null(c: Column, region) -> Column:
     return F.concat(F.lit("+"), international_digits(c, region))
 
 
+def numbers_in_run(raw: Column, region, most: int = 64, span: int = 10) -> Column:
+    """Valid numbers inside a run that is none itself: ``raw, offset, number`` in order.
+
+    A dynamic program over the run's digit groups: the best cover of the first groups is that
+    of fewer groups and a valid number behind, or a group left out. More digits win, then
+    fewer numbers, then more that begin like one (with 0, + or a parenthesis), then the later
+    beginning. A number has at most ``span`` groups; a run of
+    more than ``most`` groups is a table of figures and holds none."""
+    token = "[+(]{0,2}[0-9]+"
+    parts = F.struct(F.regexp_extract_all(raw, F.lit(token), F.lit(0)).alias("tokens"), F.split(raw, token, -1).alias("gaps"))
+
+    def placed(p: Column) -> Column:
+        """Offset and end of each group, and the digits up to its end."""
+        total = lambda a, n: F.aggregate(F.slice(a, F.lit(1), n), F.lit(0), lambda s, x: s + F.length(x))
+        figures = lambda n: F.aggregate(F.slice(p["tokens"], F.lit(1), n), F.lit(0), lambda s, x: s + F.length(F.translate(x, "+(", "")))
+        return F.transform(p["tokens"], lambda t, i: F.struct(
+            (total(p["gaps"], i + 1) + total(p["tokens"], i)).alias("a"), (total(p["gaps"], i + 1) + total(p["tokens"], i + 1)).alias("z"),
+            figures(i).alias("before"), figures(i + 1).alias("digits")))
+
+    def solved(groups: Column) -> Column:
+        piece = lambda j, i: F.substring(raw, F.get(groups, j)["a"] + 1, F.get(groups, i)["z"] - F.get(groups, j)["a"])
+        state = lambda cover, count, marks, begin: F.struct(cover.alias("cover"), count.alias("count"), marks.alias("marks"), begin.alias("begin"))
+
+        def step(best: Column, i: Column) -> Column:
+            def option(j: Column) -> Column:
+                n = F.get(groups, i)["digits"] - F.get(groups, j)["before"]
+                good = F.when(n.between(7, 17), e164_or_null(piece(j, i), region).isNotNull()).otherwise(False)
+                marked = F.substring(raw, F.get(groups, j)["a"] + 1, 1).isin("0", "+", "(").cast("int")
+                return F.when(good, state(F.get(best, j)["cover"] + n, F.get(best, j)["count"] - 1, F.get(best, j)["marks"] + marked, j))
+
+            skip = state(F.get(best, i)["cover"], F.get(best, i)["count"], F.get(best, i)["marks"], F.lit(-1))
+            options = F.transform(F.sequence(F.greatest(i - (span - 1), F.lit(0)), i), option)
+            return F.concat(best, F.array(F.array_max(F.concat(options, F.array(skip)))))
+
+        n = F.size(groups)
+        table = F.aggregate(F.sequence(F.lit(0), n - 1), F.array(state(F.lit(0), F.lit(0), F.lit(0), F.lit(-1))), step)
+
+        def back(best: Column) -> Column:
+            begin = F.struct(n.alias("at"), F.array().cast("array<struct<j:int,i:int>>").alias("found"))
+
+            def walk(acc: Column, i: Column) -> Column:
+                j = F.get(best, i)["begin"]
+                taken = F.struct(j.alias("at"), F.concat(acc["found"], F.array(F.struct(j.alias("j"), (i - 1).alias("i")))).alias("found"))
+                passed = F.struct((i - 1).alias("at"), acc["found"].alias("found"))
+                return F.when(acc["at"] != i, acc).when(j >= 0, taken).otherwise(passed)
+
+            return F.aggregate(F.sequence(n, F.lit(1), F.lit(-1)), begin, walk, lambda acc: F.reverse(acc["found"]))
+
+        return F.transform(let(table, back), lambda s: let(piece(s["j"], s["i"]), lambda r: F.struct(
+            r.alias("raw"), F.get(groups, s["j"])["a"].alias("offset"), e164_or_null(r, region).alias("number"))))
+
+    none = F.array().cast("array<struct<raw:string,offset:int,number:string>>")
+    return let(parts, lambda p: F.when(F.size(p["tokens"]).between(2, most), let(placed(p), solved)).otherwise(none))
+
+
 def e164(c: Column, region=None) -> Column:
     """E.164 form; ``InvalidFormat`` when not a valid number, NULL when empty."""
     return F.when(c != "", F.coalesce(e164_or_null(c, region), F.lit("InvalidFormat")))

@@ -18,13 +18,19 @@ def scan_region(codes) -> "F.Column":
 
 
 def _matches(text: Column, region) -> Column:
-    """Dialable runs of a text that read as valid numbers, with their place among all runs."""
+    """Dialable runs of a text that read as valid numbers, with their place among all runs. A
+    run that is no number itself may hold two or more, which share its place."""
+    def match(i: Column, raw: Column, start: Column, number: Column) -> Column:
+        return F.struct(i.alias("match_ord"), raw.alias("raw"), start.alias("match_start"),
+                        (start + F.length(raw)).alias("match_end"), number.alias("number"))
+
     def tested(r: Column, i: Column) -> Column:
-        number = F.when(phones.is_dialable_run(r["raw"], r["before"], r["after"]), phones.e164_or_null(r["raw"], region))
-        return F.struct(i.alias("match_ord"), r["raw"].alias("raw"), r["start"].alias("match_start"),
-                        (r["start"] + F.length(r["raw"])).alias("match_end"), number.alias("number"))
+        whole = lambda number: F.when(number.isNotNull(), F.array(match(i, r["raw"], r["start"], number))).otherwise(F.transform(
+            let(phones.numbers_in_run(r["raw"], region), lambda all_: F.filter(all_, lambda n: F.size(all_) > 1)),
+            lambda n: match(i, n["raw"], r["start"] + n["offset"], n["number"])))
+        return F.when(phones.is_dialable_run(r["raw"], r["before"], r["after"]), let(phones.e164_or_null(r["raw"], region), whole))
 
-    return F.filter(F.transform(phones.digit_runs(text), tested), lambda m: m["number"].isNotNull())
+    return F.flatten(F.filter(F.transform(phones.digit_runs(text), tested), lambda m: m.isNotNull()))
 
 
 def _with_snippets(text: Column, matches: Column, half: int) -> Column:

@@ -112,6 +112,19 @@ v_capped AS (
   WHERE rn <= 3)"""
 
 
+@query("P1_neighbouring_numbers", """SELECT o_orderkey, unnest(CASE o_orderkey % 4 WHEN 1 THEN ['+4930' || a, '+431' || b]
+    ELSE ['+4930' || a, '+4930' || b] END) AS number FROM (
+  SELECT o_orderkey, (2000000 + o_orderkey * 7 % 1000000)::VARCHAR AS a, (3000000 + o_orderkey * 11 % 1000000)::VARCHAR AS b FROM orders
+)""")
+def _(spark, sf):
+    """Two numbers side by side, parted by blanks only; the SQL knows them from how the texts are made."""
+    k = F.col("o_orderkey")
+    a, c = (F.lit(2000000) + k * 7 % 1000000).cast("string"), (F.lit(3000000) + k * 11 % 1000000).cast("string")
+    text = F.when(k % 4 == 1, F.format_string("+49 30 %s 0043 1 %s", a, c)).otherwise(F.format_string("030 %s 030 %s", a, c))
+    texts = b.table(spark, sf, "orders").select("o_orderkey", text.alias("text"))
+    return cd.phone_matches(texts, "DE").select("o_orderkey", "number")
+
+
 @query("P7_candidates", s.with_(V_CAND) + "SELECT page_url, match_ord, number, snippet, company FROM v_cand")
 def _(spark, sf):
     return cd.phone_candidates(b.texts(spark, sf)).select("page_url", "match_ord", "number", "snippet", "company")

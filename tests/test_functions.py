@@ -249,3 +249,43 @@ def test_csv_by_many_tasks_equals_one(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_numbers_inside_a_run_against_every_split(spark):
+    """The dynamic program against all ways to cut a run of groups into numbers and rest."""
+    import re
+
+    rng = random.Random(9)
+    runs = ["030 2468105 030 2468207", "030 2468105 7 030 2468207", "2024 030 2468105 / 030 2468207 11", "+49 30 2468105 0043 1 5551234", "1 2 3 4 5 6 7", "999"]
+    runs += [rng.choice(" -./").join("".join(rng.choice("0123456789") for _ in range(rng.choice((1, 2, 3, 4, 7, 8)))) for _ in range(rng.randint(2, 7))) for _ in range(120)]
+    runs += [("030 " + r) for r in runs[6:46]]
+    pieces = sorted({r[a.start():z.end()] for r in runs for a in re.finditer("[+(]{0,2}[0-9]+", r) for z in re.finditer("[+(]{0,2}[0-9]+", r) if z.start() >= a.start()})
+    valid = {r.t: r.n for r in spark.createDataFrame([(p,) for p in pieces], "t string").select("t", phones.e164_or_null(F.col("t"), "DE").alias("n")).collect()}
+
+    def best(run):
+        groups = [(m.start(), m.end()) for m in re.finditer("[+(]{0,2}[0-9]+", run)]
+
+        def tail(i):
+            """All (digits, -numbers, marked beginnings, cuts) of the groups from i on."""
+            if i == len(groups):
+                return [(0, 0, 0, ())]
+            out = tail(i + 1)
+            for j in range(i, min(i + 10, len(groups))):
+                text = run[groups[i][0]:groups[j][1]]
+                n = len(re.sub("[^0-9]", "", text))
+                if 7 <= n <= 17 and valid[text]:
+                    out += [(n + d, c - 1, m + (text[0] in "0+("), ((groups[i][0], text, valid[text]), *cuts)) for d, c, m, cuts in tail(j + 1)]
+            return out
+
+        return max((d, c, m) for d, c, m, _ in tail(0)) if len(groups) > 1 else (0, 0, 0)
+
+    df = spark.createDataFrame([(r,) for r in runs], "t string").select("t", phones.numbers_in_run(F.col("t"), "DE").alias("found"))
+    for r in df.collect():
+        ends = 0
+        for f in r.found:
+            assert r.t[f.offset:f.offset + len(f.raw)] == f.raw and valid[f.raw] == f.number and f.offset >= ends
+            ends = f.offset + len(f.raw)
+        assert (sum(len(re.sub("[^0-9]", "", f.raw)) for f in r.found), -len(r.found),
+                sum(f.raw[0] in "0+(" for f in r.found)) == best(r.t), r.t
+    first = df.filter(F.col("t") == runs[0]).first().found
+    assert [f.number for f in first] == ["+49302468105", "+49302468207"]
