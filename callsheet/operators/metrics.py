@@ -79,6 +79,13 @@ def task_durations(tasks: DataFrame) -> DataFrame:
     ).withColumn("seconds_per_item", average(F.col("seconds"), F.col("items")))
 
 
+def durations(measured: DataFrame, tasks: DataFrame | None = None) -> DataFrame:
+    """Seconds and mean per item of the run's own stages (``task, seconds, items``) and of
+    ``tasks``, an event table of times measured elsewhere, if given."""
+    own = measured.withColumn("seconds_per_item", average(F.col("seconds"), F.col("items")))
+    return own if tasks is None else own.unionByName(task_durations(tasks))
+
+
 def _long(df: DataFrame, section: str, metrics: list[str] | None = None) -> DataFrame:
     """Columns of a one-row table as metric rows."""
     names = metrics or df.columns
@@ -99,7 +106,7 @@ def run_metrics(rows: DataFrame, outcome_rows: DataFrame, attrition: DataFrame,
                 durations: DataFrame | None = None) -> DataFrame:
     """All metrics of a run. Every part is a small aggregate; only those are united.
     ``items``, ``tokens``: one-row results of ``item_counts`` and ``token_totals``;
-    ``durations``: result of ``task_durations``."""
+    ``durations``: result of ``durations`` or ``task_durations``."""
     parts = [
         _long(duplicate_profile(rows), "input_duplicates"),
         _long(attrition_duplicates(attrition), "attrition_duplicates"),

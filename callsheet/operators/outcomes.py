@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from callsheet import dims
 from callsheet.functions import urls
+from callsheet.functions.stages import computed
 from callsheet.functions.text import one_line
 
 SUCCESS = "Contact_Successfully_Extracted"
@@ -164,8 +165,39 @@ FAILURE_COLUMNS = ["log_timestamp", "input_row_identifier", "CompanyName", "Give
                    "Associated_Pathful_Canonical_URL"]
 
 
-def failure_events(entries: DataFrame, sites: DataFrame) -> DataFrame:
-    """One row per failed stage: bad URL, failed scrape, failed label exchange.
+def readable(c: Column) -> Column:
+    """Whether a cell holds valid text; a null cell does."""
+    return c.isNull() | F.is_valid_utf8(c)
+
+
+def row_errors(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Input rows that cannot be processed, with what is wrong, and the rows without them.
+    Wrong are a missing row id and cells that are no valid text; nothing is raised."""
+    texts = [f.name for f in rows.schema.fields if f.dataType.typeName() == "string"]
+    bad = F.array_compact(F.array(*[F.when(~readable(F.col(f"`{t}`")), F.lit(t)) for t in texts])) if texts else F.array().cast("array<string>")
+    reason = F.when(F.col("input_row_id").isNull(), F.struct(F.lit("MissingRowId").alias("type"), F.lit("the row has no id").alias("message"))).when(
+        F.size(bad) > 0, F.struct(F.lit("InvalidText").alias("type"), F.concat(F.lit("not valid UTF-8: "), F.array_join(bad, ", ")).alias("message")))
+    told = computed(rows, _error=reason)
+    plain = lambda name: F.try_validate_utf8(F.col(name)).alias(name)
+    wrong = told.filter(F.col("_error").isNotNull()).select(
+        "input_row_id", plain("company_name"), plain("given_url"), "logged_at", F.lit(None).cast("string").alias("pathful_url"),
+        F.col("_error.type").alias("exception_type"), F.col("_error.message").alias("exception_message"))
+    return wrong, told.filter(F.col("_error").isNull()).drop("_error")
+
+
+def page_errors(visited: DataFrame, fetches: DataFrame, source: str = "html") -> DataFrame:
+    """Visited pages (``input_row_id, pathful_url, link_url, landed_url``) whose stored source
+    is no valid text. Sources are only tested where they lie; what moves are page URLs."""
+    unreadable = fetches.filter(~readable(F.col(source))).select(F.col("url").alias("link_url")).distinct()
+    return visited.join(unreadable, "link_url").select(
+        "input_row_id", "pathful_url", F.col("landed_url").alias("file_path"), F.lit("not valid UTF-8").alias("exception"))
+
+
+def failure_events(entries: DataFrame, sites: DataFrame, unread: DataFrame | None = None,
+                   unasked: DataFrame | None = None, faulty: DataFrame | None = None) -> DataFrame:
+    """One row per failed stage: bad URL, failed scrape, failed label exchange, and given
+    their tables: pages that could not be read (``page_errors``), sites not asked for lack of
+    a template (``pathful_url, template``), rows that could not be processed (``row_errors``).
     ``entries`` carries ``clean_url`` and ``logged_at``; a site's failure is logged
     for the first row that reached it."""
     c = F.col
@@ -197,6 +229,28 @@ def failure_events(entries: DataFrame, sites: DataFrame) -> DataFrame:
                            c("error").alias("exception_message"))).alias("error_details"),
         c("pathful_url").alias("Associated_Pathful_Canonical_URL"))
     out = bad_url.unionByName(scrape).unionByName(label)
+    if unread is not None:
+        owner = entries.select("input_row_id", "logged_at", "company_name", "given_url")
+        out = out.unionByName(unread.join(owner, "input_row_id").select(
+            c("logged_at").alias("log_timestamp"), c("input_row_id").alias("input_row_identifier"), c("company_name").alias("CompanyName"),
+            F.coalesce("given_url", F.lit("")).alias("GivenURL"), F.lit("Regex_Extraction_FileReadError").alias("stage_of_failure"),
+            F.lit("Error reading scraped content file").alias("error_reason"),
+            F.to_json(F.struct("file_path", c("pathful_url").alias("canonical_url"), "exception")).alias("error_details"),
+            c("pathful_url").alias("Associated_Pathful_Canonical_URL")))
+    if unasked is not None:
+        out = out.unionByName(unasked.join(first, "pathful_url").select(
+            c("r.logged_at").alias("log_timestamp"), c("r.input_row_id").alias("input_row_identifier"), c("r.company_name").alias("CompanyName"),
+            F.coalesce("r.given_url", F.lit("")).alias("GivenURL"), F.lit("LLM_Setup_PromptTemplateMissing").alias("stage_of_failure"),
+            F.lit("LLM prompt template file not found").alias("error_reason"),
+            F.to_json(F.struct(c("pathful_url").alias("canonical_url"), F.coalesce("template", F.lit("")).alias("prompt_path"))).alias("error_details"),
+            c("pathful_url").alias("Associated_Pathful_Canonical_URL")))
+    if faulty is not None:
+        out = out.unionByName(faulty.select(
+            c("logged_at").alias("log_timestamp"), c("input_row_id").alias("input_row_identifier"), c("company_name").alias("CompanyName"),
+            F.coalesce("given_url", F.lit("")).alias("GivenURL"), F.lit("RowProcessing_Pass1_UnhandledException").alias("stage_of_failure"),
+            F.lit("Unhandled exception during Pass 1 row processing").alias("error_reason"),
+            F.to_json(F.struct("exception_type", "exception_message")).alias("error_details"),
+            F.coalesce("pathful_url", F.lit("")).alias("Associated_Pathful_Canonical_URL")))
     return out.withColumn("error_reason", one_line(c("error_reason"))).withColumn(
         "error_details", one_line(c("error_details")))
 

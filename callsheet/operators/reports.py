@@ -16,22 +16,26 @@ def report_class_rank(c: Column) -> Column:
     return F.try_element_at(m, c)
 
 
-def detailed(entries: DataFrame, facts: DataFrame, nums: DataFrame, src: DataFrame,
-             run_id: str) -> DataFrame:
-    """Input row by number and list page, for bases scraped with success. Pages are joined to the
-    numbers first, the rows last, so texts are built once per number."""
-    good = facts.filter(F.col("base_status") == "Success").select("base", "base_status")
+def detailed_rows(entries: DataFrame) -> DataFrame:
+    """One factor of the detailed report: the input rows of each base."""
+    return entries.filter(F.col("base").isNotNull()).select("base", "company_name", "target_countries")
+
+
+def detailed_numbers(facts: DataFrame, nums: DataFrame, src: DataFrame) -> DataFrame:
+    """The other factor: the numbers of each base scraped with success, with their list pages."""
+    good = facts.filter(F.col("base_status") == "Success").select("base")
     pages = contacts.number_pages(src, {"type": "LLM_Type", "source_url": "LLM_Source_URL"}, first_seen=True)
-    cells = with_pages(nums.select("base", "number", "classification").join(good, "base", "left_semi"), pages, ["base", "number"])
-    return (entries.filter(F.col("base").isNotNull())
-            .select("base", "company_name", "target_countries")
-            .join(cells, "base")
-            .select(F.col("company_name").alias("CompanyName"), F.col("number").alias("Number"),
-                    F.when(F.col("part") == 0, F.coalesce("LLM_Type", F.lit("Unknown"))).otherwise(F.col("LLM_Type")).alias("LLM_Type"),
-                    F.col("classification").alias("LLM_Classification"), "LLM_Source_URL",
-                    F.lit("Success").alias("ScrapingStatus"),
-                    F.col("target_countries").alias("TargetCountryCodes"),
-                    F.lit(run_id).alias("RunID"), "part"))
+    return with_pages(nums.select("base", "number", "classification").join(good, "base", "left_semi"), pages, ["base", "number"])
+
+
+def detailed(rows: DataFrame, numbers: DataFrame, run_id: str) -> DataFrame:
+    """Input row by number and list page: a view on the two factors, which are stored in its
+    place. It is as large as rows times numbers of a base; the factors are rows plus numbers."""
+    return rows.join(numbers, "base").select(
+        F.col("company_name").alias("CompanyName"), F.col("number").alias("Number"),
+        F.when(F.col("part") == 0, F.coalesce("LLM_Type", F.lit("Unknown"))).otherwise(F.col("LLM_Type")).alias("LLM_Type"),
+        F.col("classification").alias("LLM_Classification"), "LLM_Source_URL", F.lit("Success").alias("ScrapingStatus"),
+        F.col("target_countries").alias("TargetCountryCodes"), F.lit(run_id).alias("RunID"), "part")
 
 
 def sort_detailed(report: DataFrame) -> DataFrame:

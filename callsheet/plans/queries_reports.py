@@ -308,6 +308,27 @@ def _(spark, sf):
     return Run(spark, sf).events
 
 
+@query("D7_all_stages", s.with_(V_EVENTS) + """SELECT stage_of_failure, input_row_identifier, error_reason, error_details, "Associated_Pathful_Canonical_URL" FROM v_events
+UNION ALL SELECT 'Regex_Extraction_FileReadError', ord, 'Error reading scraped content file',
+  '{"file_path":"' || base || '/p3","canonical_url":"' || pathful_url || '","exception":"not valid UTF-8"}', pathful_url FROM v_sites WHERE pages > 2
+UNION ALL SELECT 'LLM_Setup_PromptTemplateMissing', ord, 'LLM prompt template file not found',
+  '{"canonical_url":"' || pathful_url || '","prompt_path":""}', pathful_url FROM v_sites WHERE candidates = 5
+UNION ALL SELECT 'RowProcessing_Pass1_UnhandledException', input_row_id, 'Unhandled exception during Pass 1 row processing',
+  '{"exception_type":"InvalidText","exception_message":"not valid UTF-8: company_name"}', '' FROM v_entries WHERE company_name IS NULL""")
+def _(spark, sf):
+    """All six stages: pages of three were not readable, sites of five candidates had no template, rows without a name were faulty."""
+    run = Run(spark, sf)
+    none = F.lit(None).cast("string")
+    unread = run.sites.filter("pages > 2").select(F.col("ord").alias("input_row_id"), "pathful_url", F.concat("base", F.lit("/p3")).alias("file_path"),
+                                                  F.lit("not valid UTF-8").alias("exception"))
+    unasked = run.sites.filter("candidates = 5").select("pathful_url", none.alias("template"))
+    # Names that are missing stand for names whose bytes are no text.
+    named = b.entries(spark, sf).withColumn("company_name", F.coalesce("company_name", F.unhex(F.lit("ff")).cast("string")))
+    faulty, _ = oc.row_errors(named.select("input_row_id", "company_name", "given_url", "logged_at"))
+    events = oc.failure_events(run.entries, run.sites, unread, unasked, faulty)
+    return events.select("stage_of_failure", "input_row_identifier", "error_reason", "error_details", "Associated_Pathful_Canonical_URL")
+
+
 @query("R9_failed_rows", s.with_(V_EVENTS) + """
 SELECT *, CASE WHEN stage_of_failure LIKE 'Scraping%' THEN 'Scraping' WHEN stage_of_failure LIKE 'LLM%' THEN 'LLM'
   ELSE 'URL Validation' END AS failure_group FROM v_events""")
@@ -468,13 +489,24 @@ LEFT JOIN u ON u.base = n.base AND u.number = n.number AND u.part = p.part"""
 @query("R1_detailed", DETAILED_SQL)
 def _(spark, sf):
     run = Run(spark, sf)
-    return rp.detailed(run.entries, run.journey, run.numbers, run.sources, RUN)
+    return rp.detailed(rp.detailed_rows(run.entries), rp.detailed_numbers(run.journey, run.numbers, run.sources), RUN)
+
+
+@query("R1_detailed_factors", s.with_(V_FACTS) + """, t AS (SELECT base, count(*) AS n_rows FROM v_entries WHERE base IS NOT NULL GROUP BY base)
+SELECT n.base, n.number, n.classification, t.n_rows FROM v_numbers n JOIN v_facts f ON f.base = n.base AND base_status = 'Success'
+LEFT JOIN t ON t.base = n.base""")
+def _(spark, sf):
+    """What is stored in place of the report, with the rows that each number is shown for."""
+    run = Run(spark, sf)
+    per_base = rp.detailed_rows(run.entries).groupBy("base").agg(F.count(F.lit(1)).alias("n_rows"))
+    numbers = rp.detailed_numbers(run.journey, run.numbers, run.sources).filter("part = 0")
+    return numbers.select("base", "number", "classification").join(per_base, "base", "left")
 
 
 @query("K3_detailed_sorted", DETAILED_SQL)
 def _(spark, sf):
     run = Run(spark, sf)
-    return rp.sort_detailed(rp.detailed(run.entries, run.journey, run.numbers, run.sources, RUN))
+    return rp.sort_detailed(rp.detailed(rp.detailed_rows(run.entries), rp.detailed_numbers(run.journey, run.numbers, run.sources), RUN))
 
 
 WIDE = ", ".join(f'Top_{k}_{i} AS "Top_{k}_{i}"' for i in (1, 2, 3) for k in ("Number", "Type", "SourceURL"))

@@ -6,11 +6,12 @@
 from __future__ import annotations
 
 import argparse
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from callsheet import dims
 from callsheet.functions import html, phones, urls
@@ -37,10 +38,34 @@ class Settings:
     chunk: int = 10
     max_chunks: int | None = None
     max_retries: int = 1
+    template: str | None = dims.PROMPT_PLACEHOLDER
     region: str = dims.DEFAULT_REGION
     count_error_items: bool = False
 
 
+class Stages:
+    """Stores stages and keeps how long each took and how many rows it has."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.measured = spark, []
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        seen, started = Observation(name), time.monotonic()
+        out = stored(df.observe(seen, F.count(F.lit(1)).alias("items")), name)
+        self.measured.append((name, time.monotonic() - started, seen.get["items"]))
+        return out
+
+    def timed(self, name: str, made, *args, **options):
+        """A step that stores its own stages; it has no item count."""
+        started = time.monotonic()
+        out = made(*args, **options)
+        self.measured.append((name, time.monotonic() - started, None))
+        return out
+
+    def table(self) -> DataFrame:
+        return self.spark.createDataFrame(self.measured, "task string, seconds double, items long")
+
+
 def admitted(rows: DataFrame, log: DataFrame, robots: DataFrame | None,
              known_hosts: DataFrame | None, suffix_rules: DataFrame | None = None) -> DataFrame:
     """Clean the given URLs and decide which entry URL each row is crawled from.
@@ -73,13 +98,17 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
     ``rows(input_row_id, company_name, given_url, given_phone, description,
     target_countries, logged_at)``, ``fetches(url, status_code, landed_url, html)``.
     ``labeler`` maps request slots to a response table; without one a key word rule labels
-    the candidates as they are. ``tasks(task, seconds)``: measured times, if any.
+    the candidates as they are. ``tasks(task, seconds)``: times measured elsewhere, beside
+    those that the run measures itself. ``detailed`` is a view on ``detailed_rows`` and
+    ``detailed_numbers``, which are written in its place.
     ``suffix_rules(rule)``: public suffixes, for the domains that entry variants try."""
     s = settings
     left_out: dict[str, DataFrame] = {}  # what given limits leave out, as tables
-    start = admitted(rows, crawl.fetch_log(fetches), robots, known_hosts, suffix_rules)
+    stage = Stages(rows.sparkSession)
+    faulty, rows = oc.row_errors(rows)
+    start = stage.timed("admitted", admitted, rows, crawl.fetch_log(fetches), robots, known_hosts, suffix_rules)
     to_crawl = start.filter(F.col("entry_url").isNotNull()).select("input_row_id", "entry_url")
-    pages, crawled = crawl.crawl_stored(to_crawl, fetches, s.rules, s.max_depth, s.max_pages,
+    pages, crawled = stage.timed("crawl", crawl.crawl_stored, to_crawl, fetches, s.rules, s.max_depth, s.max_pages,
                                         s.bypass_score, s.bypass_pages)
     entries = start.join(crawled.select("input_row_id", "status", "pathful_url", "pages"), "input_row_id", "left")
     status = (F.when(F.col("start_url").isNull(), F.lit("InvalidURL"))
@@ -87,7 +116,7 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
               .otherwise(F.coalesce("status", F.lit("Unknown"))))
     entries = entries.withColumn("status", status).withColumn(
         "attempted", F.coalesce("pathful_url", F.when(F.col("status") != "InvalidURL", F.col("start_url"))))
-    entries = stored(computed(entries, base=urls.base_domain(F.col("attempted")),
+    entries = stage.stored(computed(entries, base=urls.base_domain(F.col("attempted")),
                               normalized_phone=phones.e164(F.col("given_phone"), s.region))
                      .drop("pathful_url").withColumnRenamed("attempted", "pathful_url"), "entries")
 
@@ -95,7 +124,8 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
     source = crawl.page_sources(fetches, pages).drop("landed_url")
     owner = entries.select("input_row_id", "pathful_url", "base", "company_name",
                            F.array_join(country_list(F.col("target_countries")), ",").alias("codes"))
-    visited = pages.join(owner, "input_row_id").join(source, "link_url")
+    unread = oc.page_errors(pages.join(entries.select("input_row_id", "pathful_url"), "input_row_id"), fetches)
+    visited = pages.join(owner, "input_row_id").join(source.filter(oc.readable(F.col("html"))), "link_url")
     texts = computed(visited, text=html.html_text(F.col("html")),
                      page_type=urls.page_type(F.col("landed_url")),
                      region=cd.scan_region(F.split("codes", ","))).select(
@@ -103,39 +133,44 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
         F.col("company_name").alias("company"), "input_row_id", "depth", "score", "link_ord")
     cands = cd.phone_candidates(texts, F.col("region"), s.snippet_window)
     if s.identical_per_page is not None:
-        all_cands = stored(cands, "all_candidates")
+        all_cands = stage.stored(cands, "all_candidates")
         left_out["candidates_beyond_cap"] = cd.beyond_cap(all_cands, s.identical_per_page)
         cands = cd.cap_identical(all_cands, s.identical_per_page)
-    cands = stored(cands.withColumn("source_url", F.col("page_url")), "candidates")
+    cands = stage.stored(cands.withColumn("source_url", F.col("page_url")), "candidates")
 
     order = ["input_row_id", "depth", F.col("score").desc(), "link_ord", "match_ord"]
+    unasked = None
+    if labeler is not None and not (s.template or "").strip():
+        unasked = cands.select("pathful_url", F.lit(s.template).alias("template")).distinct()
+        cands = cands.limit(0)
     if labeler is None:
-        labelled = stored(lb.rule_labelled(cands), "labelled")
+        labelled = stage.stored(lb.rule_labelled(cands), "labelled")
     else:
-        slots = stored(lb.request_slots(cands, "pathful_url", order, max_chunks=s.max_chunks, chunk=s.chunk), "slots")
+        slots = stage.stored(lb.request_slots(cands, "pathful_url", order, max_chunks=s.max_chunks, chunk=s.chunk), "slots")
         if s.max_chunks is not None:
             left_out["candidates_not_requested"] = lb.not_requested(cands, "pathful_url", order, max_chunks=s.max_chunks, chunk=s.chunk)
-        responses = stored(labeler(slots), "responses")
-        labelled = stored(lb.reconcile(slots, responses, s.max_retries), "labelled")
+        responses = stage.stored(labeler(slots), "responses")
+        labelled = stage.stored(lb.reconcile(slots, responses, s.max_retries), "labelled")
     seen = F.struct("input_row_id", "depth", (-F.col("score")).alias("score"), "link_ord", "match_ord")
     items = ct.usable_items(labelled.withColumn("ord", seen), s.count_error_items)
-    found = stored(ct.source_facts(items), "source_facts")
-    nums, src = stored(ct.numbers(found), "numbers"), ct.sources(found)
+    found = stage.stored(ct.source_facts(items), "source_facts")
+    nums, src = stage.stored(ct.numbers(found), "numbers"), ct.sources(found)
 
     page_rows = pages.join(entries.select("input_row_id", "base", "pathful_url"), "input_row_id").select(
         "base", "pathful_url", F.col("landed_url").alias("page_url"),
         urls.page_type(F.col("landed_url")).alias("page_type"))
-    sites = stored(site_table(entries, page_rows, cands, labelled), "sites")
-    facts = stored(jn.journey(entries, page_rows, sites, nums), "journey")
-    out = stored(oc.row_outcomes(entries, facts), "outcomes")
+    sites = stage.stored(site_table(entries, page_rows, cands, labelled), "sites")
+    facts = stage.stored(jn.journey(entries, page_rows, sites, nums), "journey")
+    out = stage.stored(oc.row_outcomes(entries, facts), "outcomes")
     domains = oc.domain_outcomes(facts)
-    events = oc.failure_events(entries, sites)
-    lost = stored(rp.attrition(rp.with_label_error(out, sites), facts, entries), "attrition")
-    summary = stored(rp.summary(out, nums, src, s.run_id), "summary")
-    final = stored(rp.final_contacts(entries, facts, nums, src, ct.original_urls(src)), "final")
+    events = oc.failure_events(entries, sites, unread, unasked, faulty)
+    lost = stage.stored(rp.attrition(rp.with_label_error(out, sites), facts, entries), "attrition")
+    summary = stage.stored(rp.summary(out, nums, src, s.run_id), "summary")
+    final = stage.stored(rp.final_contacts(entries, facts, nums, src, ct.original_urls(src)), "final")
     original = rows.select("input_row_id", "company_name", "given_url", "given_phone", "description")
+    factors = {"detailed_rows": rp.detailed_rows(entries), "detailed_numbers": stage.stored(rp.detailed_numbers(facts, nums, src), "detailed_numbers")}
     reports = {
-        "detailed": rp.detailed(entries, facts, nums, src, s.run_id),
+        "detailed": rp.detailed(*factors.values(), s.run_id),
         "summary": summary,
         "final_contacts": final,
         "processed_contacts": rp.processed_contacts(final),
@@ -148,12 +183,12 @@ def run(rows: DataFrame, fetches: DataFrame, settings: Settings = Settings(),
     reports["failed_rows"] = events
     reports["run_metrics"] = mt.run_metrics(
         rows, out, lost, domains, events, page_rows, sites, sizes, lb.item_counts(labelled),
-        None if labeler is None else lb.token_totals(responses), None if tasks is None else mt.task_durations(tasks))
+        None if labeler is None else lb.token_totals(responses), mt.durations(stage.table(), tasks))
     reports["requests"] = sinks.request_archive(cands)
     if labeler is not None:
         reports["responses"] = sinks.response_archive(
             responses.join(slots.select("request_id", "pathful_url", "chunk").distinct(), "request_id"))
-    return reports | left_out
+    return reports | factors | left_out
 
 
 def site_table(entries: DataFrame, pages: DataFrame, cands: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -175,8 +210,14 @@ def site_table(entries: DataFrame, pages: DataFrame, cands: DataFrame, labelled:
                     zero("raw_numbers"), F.when(F.col("_all_bad"), F.col("_error")).alias("error")))
 
 
+#: Reports that are read as a view on others.
+VIEWS = {"detailed"}
+
+
 def write_all(reports: dict[str, DataFrame], out: str, run_id: str) -> None:
     for name, df in reports.items():
+        if name in VIEWS:
+            continue
         sinks.write_report(df, out, name, run_id)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from callsheet.plans import catalog
 from callsheet.run import Settings, run, write_all
@@ -158,3 +159,37 @@ def test_rule_as_columns_equals_the_exchange(spark):
     both = [sorted((r.match_ord, r.number, r.asked_number, r.type, r.classification, r.answered_by) for r in df.collect())
             for df in (lb.rule_labelled(cands), lb.reconcile(slots, lb.rule_labeler(slots)))]
     assert both[0] == both[1] and len(both[0]) == 70
+
+
+def test_failures_of_pages_templates_and_rows(spark):
+    """Undecodable cells and pages, a missing id and a blank template end as events, not as errors."""
+    at = datetime.datetime(2024, 1, 1)
+    rows = spark.createDataFrame([(1, "Alpha", "http://alpha.de", None, "a", "['DE']", at), (2, "bad", "http://beta.de", None, "b", "['DE']", at),
+                                  (None, "no id", "http://gamma.de", None, "c", "['DE']", at)], ROWS)
+    broken = F.unhex(F.lit("41ff42")).cast("string")
+    rows = rows.withColumn("company_name", F.when(F.col("company_name") == "bad", broken).otherwise(F.col("company_name")))
+    fetches = spark.createDataFrame([("http://alpha.de/", 200, "http://alpha.de/", '<a href="/kontakt">Kontakt</a> 030 2468101'),
+                                     ("http://alpha.de/kontakt", 200, "http://alpha.de/kontakt", "broken"), ("http://beta.de/", 200, "http://beta.de/", "x")], FETCH)
+    fetches = fetches.withColumn("html", F.when(F.col("html") == "broken", broken).otherwise(F.col("html")))
+    out = run(rows, fetches, Settings(run_id="r1", template=" "), labeler=lambda slots: spark.createDataFrame(
+        [], "request_id string, attempt int, raw_text string, prompt_tokens long, completion_tokens long, total_tokens long"))
+    stages = {(r.stage_of_failure, r.input_row_identifier) for r in out["failed_rows"].collect()}
+    assert stages == {("Regex_Extraction_FileReadError", 1), ("LLM_Setup_PromptTemplateMissing", 1),
+                      ("RowProcessing_Pass1_UnhandledException", 2), ("RowProcessing_Pass1_UnhandledException", None)}
+    assert [r.input_row_id for r in out["summary"].collect()] == [1] and out["requests"].count() == 0
+
+
+def test_a_run_measures_its_stages(reports):
+    m = {(r.metric, r.key): r.value for r in reports["run_metrics"].filter("section = 'tasks'").collect()}
+    assert m["items", "entries"] == 7 and m["seconds", "crawl"] > 0 and m["items", "crawl"] is None
+    assert abs(m["seconds_per_item", "entries"] - m["seconds", "entries"] / 7) < 1e-9
+
+
+def test_detailed_is_a_view_on_its_factors(spark, reports, tmp_path):
+    write_all({k: reports[k] for k in ("detailed", "detailed_rows", "detailed_numbers")}, str(tmp_path), "r1")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["detailed_numbers", "detailed_rows"]
+    from callsheet.operators import reports as rp
+
+    read = lambda name: spark.read.parquet(f"{tmp_path}/{name}").drop("run_id")
+    again = rp.detailed(read("detailed_rows"), read("detailed_numbers"), "r1")
+    assert sorted(map(str, again.collect())) == sorted(map(str, reports["detailed"].collect()))
