@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from callsheet.functions.stages import stored
+
 #: Bytes that separate words.
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -29,6 +33,19 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learned: Column, fe
     return docs.select("doc_id", "text").filter(learned).join(marks if few else marks.hint("merge"), "doc_id")
 
 
+def by_place(docs: DataFrame, nulls: int) -> DataFrame:
+    """``doc_id, text, row``: each row's own columns as ``row``, and as ``doc_id`` a number that
+    orders rows by their integer id (null ids: first if ``nulls`` is -1, last if 1) and tells
+    rows of one id apart by their place in the stored table. Rows that are in no file are
+    stored first."""
+    if not docs.inputFiles():
+        docs = stored(docs, "rows")
+    at = F.pmod(F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")), F.lit(10**18)).cast("decimal(38,0)")
+    unit = F.lit(Decimal(10**18)).cast("decimal(19,0)")
+    number = F.coalesce(F.col("doc_id").cast("decimal(19,0)") * unit, F.lit(Decimal(nulls * 10**37))).cast("decimal(38,0)") + at
+    return docs.select(number.cast("decimal(38,0)").alias("doc_id"), "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def blobs(texts) -> list[bytes]:
     """UTF-8 bytes of an Arrow string column, null as empty."""
     return [b if b is not None else b"" for b in texts.cast("binary").to_pylist()]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callsheet.functions.stages import stored
 from callsheet.llm import exact_dedup, mixing, packing, quality, simhash
-from callsheet.llm.common import table
+from callsheet.llm.common import by_place, table
 
 
 def _row(docs: DataFrame):
@@ -18,30 +18,36 @@ def _row(docs: DataFrame):
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality ranking does not reject."""
+    """Documents that the quality ranking does not reject. Null and empty texts are scored
+    like any other; rows repeated whole share their score and stay or go together."""
     scored = quality.score_quality(docs, table(spark, sf_dir, "labels"), row=_row(docs))
     return scored.filter("predicted = 1").select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of equal texts."""
-    return exact_dedup.exact_dedup(docs, row=_row(docs)).filter("kept").select("row.*")
+    """One row of equal texts: the one with the largest id (null ids last in choice), of rows
+    that share it any one, also of rows repeated whole. A null text equals an empty one."""
+    return exact_dedup.exact_dedup(by_place(docs, nulls=-1), row=F.col("row")).filter("kept").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group."""
-    groups = simhash.near_duplicates(docs)
-    kept = groups.filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """One row of each near-duplicate group: the one with the smallest id, null ids last, of
+    rows that share it any one. Blank texts are one group."""
+    rows = by_place(docs, nulls=1)
+    groups = simhash.near_duplicates(rows.select("doc_id", "text"))
+    kept = groups.filter("doc_id = component_id").select("doc_id")
+    return rows.join(kept, "doc_id", "left_semi").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them; texts without words are not
+    taken, a null source is a source of its own."""
     return mixing.mixed_rows(docs)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token windows; each piece with a checksum of its ids."""
+    """Token windows; each piece with a checksum of its ids. Rows repeated by the mix are
+    packed each."""
     return packing.digests(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
@@ -52,6 +58,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of the documents that are left after all stages; an empty table gives none.
+    Other columns than ``doc_id``, ``text`` and ``source`` decide nothing and may have any name."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage_{name}")
