@@ -36,6 +36,8 @@ BEGIN, IN_LETTERS, IN_DIGITS, IN_OTHERS, AFTER_QUOTE, QUOTE_R, QUOTE_V, QUOTE_L,
 HERE, BEFORE = 1, 2
 LETTERS = (LETTER, STMD, R, V, L, E)
 CHUNK = 512
+#: Pre-tokens of more bytes are walked on their own.
+LONG = 256
 
 
 def _splitter() -> tuple[np.ndarray, np.ndarray]:
@@ -250,6 +252,8 @@ class Merger:
             raise ValueError(f"the vocabulary has no token for symbol {symbol}")
         kept = [(length + 1, last, rel - delta) for length, last, rel in entries if more[len(more) - length - 1:] in self.prefixes]
         kept.append((0, token, 0))
+        if not -32 <= delta < 32:
+            raise ValueError("a transition changes the count by more than its table holds")
         key = (more[len(more) - kept[0][0]:], tuple(kept))
         to = self.ids.get(key)
         if to is None:
@@ -275,8 +279,40 @@ class Merger:
             state[:n] = self.table[slot] >> 6
             yield n, slot
 
+    def walk(self, word: str) -> int:
+        """Tokens of one pre-token by the same transitions, taken without keeping them: a long
+        word without blanks meets hardly any of its states again."""
+        tokens, prefixes, pairs, follows = self.tokens, self.prefixes, self.pairs, self.follows
+        entries, token, count = [(0, -1, 0)], None, 0
+        for end in range(1, len(word) + 1):
+            token = None
+            kept = []
+            for entry in entries:  # the longest open prefix first
+                start, last, before = entry
+                piece = word[start:end]
+                if token is None:
+                    t = tokens.get(piece)
+                    if t is not None:
+                        good = pairs.get((last, t)) if last >= 0 else None
+                        if good or (good is None and follows(last, t)):
+                            token, count = t, before + 1
+                if piece in prefixes:
+                    kept.append(entry)
+            if token is None:
+                raise ValueError(f"the vocabulary has no token for symbol {word[end - 1]!r}")
+            kept.append((end, token, count))
+            entries = kept
+        return count
+
     def counts(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Tokens of each pre-token (without suffix)."""
+        long = np.flatnonzero(ends - starts > LONG)
+        if len(long):
+            out = np.zeros(len(starts), np.int32)
+            short = np.flatnonzero(ends - starts <= LONG)
+            out[short] = self.counts(data, starts[short], ends[short])
+            out[long] = [self.walk(data[starts[i]:ends[i]].tobytes().decode("latin-1")) for i in long]
+            return out
         size = (ends - starts).astype(np.int32)
         order = np.argsort(-size, kind="stable")
         at, total = starts[order], np.zeros(len(size), np.int32)
