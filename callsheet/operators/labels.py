@@ -11,7 +11,6 @@ from callsheet.functions.text import json_block
 from callsheet.operators.paging import positions
 
 ITEM = "struct<number:string,type:string,classification:string>"
-RESPONSE = f"struct<extracted_numbers:array<{ITEM}>>"
 ENRICHED = ("struct<extracted_numbers:array<struct<number:string,type:string,classification:string>>,"
             "additional_info:array<struct<info_type:string,value:string,associated_number:string,"
             "source_context:string,confidence:double>>,homepage_summary:string,"
@@ -94,20 +93,21 @@ def rule_labeler(slots: DataFrame) -> DataFrame:
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:
-    """Adds ``block`` (the JSON text), ``items`` and ``fault`` (NULL when usable)."""
+    """Adds ``block`` (the JSON text), ``items`` and ``fault`` (NULL when usable). The block
+    is parsed once, as a variant; items are read from that."""
     with_block = computed(responses, block=json_block(F.col("raw_text")))
-    items = F.from_json("block", RESPONSE)["extracted_numbers"]
-    parsed = computed(with_block, items=items)
+    read = computed(with_block, _json=F.try_parse_json("block"))
+    parsed = computed(read, items=F.try_variant_get("_json", "$.extracted_numbers", f"array<{ITEM}>"))
     complete = F.forall("items", lambda x: x["number"].isNotNull() & x["type"].isNotNull()
                         & x["classification"].isNotNull())
     fault = (F.when(F.coalesce("raw_text", F.lit("")) == "", F.lit("Error_ChunkEmptyResponse"))
              .when(F.col("block").isNull(), F.lit("Error_ChunkNoJsonBlock"))
-             .when(F.try_parse_json("block").isNull(),
+             .when(F.col("_json").isNull(),
                    F.lit("Error_ChunkJsonParseValidate_JSONDecodeError"))
              .when(F.col("block").startswith("["), F.lit("Error_ChunkUnexpected_TypeError"))
              .when(F.col("items").isNull() | ~complete,
                    F.lit("Error_ChunkJsonParseValidate_ValidationError")))
-    return computed(parsed, fault=fault)
+    return computed(parsed, fault=fault).drop("_json")
 
 
 def reconcile(slots: DataFrame, responses: DataFrame, max_retries: int = 1) -> DataFrame:

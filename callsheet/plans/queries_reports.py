@@ -773,6 +773,23 @@ def _(spark, sf):
     return p.withColumn("mean", F.round("mean", 2)).withColumn("std", F.round("std", 2))
 
 
+@query("A22_profile_sketch", """SELECT 'l_extendedprice' AS "column", count(l_extendedprice) AS filled, min(l_extendedprice) AS min,
+  max(l_extendedprice) AS max, true AS distinct_near, NULL AS top, NULL AS top_n FROM lineitem
+UNION ALL SELECT 'l_returnflag', count(l_returnflag), NULL, NULL, true, (SELECT l_returnflag FROM lineitem GROUP BY ALL ORDER BY count(*) DESC LIMIT 1),
+  (SELECT count(*) FROM lineitem GROUP BY l_returnflag ORDER BY 1 DESC LIMIT 1) FROM lineitem
+UNION ALL SELECT 'l_partkey', count(l_partkey), min(l_partkey)::DOUBLE, max(l_partkey)::DOUBLE, true, NULL, NULL FROM lineitem""")
+def _(spark, sf):
+    """One pass of sketches; distinct counts are within a tenth of the exact ones, few values are counted exactly."""
+    items = b.table(spark, sf, "lineitem")
+    got = an.profile_sketch(items, ["l_extendedprice", "l_partkey"], ["l_returnflag"])
+    exact = items.agg(*[F.countDistinct(c).alias(c) for c in ("l_extendedprice", "l_partkey", "l_returnflag")]).select(F.inline(F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact")) for c in ("l_extendedprice", "l_partkey", "l_returnflag")])))
+    few = F.col("column") == "l_returnflag"
+    return got.join(exact, "column").select(
+        "column", "filled", "min", "max", (F.abs(F.col("distinct") - F.col("exact")) <= F.col("exact") / 10).alias("distinct_near"),
+        F.when(few, F.col("top")).alias("top"), F.when(few, F.col("top_n")).alias("top_n"))
+
+
 @query("J11_adjusted_join", s.with_(V_ATTRITION) + """
 SELECT "InputRowID", "Final_Row_Outcome_Reason", c_name AS name_input, c_nationkey AS characteristic
 FROM v_attrition LEFT JOIN customer ON c_custkey = "InputRowID" - 2""")

@@ -277,3 +277,22 @@ def test_positions_and_what_limits_leave_out(spark):
     whole = lb.request_slots(df, "site", ["n"], max_chunks=None, chunk=3).collect()
     assert len(kept) == 10 and sorted(map(tuple, kept + left), key=str) == sorted(rows, key=str)
     assert all(r.n == 3 * r.chunk + r.pos for r in whole if r.site == "hot") and len(whole) == len(rows)
+
+
+def test_answers_are_read_from_one_variant(spark):
+    """Odd answers: what is usable, and why the rest is not."""
+    one = '{"number": "1", "type": "t", "classification": "c"}'
+    cases = {
+        '{"extracted_numbers": [%s]}' % one: (1, None), 'so: ```json\n{"extracted_numbers": [%s, %s]}\n```' % (one, one): (2, None),
+        '{"extracted_numbers": [], "more": 1}': (0, None), "": (None, "EmptyResponse"), "no json": (None, "NoJsonBlock"), "{broken]}": (None, "JSONDecodeError"),
+        "[%s]" % one: (None, "TypeError"), '{"other": 1}': (None, "ValidationError"), '{"extracted_numbers": null}': (None, "ValidationError"),
+        '{"extracted_numbers": ["x"]}': (None, "ValidationError"), '{"extracted_numbers": [{"number": "1"}]}': (1, "ValidationError"),
+        '{"extracted_numbers": [{"number": 1, "type": "t", "classification": "c", "extra": [1]}]}': (1, None)}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, raw_text string")
+    plan = lb.parse_responses(df)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("parse_json") + plan.count("parsejson") >= 1 and "from_json" not in plan and "jsontostructs" not in plan
+    got = {r.i: r for r in lb.parse_responses(df).collect()}
+    for i, (text, (n, fault)) in enumerate(cases.items()):
+        items = got[i]["items"]
+        assert (got[i].fault is None) == (fault is None) and (fault is None or got[i].fault.endswith(fault)), text
+        assert fault is not None or len(items) == n, text
