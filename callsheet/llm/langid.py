@@ -14,6 +14,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
+from callsheet.functions.stages import stored
+
 from .common import blobs, fold, slabs
 
 HIDDEN = 6
@@ -197,29 +199,42 @@ def document_scores(net: Net, parts: list[bytes]) -> np.ndarray:
     return out
 
 
-def learn(docs: DataFrame, per_language: int = 400, most_bytes: int = 1 << 16, languages: int = 256) -> Net | None:
-    """Train on at most ``per_language`` documents of each of the ``languages`` most frequent
-    languages, first by hash of the id, of a text of at most ``most_bytes`` (longer ones are
-    not in the sample)."""
+def learn(docs: DataFrame, per_language: int = 400, total: int = 102_400, most_chars: int = 1 << 16) -> Net | None:
+    """Train on at most ``per_language`` documents of every language, first by hash of the id,
+    and on ``total`` in all: with very many languages each has fewer (beyond ``total``
+    languages the most frequent count). Of a text of more than ``most_chars`` characters
+    sixteen pieces from all over it are in the sample.
+
+    Candidates are cut by a hash threshold that follows a language's count, so that ranking
+    meets a few hundred rows a language however frequent it is."""
     rows = docs.select("doc_id", "text", "lang").filter("lang is not null and text is not null")
-    rows = rows.filter(fold(F.col("doc_id"), 3) != 1).filter(F.octet_length("text").between(1, most_bytes))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = rows.select("doc_id", "lang").withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_language)
-    common = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "lang").limit(languages).select("lang")
-    ids = ids.join(common, "lang").select("doc_id", "lang")
-    sample = rows.join(F.broadcast(ids), ["doc_id", "lang"]).toPandas()  # per_language * languages ids at most
+    rows = rows.filter(fold(F.col("doc_id"), 3) != 1).filter(F.length("text") > 0)
+    known = stored(rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("h")), "labelled_ids")
+    count = known.groupBy("lang").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "lang").limit(total)
+    each = max(1, min(per_language, total // max(1, count.count())))
+    # Four times as many as are taken: fewer than ``each`` of a large language pass next to never, and then all of them count.
+    few = known.join(F.broadcast(count), "lang").filter(F.col("h").cast("double") * F.col("c") <= float(4 * each + 64) * (1 << 40))
+    first = Window.partitionBy("lang").orderBy("h", "doc_id")
+    ids = few.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= each).select("doc_id", "lang")
+    piece = most_chars // 16
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.substring(
+        "text", (F.pmod(F.xxhash64(F.col("doc_id"), i), F.length("text") - piece) + 1).cast("int"), F.lit(piece)))
+    text = F.when(F.length("text") > most_chars, F.array_join(pieces, " ")).otherwise(F.col("text"))
+    sample = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "lang", text.alias("text")).toPandas()  # ``total`` ids at most
     sample = sample.sort_values(["lang", "doc_id", "text"])
-    return train([t.encode() for t in sample["text"]], sample["lang"].tolist())
+    # As many windows a language as four languages get in 300 steps.
+    return train([t.encode() for t in sample["text"]], sample["lang"].tolist(), steps=max(300, 75 * sample["lang"].nunique()))
 
 
-def identify(docs: DataFrame, per_language: int = 400) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, held_out, lang_pred, score``.
+def identify(docs: DataFrame, per_language: int = 400, total: int = 102_400) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, held_out, lang_pred, score``. ``per_language`` and
+    ``total`` bound the documents to learn from, see ``learn``.
 
     Reads ``doc_id`` and ``text``, and ``lang`` of the rows to learn from. ``und`` with score 0
     where the text is null, empty or has no letter, and everywhere if there is no labelled
     text to learn from. A null id is not held out and not learned from. Rows repeated with
     one id are labelled each. An empty table gives an empty result."""
-    net = learn(docs, per_language)
+    net = learn(docs, per_language, total)
 
     def run(batches):
         for b in batches:
