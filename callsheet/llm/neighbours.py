@@ -194,14 +194,17 @@ def descend(points: DataFrame, k: int, trees: int, rounds: int, count: int) -> D
     return graph
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = 32, trees: int = 6, rounds: int = 8, beam: int = 192, expand: int = 32, hops: int = 8, seed: int = 5) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = 32, trees: int = 6, rounds: int = 8, beam: int = 192, expand: int = 32, seed: int = 5) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each query.
 
     Reads ``vec_id`` and ``embedding``. Queries are the ids divisible by ``every``;
     candidates are all other rows. Vectors that are null, zero or hold a null or
     non-finite component take no part, nor do null ids and vectors of another dimension
     than the most frequent. Nearest first, ties to the smaller id; a row repeated whole
-    counts once. Fewer candidates than ``k``: all of them. Empty: an empty result."""
+    counts once. Fewer candidates than ``k``: all of them. Empty: an empty result.
+
+    The beam grows with the logarithm of the table, and a walk goes on until all that is in
+    it has been opened."""
     rows = stored(usable(vectors), "vectors")
     nodes = stored(rows.groupBy("vector").agg(F.min("vec_id").alias("id")), "distinct")
     stats = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(dot(F.col("vector"), F.col("vector")))).alias("longest")).first()
@@ -222,12 +225,13 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, degree: int = 32,
         return pairs.join(code, "id").join(asked, "q").select("q", "id", "vec", "qvec").mapInArrow(_dots, "q long, id long, s float, done boolean")
 
     # The longest nodes are far from all others in the graph, but may have the largest products with any query.
-    longest = nodes.orderBy(F.desc(dot(F.col("vector"), F.col("vector"))), "id").limit(beam).select("id")
+    beam = max(beam, 12 * stats["n"].bit_length())
+    longest = [r["id"] for r in nodes.orderBy(F.desc(dot(F.col("vector"), F.col("vector"))), "id").limit(beam).select("id").collect()]
     start = own.join(ways, own.id == ways.x).select("q", F.col("m").alias("id")).unionByName(own)
-    start = start.unionByName(own.select("q").crossJoin(F.broadcast(longest))).distinct()
+    start = start.unionByName(own.select("q", F.explode(F.array(*map(F.lit, longest))).alias("id"))).distinct()
     seen = stored(scored(start), "beam")
     order = Window.partitionBy("q").orderBy(F.desc("s"), "id")
-    for _ in range(hops):
+    while True:  # each hop opens nodes that were never open, until the beam holds none
         ranked = seen.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= beam)
         todo = Window.partitionBy("q", "done").orderBy("r")
         ranked = stored(ranked.withColumn("t", F.row_number().over(todo)).withColumn("go", ~F.col("done") & (F.col("t") <= expand)).drop("t", "r"), "beam")

@@ -253,7 +253,7 @@ def test_neighbours_recall_and_odd_vectors(spark):
     x[100:130] = x[100]
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(5000, None), (5020, [0.0] * 16), (5040, [float("nan")] * 16), (5060, [1.0, 2.0]), (5080, [None] * 16)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = neighbours.nearest(frame, rounds=3, hops=4).toPandas()
+    got = neighbours.nearest(frame, rounds=3).toPandas()
     hits, total = 0, 0
     for q in range(0, 1500, 20):
         s = x @ x[q]
