@@ -5,6 +5,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from callsheet.functions.stages import stored
@@ -36,9 +37,11 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learned: Column, fe
 def by_place(docs: DataFrame, nulls: int) -> DataFrame:
     """``doc_id, text, row``: each row's own columns as ``row``, and as ``doc_id`` a number that
     orders rows by their integer id (null ids: first if ``nulls`` is -1, last if 1) and tells
-    rows of one id apart by their place in the stored table. Rows that are in no file are
-    stored first."""
-    if not docs.inputFiles():
+    rows of one id apart by their place in the stored table. Rows that are no plain scan of
+    files are stored first."""
+    try:
+        docs.select("_metadata.row_index").schema
+    except AnalysisException:  # no plain scan of files
         docs = stored(docs, "rows")
     at = F.pmod(F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")), F.lit(10**18)).cast("decimal(38,0)")
     unit = F.lit(Decimal(10**18)).cast("decimal(19,0)")
