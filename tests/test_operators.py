@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -296,3 +297,34 @@ def test_answers_are_read_from_one_variant(spark):
         items = got[i]["items"]
         assert (got[i].fault is None) == (fault is None) and (fault is None or got[i].fault.endswith(fault)), text
         assert fault is not None or len(items) == n, text
+
+
+def test_costly_expressions_on_a_small_file_run_on_all_cores(spark, tmp_path):
+    from callsheet.plans import bindings as b
+
+    spark.range(500).selectExpr("id AS c_custkey", "'A' AS c_mktsegment").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    rows = b.entries(spark, str(tmp_path)).withColumn("at", F.spark_partition_id())
+    per_task = [r["count"] for r in rows.groupBy("at").count().collect()]
+    assert len(per_task) >= spark.sparkContext.defaultParallelism and max(per_task) < 100 and sum(per_task) == 500
+
+
+def test_items_are_grouped_by_a_hash_before_their_texts(spark):
+    from callsheet.operators.skew import hashed
+
+    items = spark.createDataFrame([("b", n, "u", "Main Line", "Primary", "c", i) for i, n in enumerate(["x", None, "x", None])], ITEMS)
+    got = {r.number: (r.n, r.first.ord, r["last"].ord) for r in ct.source_facts(items).collect()}
+    assert got == {"x": (2, 0, 2), None: (2, 1, 3)}
+    for df in (ct.source_facts(items), ct.numbers(ct.source_facts(items))):
+        sorts = re.findall(r"Sort \[(\w+)#", df._jdf.queryExecution().executedPlan().toString())
+        assert sorts and set(sorts) == {"_h"}
+    same = hashed(items, "base", "number").groupBy("base", "number").agg(F.countDistinct("_h").alias("n")).collect()
+    assert [r.n for r in same] == [1, 1]
+
+
+def test_ranked_lists_hold_every_value_of_the_ranked_numbers_once(spark):
+    src = spark.createDataFrame([("b", "1", "u", "T"), ("b", "1", "v", "T"), ("b", "2", "u", None), ("b", "3", "w", "T"), (None, "1", "u", "T")],
+                                "base string, number string, source_url string, type string")
+    top = spark.createDataFrame([("b", "1", 1), ("b", "2", 2), (None, "1", 1)], "base string, number string, rank int")
+    lists = ct.ranked_lists(top, src, {"type": "T_", "source_url": "U_"})
+    assert sorted(map(tuple, lists.collect())) == [("b", "T_1", "T"), ("b", "U_1", "u"), ("b", "U_1", "v"), ("b", "U_2", "u")]
+    assert lists._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
