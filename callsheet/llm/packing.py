@@ -202,6 +202,9 @@ class TextIds:
 
 
 _TABLES: dict[str, TextIds] = {}
+#: Bytes of text read at a time. Some twenty arrays of a slab's length live at once, up to eight
+#: bytes a character each, and a worker keeps what its largest slab took.
+SLAB = 1 << 20
 
 
 def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, piece: int = 1024, batch: int = 256, crowd: int = 1 << 17) -> DataFrame:
@@ -246,7 +249,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 2, piec
         for b in batches:
             doc_type = b.column("doc_id").type
             ids_of, texts = b.column("doc_id").to_pylist(), blobs(b.column("text"))
-            for lo, hi in slabs(texts, 4 << 20):
+            for lo, hi in slabs(texts, SLAB):
                 full = []
                 for doc, ids in zip(ids_of[lo:hi], table.encode(texts[lo:hi])):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")

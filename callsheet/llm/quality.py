@@ -26,6 +26,8 @@ CLASSES[[ord(c) for c in ".,;:'\"-()?"]] = 5
 CLASSES[128:] = 7
 NAMES = 8
 LAGS = (1, 2, 3, 4)
+#: Bytes of text read at a time: arrays of eight bytes a character are made of each slab.
+SLAB = 1 << 20
 WIDTH = 2 * (NAMES + len(LAGS) + 4)
 
 
@@ -40,7 +42,7 @@ def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 def features(parts: list[bytes]) -> np.ndarray:
     """One row per text: shares and their roots, all between 0 and 1; zeros without words."""
     out = np.zeros((len(parts), WIDTH))
-    for first, last in slabs(parts):
+    for first, last in slabs(parts, SLAB):
         data, starts, ends = spaced(parts[first:last])
         n, size = last - first, ends - starts
         kinds = CLASSES[data]
@@ -72,6 +74,12 @@ def features(parts: list[bytes]) -> np.ndarray:
     return out
 
 
+def strengths(z: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weighted sums, row by row, so that equal rows have equal sums wherever they stand; a
+    matrix product adds in an order that depends on the place."""
+    return (np.ascontiguousarray(z) * weights).sum(axis=1)
+
+
 @dataclass
 class Ranker:
     mean: np.ndarray
@@ -81,7 +89,7 @@ class Ranker:
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """0 to 1, one half at the threshold."""
-        raw = ((x - self.mean) / self.spread) @ self.weights - self.threshold
+        raw = strengths((x - self.mean) / self.spread, self.weights) - self.threshold
         return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
@@ -99,7 +107,7 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = 8, ridge: float = 1.0, see
     b = np.concatenate([rng.integers(len(lose), size=pairs * len(win)), np.repeat(np.arange(len(lose)), pairs)])
     diff = win[a] - lose[b]
     weights = logistic(diff, np.ones(len(diff)), ridge)
-    strength = np.sort(z @ weights)
+    strength = np.sort(strengths(z, weights))
     k = len(lose)  # as many fall below as there are poor ones
     threshold = (strength[k - 1] + strength[min(k, len(strength) - 1)]) / 2
     return Ranker(mean, spread, weights, float(threshold))

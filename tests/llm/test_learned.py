@@ -98,3 +98,29 @@ def test_equal_documents_have_equal_scores_and_one_kind_has_no_order():
     s = ranker.scores(x).reshape(5, 3)
     assert (s == s[:, :1]).all()
     assert (quality.fit(x, np.ones(15, bool)).scores(x) >= 0.5).all()
+
+
+def test_memory_of_features_and_ids_does_not_follow_the_batch():
+    import tracemalloc
+
+    import public_tokenizers
+    from callsheet.llm import packing
+    from callsheet.llm.common import slabs
+
+    words = np.random.default_rng(5).integers(97, 123, size=(40_000, 5), dtype=np.uint8)
+    words[:, 4] = 32
+    texts = [words[i:i + 400].tobytes() for i in range(0, 40_000, 400)] * 20  # 4 MB
+
+    def peak(work):
+        tracemalloc.start()
+        try:
+            work()
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    assert peak(lambda: quality.features(texts)) < 120 << 20
+    table = packing.TextIds(public_tokenizers.path("word_bpe_49k.json"))
+    table.encode(texts[:5])
+    first, last = next(slabs(texts, packing.SLAB))
+    assert peak(lambda: table.encode(texts[first:last])) < 120 << 20
