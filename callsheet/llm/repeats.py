@@ -118,7 +118,7 @@ def _order(s: np.ndarray, covered: int, need: int) -> np.ndarray:
     one, two = np.arange(1, n + 1, 3), np.arange(2, n + 1, 3)
     sample = np.concatenate([one, two])
     triple = (t[sample] * size + t[sample + 1]) * size + t[sample + 2]
-    by = np.argsort(triple, kind="stable")
+    by = np.argsort(triple)  # equal triples get one name in any order
     name = np.empty(len(sample), np.int64)
     name[by] = np.cumsum(np.concatenate([[1], (np.diff(triple[by]) != 0).astype(np.int64)]))
     if 3 * covered < need and name.max() < len(sample):
@@ -135,13 +135,16 @@ def _order(s: np.ndarray, covered: int, need: int) -> np.ndarray:
     # Merge: against positions 1 mod 3 by (symbol, rank after), 2 mod 3 by (two symbols, rank after).
     ones, twos = ordered[ordered % 3 == 1], ordered[ordered % 3 == 2]
     below = np.searchsorted(np.sort(t[ones] * wide + rank[ones + 1]), t[zero] * wide + rank[zero + 1])
-    pair = _pairs(t, twos, zero, size)
+    pair = _pairs(t, twos, zero, size, wide)
     below += np.searchsorted(np.sort(pair[0] * wide + rank[twos + 2]), pair[1] * wide + rank[zero + 2])
     return np.insert(ordered, np.maximum.accumulate(below), zero)
 
 
-def _pairs(t: np.ndarray, a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Dense numbers of the two symbols at ``a`` and at ``b``, in order."""
+def _pairs(t: np.ndarray, a: np.ndarray, b: np.ndarray, size: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the two symbols at ``a`` and at ``b``, in order; made dense only where they,
+    times ``wide``, would not fit 63 bits."""
+    if size * size * wide < 1 << 63:
+        return t[a] * size + t[a + 1], t[b] * size + t[b + 1]
     both = np.concatenate([t[a] * size + t[a + 1], t[b] * size + t[b + 1]])
     dense = np.unique(both, return_inverse=True)[1]
     return dense[:len(a)], dense[len(a):]
@@ -175,8 +178,13 @@ def _repeated(texts: list[bytes], counts: np.ndarray, doc: np.ndarray, first: np
     for a in range(1, len(order), 1 << 16):
         z = min(a + (1 << 16), len(order))
         same[a:z] = (windows[order[a:z]] == windows[order[a - 1:z - 1]]).all(axis=1)
+    many = same.copy()  # windows that are alone need no further order
+    many[:-1] |= same[1:]
+    order, same = order[many], same[many]
     kind = np.empty(len(data), np.int64)
     kind[at] = owner
+    if not len(order):
+        return order, order
     group = np.cumsum(~same)
     d, w = doc[kind[order]], first[kind[order]] + order - starts[kind[order]]
     by = np.lexsort([w, d, group])

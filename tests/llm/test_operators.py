@@ -302,3 +302,22 @@ def test_pipeline_runs_and_keeps_columns(spark):
     kept = corpus_pipeline.drop_copies(spark, d, sf)
     assert kept.select(F.lower("text")).distinct().count() == kept.count() == d.select(F.lower("text")).distinct().count()
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_suffix_order_makes_pairs_dense_only_where_they_would_not_fit(monkeypatch):
+    from callsheet.llm import repeats
+
+    rng = np.random.default_rng(11)
+    t = np.concatenate([rng.integers(1, 50, 3_000), np.zeros(6, np.int64)])
+    a, b = rng.integers(0, 3_000, 900), rng.integers(0, 3_000, 900)
+    plain, dense = repeats._pairs(t, a, b, 50, 3_000), repeats._pairs(t, a, b, 50, 1 << 60)
+    both = lambda x: np.concatenate(x)
+    assert (np.unique(both(plain), return_inverse=True)[1] == both(dense)).all()
+    s = rng.integers(1, 4, 4_000)
+    expected = sorted(range(len(s)), key=lambda i: s[i:].tolist())
+
+    def unneeded(*args, **kw):
+        raise AssertionError("numbers were made dense")
+
+    monkeypatch.setattr(repeats.np, "unique", unneeded)
+    assert repeats._order(s, 1, len(s)).tolist() == expected
