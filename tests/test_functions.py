@@ -289,3 +289,11 @@ def test_numbers_inside_a_run_against_every_split(spark):
                 sum(f.raw[0] in "0+(" for f in r.found)) == best(r.t), r.t
     first = df.filter(F.col("t") == runs[0]).first().found
     assert [f.number for f in first] == ["+49302468105", "+49302468207"]
+
+
+def test_clean_url_runs_its_steps_once_on_urls_that_are_not_plain(spark):
+    df = spark.createDataFrame([("S1.de/a b;c d?x=1 2#f\u00e4",), ("s2.de/a?b=1#x",), ("http://s3.de/a",), ("",), (None,)], "v string")
+    out = df.select(urls.clean_url(F.col("v")).alias("r"))
+    assert [r.r for r in out.collect()] == ["http://S1.de/a%20b;c d?x=1%202#f%C3%A4", "http://s2.de/a?b=1#x", "http://s3.de/a", None, None]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("u{0085}") < 60 and len(plan) < 20_000, (plan.count("u{0085}"), plan.count("x{0085}"), len(plan))

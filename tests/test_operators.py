@@ -328,3 +328,29 @@ def test_ranked_lists_hold_every_value_of_the_ranked_numbers_once(spark):
     lists = ct.ranked_lists(top, src, {"type": "T_", "source_url": "U_"})
     assert sorted(map(tuple, lists.collect())) == [("b", "T_1", "T"), ("b", "U_1", "u"), ("b", "U_1", "v"), ("b", "U_2", "u")]
     assert lists._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_numbers_take_one_shuffle_and_the_last_better_type(spark):
+    rows = [("b", "1", "u", "Fax", "Odd", None, 1), ("b", "1", "v", "Sales", "Odder", None, 2), ("b", "1", "w", "Main Line", "Oddest", None, 3),
+            ("b", "1", "x", "Sales", "Even", None, 4), ("b", "1", "y", "Unknown", "Late", None, 5),
+            ("b", "2", "u", "Main Line", "Odd", None, 1), ("b", "2", "v", "Unknown", None, None, 2), ("b", "2", "w", None, "Late", None, 3),
+            (None, None, "u", None, None, None, 1), (None, None, "v", "Fax", "Primary", None, 2)]
+    facts = ct.source_facts(spark.createDataFrame(rows, ITEMS)).localCheckpoint()
+    nums = ct.numbers(facts)
+    got = {(r.base, r.number): (r.classification, r.first_type, r.n_items) for r in nums.collect()}
+    assert got == {("b", "1"): ("Even", "Fax", 5), ("b", "2"): ("Odd", "Main Line", 3), (None, None): ("Primary", None, 2)}
+    assert {r.base: r.n for r in ct.base_volume(nums).collect()} == {"b": 8, None: 2}
+    assert nums._jdf.queryExecution().sparkPlan().toString().count("SortAggregate") == 2  # before and after one shuffle
+
+
+def test_page_urls_of_entries_are_normalised_outside_branches(spark, tmp_path):
+    from callsheet.plans import bindings as b
+
+    spark.range(1, 90).selectExpr("id AS c_custkey", "'A' AS c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    rows = b.entries(spark, str(tmp_path))
+    got = {r.input_row_id: (r.status, r.pathful_url) for r in rows.collect()}
+    assert got[2] == ("Success", "http://s2.example.com/start") and got[3] == ("Success", "http://s3.example.com/start?a=1&b=2")
+    assert got[44] == ("DNSError", None) and got[55] == ("DNSError", "http://s55.example.com/start?a=1&b=2")
+    assert got[43] == ("Success", "http://s44.example.com/start") and got[47] == ("MaxRedirects_InputURL", None)
+    assert "_same" not in rows.columns
+    assert "struct(_same" in rows._jdf.queryExecution().executedPlan().toString()
