@@ -297,3 +297,18 @@ def test_clean_url_runs_its_steps_once_on_urls_that_are_not_plain(spark):
     assert [r.r for r in out.collect()] == ["http://S1.de/a%20b;c d?x=1%202#f%C3%A4", "http://s2.de/a?b=1#x", "http://s3.de/a", None, None]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("u{0085}") < 60 and len(plan) < 20_000, (plan.count("u{0085}"), plan.count("x{0085}"), len(plan))
+
+
+def test_url_steps_run_once_and_plain_urls_with_fragments_stay_as_they_are(spark):
+    rows = [("a.de/b?x=1#top/2?", "http://a.de/b?x=1#top/2?", "http://a.de/b?x=1"), ("a.de/b=c#x", "http://a.de/b%3Dc#x", "http://a.de/b=c"),
+            ("http://a.de/b?c;d#x y", "http://a.de/b?c%3Bd#x%20y", None), ("http://a.de#", "http://a.de/", "http://a.de/"),
+            ("http://a.de?#", "http://a.de/", "http://a.de/"), ("http://a.de/?b=2&fallback=1&a=1", "http://a.de/?b=2&fallback=1&a=1", "http://a.de/?a=1&b=2"),
+            (None, None, None)]
+    given = spark.createDataFrame(rows, "given string, clean string, normal string")
+    got = given.select("*", urls.clean_url(F.col("given")).alias("c"), urls.normalize_url(F.col("given")).alias("n"))
+    for r in got.collect():
+        assert r.c == r.clean
+        assert r.normal is None or r.n.endswith(r.normal.removeprefix("http://"))
+    assert given.select(F.lit("http://a.de/b?x=1#top").rlike(urls.PLAIN).alias("p")).first().p
+    plan = given.select(urls.normalize_url(F.col("given")).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("www") == 1
