@@ -354,3 +354,23 @@ def test_page_urls_of_entries_are_normalised_outside_branches(spark, tmp_path):
     assert got[43] == ("Success", "http://s44.example.com/start") and got[47] == ("MaxRedirects_InputURL", None)
     assert "_same" not in rows.columns
     assert "struct(_same" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_and_numbers_are_sorted_once_behind_their_shuffle(spark):
+    rows = [("b", "1", "u", "Fax", "Primary", "c", i) for i in range(3)] + [(None, "1", None, None, None, None, 9)]
+    facts = ct.source_facts(spark.createDataFrame(rows, ITEMS))
+    assert {r.base: (r.n, r.first.ord, r["last"].ord) for r in facts.collect()} == {"b": (3, 0, 2), None: (1, 9, 9)}
+    nums = ct.numbers(facts.localCheckpoint())
+    assert {r.base: r.n_items for r in nums.collect()} == {"b": 3, None: 1}
+    for df in (facts, nums):
+        planned = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert planned.count("Sort [_h") == 1 and planned.count("Exchange ") == 1
+
+
+def test_ranks_are_looked_up_and_urls_of_a_base_are_distinct(spark):
+    src = spark.createDataFrame([("b", "1", "u", "T"), ("b", "2", "u", "T"), ("c", "1", None, None), (None, "1", "v", "T")],
+                                "base string, number string, source_url string, type string")
+    assert sorted(map(str, ct.original_urls(src).collect())) == sorted(map(str, spark.createDataFrame(
+        [("b", "u"), ("b", "b"), ("c", None), ("c", "c"), (None, "v"), (None, None)], "base string, url string").collect()))
+    lists = ct.ranked_lists(src.selectExpr("base", "number", "1 AS rank"), src, {"type": "T_"})
+    assert "ShuffledHashJoin" in lists._jdf.queryExecution().sparkPlan().toString()
