@@ -374,3 +374,34 @@ def test_ranks_are_looked_up_and_urls_of_a_base_are_distinct(spark):
         [("b", "u"), ("b", "b"), ("c", None), ("c", "c"), (None, "v"), (None, None)], "base string, url string").collect()))
     lists = ct.ranked_lists(src.selectExpr("base", "number", "1 AS rank"), src, {"type": "T_"})
     assert "ShuffledHashJoin" in lists._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_numbers_of_facts_that_lie_by_number_need_no_shuffle(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["a", "b", None]), rng.choice(["1", "2", None]), f"u{rng.randrange(3)}", rng.choice(TYPES), rng.choice(CLASSES), "c", i)
+            for i in range(120)]
+    items = spark.createDataFrame(rows + rows[:7], ITEMS)
+    nums = ct.numbers(ct.source_facts(items, by_number=True))
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(nums) == key(ct.numbers(ct.source_facts(items).localCheckpoint()))
+    counts = nums.select("base", "number", "n_items")
+    assert {(r.base, r.number): r.n_items for r in counts.collect()} == {
+        k: sum((r[0], r[1]) == k for r in rows + rows[:7]) for k in {(r[0], r[1]) for r in rows}}
+    for df in (nums, counts):
+        planned = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        assert planned.count("Exchange ") == 1
+    assert "Sort" not in counts._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_outcomes_store_no_sources_and_lists_store_them_once(spark, tmp_path):
+    from callsheet.plans import queries_reports as q
+
+    line = "id AS l_orderkey, id % 60 AS l_partkey, id % 5 AS l_suppkey, cast(id % 7 AS int) AS l_linenumber"
+    spark.range(1, 200).selectExpr(*line.split(", ")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(1, 90).selectExpr("id AS c_custkey", "'A' AS c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    plain, listed = q.Run(spark, str(tmp_path)), q.Run(spark, str(tmp_path), listed=True)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(plain.outcomes) == key(listed.outcomes) and key(plain.journey) == key(listed.journey)
+    assert "source_facts" not in vars(plain) and "numbers" not in vars(plain)
+    assert key(plain.counted) == key(listed.numbers.select("base", "number", "n_items"))
+    assert "source_facts" in vars(listed) and listed.counted is listed.numbers
