@@ -405,3 +405,16 @@ def test_outcomes_store_no_sources_and_lists_store_them_once(spark, tmp_path):
     assert "source_facts" not in vars(plain) and "numbers" not in vars(plain)
     assert key(plain.counted) == key(listed.numbers.select("base", "number", "n_items"))
     assert "source_facts" in vars(listed) and listed.counted is listed.numbers
+
+
+def test_names_and_hosts_are_counted_from_one_shuffle_of_pairs(spark):
+    rows = [(1, "A ", "http://www.x.de/a"), (2, " A", "x.de"), (2, "B", "  "), (3, None, None), (4, "", "HTTP://X.de:80/"), (None, "B", "http://y.de")]
+    df = spark.createDataFrame(rows, "input_row_id bigint, company_name string, given_url string")
+    counted = dp.with_duplicate_counts(df)
+    got = sorted((str(r.input_row_id), r.name_count, r.host_key, r.host_count, r.name_dup, r.host_dup, r.any_dup) for r in counted.collect())
+    assert got == [("1", 2, "x.de", 2, True, True, True), ("2", 2, dp.MISSING_URL, 2, True, False, True), ("2", 2, "x.de", 2, True, True, True),
+                   ("3", 0, dp.MISSING_URL, 2, False, False, False), ("4", 1, "x.de:80", 1, False, False, False),
+                   ("None", 2, "y.de", 1, True, False, True)]
+    assert "ReusedExchange" in counted._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    told = dp.duplicate_profile(df).first()
+    assert (told.rows_dup_name, told.rows_dup_url, told.rows_dup_any, told.names_repeated, told.urls_repeated) == (4, 2, 4, 2, 1)
