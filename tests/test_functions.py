@@ -189,6 +189,23 @@ def test_many_numbers_in_one_long_text(spark):
     assert n.n > 50_000 and n.m < 400 and time.time() - started < 60
 
 
+def test_runs_of_any_length(spark):
+    """A table of figures is one run; it may be as long as the text."""
+    from callsheet.operators import candidates as cd
+
+    runs = ["7" * 30_000, "7 3 " * 15_000, "(030) 2468105 " + "12-34 " * 9_000]
+    texts = spark.createDataFrame([(f"tel 030 2468105; {r}; 030 2468207 {'ü😀' * 3_000}",) for r in runs], "text string")
+    found = texts.select("text", F.inline(phones.digit_runs(F.col("text")))).collect()
+    assert len(found) == 9
+    for r in found:
+        assert r.text[r.start:r.start + len(r.raw)] == r.raw
+    assert {len(r.raw) for r in found} >= {30_000, 29_999 * 2 + 1}
+    got = cd.phone_matches(texts, "DE", window=300).collect()
+    assert [r.number for r in got] == ["+49302468105", "+49302468207"] * 3
+    assert cd.phone_candidates(texts, "DE").count() == 6
+    assert texts.filter(F.col("text").rlike(phones.WHOLE_RUN)).count() == 3
+
+
 def test_numbers_of_other_countries_and_neighbours(spark):
     from callsheet.operators import candidates as cd
 
