@@ -206,6 +206,42 @@ def test_runs_of_any_length(spark):
     assert texts.filter(F.col("text").rlike(phones.WHOLE_RUN)).count() == 3
 
 
+def test_numbers_inside_one_long_word(spark):
+    """Each snippet is as long as the word, or short where no blank comes, at no cost for the blanks that are not there."""
+    from callsheet.operators import candidates as cd
+
+    word = ";".join(f"{'x' * 185}+4930246{i:05d}" for i in range(150)) + ";" + "x" * 185
+    long = ";".join(f"word+4930246{i:05d}" for i in range(60_000))
+    texts = spark.createDataFrame([(1, word), (2, f"a {word} z"), (3, f"a {word}"), (4, None), (5, "none")], "i int, text string")
+    sizes = F.count(F.lit(1)).alias("n"), F.min(F.length("snippet")).alias("least"), F.max(F.length("snippet")).alias("most")
+    for f in (cd.phone_candidates, lambda t: cd.phone_matches(t, window=300)):
+        got = {r.i: r for r in f(texts).groupBy("i").agg(*sizes).collect()}
+        assert set(got) == {1, 2, 3} and got[1].n == got[2].n == got[3].n > 100
+        assert (got[2].least, got[2].most) == (len(word), len(word)) and got[1].most == 313 and got[3].most > len(word) - 400
+    started = time.time()
+    got = cd.phone_candidates(spark.createDataFrame([(long,)], "text string")).agg(*sizes).first()
+    assert got.n > 40_000 and got.most == 313 and time.time() - started < 60
+
+
+def test_snippets_of_many_matches_equal_slices(spark):
+    """Against slices of the text, over more matches than leave a text in one row, with spans that cross blocks."""
+    from callsheet.operators import candidates as cd
+
+    rng = random.Random(8)
+    texts = []
+    for size in (1, 255, 256, 257, 700):
+        texts.append("".join(f"{rng.choice(('', ' ', 'ü' * rng.choice((3, 200, 1500)), 'w ' * 90, chr(160)))}; +49 30 2{i:06d}{rng.choice(('', ' ', ', y'))}" for i in range(size)))
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = cd.phone_matches(df, window=300).collect()
+    assert {r.i: r.match_ord for r in got if r.i == 4}[4] > 600
+    for r in got:
+        t = texts[r.i]
+        low, high = max(r.match_start - 150, 0), min(r.match_end + 150, len(t))
+        last = t.find(" ", high)
+        assert t[r.match_start:r.match_end] == r.raw
+        assert r.snippet == t[t.rfind(" ", 0, low) + 1 or low:last if last >= 0 else high].strip()
+
+
 def test_numbers_of_other_countries_and_neighbours(spark):
     from callsheet.operators import candidates as cd
 
